@@ -6,14 +6,14 @@ one whole JSON document exactly when the marker is element 1.
 
 The native reading differs from Python's ``json`` only for ``NaN``/``Infinity``
 (null here), numbers beyond double range or 38 digits, exponent spellings
-(``1e0`` is not ``1``) and lone surrogates. ``exact_call_fields`` reads with
-Python's ``json`` in Arrow batches where those matter.
+(``1e0`` is not ``1``) and lone surrogates. ``with_call_fields(exact=True)``
+reads with Python's ``json`` in Arrow batches where those matter.
 """
 
 import json
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,16 +31,25 @@ CALL_FIELDS = T.StructType(
 
 
 def json_block(text: Column) -> Column:
-    """From the first ``{`` to the last ``}``, across lines; null if none."""
-    block = F.regexp_extract(text, r"(?s)\{.*\}", 0)
-    return F.when(block != "", block)
+    """From the first ``{`` to the last ``}``, across lines; empty if none."""
+    return F.regexp_extract(text, r"(?s)\{.*\}", 0)
+
+
+def _marked(text: Column) -> Column:
+    """Variant of ``[text, marker]``, null if that is not JSON."""
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{END_MARKER}"]')))
+
+
+def _closed(marked: Column) -> Column:
+    """The marker is element 1: the text was exactly one document."""
+    found = F.try_variant_get(marked, "$[1]", "string") == END_MARKER
+    return F.coalesce(found, F.lit(False))
 
 
 def parse_document(text: Column) -> Column:
     """Variant of ``text`` if all of it is one JSON document, else null."""
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{END_MARKER}"]')))
-    closed = F.try_variant_get(wrapped, "$[1]", "string") == END_MARKER
-    return F.when(closed, F.variant_get(wrapped, "$[0]", "variant"))
+    marked = _marked(text)
+    return F.when(_closed(marked), F.try_variant_get(marked, "$[0]", "variant"))
 
 
 def extract_json(text: Column) -> Column:
@@ -48,32 +57,52 @@ def extract_json(text: Column) -> Column:
     return parse_document(json_block(text))
 
 
-def variant_fields(parsed: Column) -> Column:
-    """Call fields of a parsed document; name and arguments as canonical JSON.
-
-    ``to_json`` of a variant sorts object keys and prints ``1.0`` as ``1``,
-    so string equality is deep equality. Absent keys are null, JSON nulls
-    are the text ``null``.
-    """
-    name = F.try_variant_get(parsed, "$.name", "variant")
-    arguments = F.try_variant_get(parsed, "$.arguments", "variant")
-    return F.struct(
-        parsed.isNotNull().alias("any_json"),
-        name.isNotNull().alias("has_name"),
-        F.to_json(name).alias("name"),
-        F.to_json(arguments).alias("arguments"),
-        arguments.try_cast("map<string,variant>").isNotNull().alias("arguments_is_object"),
+def _with_fields(df: DataFrame, text: Column, name: str) -> DataFrame:
+    # One projection per level: each text is searched and parsed once, however
+    # many fields are read from it.
+    leveled = (
+        df.withColumn("_marked", _marked(text))
+        .withColumns(
+            {
+                "_closed": _closed(F.col("_marked")),
+                "_name": F.try_variant_get("_marked", "$[0].name", "variant"),
+                "_args": F.try_variant_get("_marked", "$[0].arguments", "variant"),
+            }
+        )
+        .withColumn(
+            name,
+            F.struct(
+                F.col("_closed").alias("any_json"),
+                (F.col("_closed") & F.col("_name").isNotNull()).alias("has_name"),
+                F.when(F.col("_closed"), F.to_json("_name")).alias("name"),
+                F.when(F.col("_closed"), F.to_json("_args")).alias("arguments"),
+                (
+                    F.col("_closed")
+                    & F.col("_args").try_cast("map<string,variant>").isNotNull()
+                ).alias("arguments_is_object"),
+            ),
+        )
     )
+    return leveled.drop("_marked", "_closed", "_name", "_args")
+
 
+def with_call_fields(df: DataFrame, text: str, name: str = "call", exact: bool = False) -> DataFrame:
+    """Add the call fields of free model output as one struct column.
 
-def call_fields(text: Column) -> Column:
-    """Call fields of free model output."""
-    return variant_fields(extract_json(text))
+    ``name`` and ``arguments`` inside it are canonical JSON: ``to_json`` of a
+    variant sorts object keys and prints ``1.0`` as ``1``, so string equality
+    is deep equality. Absent keys are null, JSON nulls are the text ``null``.
+    ``exact`` reads with Python's ``json``.
+    """
+    block = json_block(F.col(text))
+    if exact:
+        return df.withColumn(name, _exact_fields(block))
+    return _with_fields(df, block, name)
 
 
-def document_fields(text: Column) -> Column:
-    """Call fields of text that should be JSON and nothing else."""
-    return variant_fields(parse_document(text))
+def with_document_fields(df: DataFrame, text: Column, name: str = "call") -> DataFrame:
+    """Call fields of text that should be one JSON document and nothing else."""
+    return _with_fields(df, text, name)
 
 
 def _python_number(value):
@@ -123,11 +152,6 @@ def _exact_fields(blocks: pd.Series) -> pd.DataFrame:
     )
 
 
-def exact_call_fields(text: Column) -> Column:
-    """``call_fields`` read by Python's ``json`` in Arrow batches."""
-    return _exact_fields(json_block(text))
-
-
 def get_json_text(fields: Column, key: str) -> Column:
     """``dict.get``: absent key and JSON null are the same null."""
     return F.nullif(fields[key], F.lit("null"))

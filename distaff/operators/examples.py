@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from distaff.functions.jsoncall import document_fields
+from distaff.functions.jsoncall import with_document_fields
 from distaff.operators.filters import expects_call
 from distaff.operators.ordering import head_slice
 from distaff.operators.prompts import turn
@@ -22,9 +22,9 @@ def eval_examples(df: DataFrame, kind: str, cap: int | None = None) -> DataFrame
     if kind == "decision":
         examples = opened.select(*base, expects_call().alias("gt_is_call"))
     elif kind == "args":
+        calls = with_document_fields(opened.filter(expects_call()), turn(1, "value"), "gt")
         examples = (
-            opened.filter(expects_call())
-            .select(*base, document_fields(turn(1, "value")).alias("gt"))
+            calls.select(*base, "gt")
             .filter("gt.has_name")
             .select(
                 "example_id",
@@ -47,17 +47,11 @@ def scoring_examples(df: DataFrame) -> DataFrame:
     """
     opened = df.filter((turn(0, "from") == "human") & (F.size("conversations") >= 2))
     call = F.when(expects_call(), turn(1, "value"))
-    return opened.select(
+    return with_document_fields(opened, call, "gt").select(
         "example_id",
         "tools",
         turn(0, "value").alias("user_turn"),
         expects_call().alias("gt_is_call"),
-        document_fields(call).alias("gt"),
-    ).select(
-        "example_id",
-        "tools",
-        "user_turn",
-        "gt_is_call",
         F.col("gt.name").alias("gt_name"),
         F.col("gt.arguments").alias("gt_args"),
     )

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from distaff.constants import CLARIFY_OR_DECLINE, FUNCTION_CALL
-from distaff.functions.jsoncall import call_fields
+from distaff.functions.jsoncall import with_call_fields
 from distaff.operators.ordering import head_slice
 from distaff.operators.prompts import turn
 
@@ -19,14 +19,15 @@ def expects_call() -> Column:
     return F.coalesce(turn(1, "from") == "function_call", F.lit(False))
 
 
-def call_shape(df: DataFrame, text: str = "completion", fields=call_fields) -> DataFrame:
+def call_shape(df: DataFrame, text: str = "completion", exact: bool = False) -> DataFrame:
     """Add ``call`` (parsed fields) and three ever stricter shape flags."""
     call = F.col("call")
-    return (
-        df.withColumn("call", fields(F.col(text)))
-        .withColumn("any_json", call["any_json"])
-        .withColumn("has_name", call["has_name"])
-        .withColumn("name_and_args", call["has_name"] & call["arguments_is_object"])
+    return with_call_fields(df, text, exact=exact).withColumns(
+        {
+            "any_json": call["any_json"],
+            "has_name": call["has_name"],
+            "name_and_args": call["has_name"] & call["arguments_is_object"],
+        }
     )
 
 
@@ -49,7 +50,7 @@ def classify_completions(df: DataFrame, text: str = "completion") -> DataFrame:
     """Add ``expected_behavior`` and ``drop_reason`` to paired rows."""
     shaped = call_shape(df, text)
     kept, dropped = agreement(F.col("expects_call"), F.col("any_json"), F.col("has_name"))
-    return shaped.withColumn("expected_behavior", kept).withColumn("drop_reason", dropped)
+    return shaped.withColumns({"expected_behavior": kept, "drop_reason": dropped})
 
 
 def keep_completions(df: DataFrame, text: str = "completion") -> DataFrame:

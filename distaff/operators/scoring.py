@@ -3,11 +3,11 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from distaff.functions.jsoncall import call_fields, get_json_text
+from distaff.functions.jsoncall import get_json_text, with_call_fields
 from distaff.functions.text import percent, share
 
 
-def score_rows(paired: DataFrame, text: str = "completion", fields=call_fields) -> DataFrame:
+def score_rows(paired: DataFrame, text: str = "completion", exact: bool = False) -> DataFrame:
     """Score each prediction beside its example once, for every metric.
 
     Lenient flags (``*_v1``) accept any JSON as valid and need an arguments
@@ -18,31 +18,28 @@ def score_rows(paired: DataFrame, text: str = "completion", fields=call_fields)
     gt_name = F.nullif(F.col("gt_name"), F.lit("null"))
     gt_args = F.nullif(F.col("gt_args"), F.lit("null"))
     same_name = get_json_text(call, "name").eqNullSafe(gt_name)
-    scored = paired.withColumn("call", fields(F.col(text)))
-    scored = (
-        scored.withColumn("any_json", call["any_json"])
-        .withColumn("pred_is_call", call["has_name"])
-        .withColumn(
-            "correct_call_v1", call["any_json"] & same_name & call["arguments_is_object"]
-        )
-        .withColumn(
-            "exact_match_v1",
-            F.col("correct_call_v1") & get_json_text(call, "arguments").eqNullSafe(gt_args),
-        )
-        .withColumn(
-            "correct_name",
-            F.coalesce(call["has_name"] & (call["name"] == F.col("gt_name")), F.lit(False)),
+    named = F.coalesce(call["has_name"] & (call["name"] == F.col("gt_name")), F.lit(False))
+    lenient = call["any_json"] & same_name & call["arguments_is_object"]
+    empty = F.lit("{}")
+    return (
+        with_call_fields(paired, text, exact=exact)
+        .withColumns(
+            {
+                "any_json": call["any_json"],
+                "pred_is_call": call["has_name"],
+                "correct_call_v1": lenient,
+                "correct_name": named,
+            }
         )
-        .withColumn(
-            "exact_args",
-            F.col("correct_name")
-            & (
-                F.coalesce(call["arguments"], F.lit("{}"))
-                == F.coalesce(F.col("gt_args"), F.lit("{}"))
-            ),
+        .withColumns(
+            {
+                "exact_match_v1": F.col("correct_call_v1")
+                & get_json_text(call, "arguments").eqNullSafe(gt_args),
+                "exact_args": F.col("correct_name")
+                & (F.coalesce(call["arguments"], empty) == F.coalesce(F.col("gt_args"), empty)),
+            }
         )
     )
-    return scored
 
 
 def has_call_truth() -> Column:

@@ -25,7 +25,14 @@ TOTAL_STEPS = 2000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One given table, on as many tasks as there are cores.
+
+    A table of fewer input splits than cores is dealt out evenly, since the
+    work per row outweighs moving it; larger ones are read as they are.
+    """
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def _call_json(arguments: Column, name: Column) -> Column:
