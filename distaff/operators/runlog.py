@@ -90,19 +90,14 @@ def checkpoint_plan(
 ) -> DataFrame:
     """Checkpoints a run saved, and which of them a limited keeper retains.
 
-    The last step is found by an aggregate, and the newest ``keep`` by a rank
-    limit that also runs before the shuffle.
+    Periodic steps and each run's last step are put together without a join,
+    and the newest ``keep`` found by a rank limit that also runs before the
+    shuffle.
     """
-    last = log.groupBy("run").agg(F.max("step").alias("last_step"))
-    saved = (
-        log.select("run", "step")
-        .join(last, "run")
-        .filter((F.col("step") % every == 0) | (F.col("step") == F.col("last_step")))
-        .select("run", "step")
-    )
+    periodic = log.filter(F.col("step") % every == 0).select("run", "step")
+    last = log.groupBy("run").agg(F.max("step").alias("step"))
+    saved = periodic.unionAll(last).distinct()
     newest = Window.partitionBy("run").orderBy(F.desc("step"))
-    retained = (
-        saved.withColumn("age", F.row_number().over(newest)).filter(F.col("age") <= keep)
-    )
+    retained = saved.withColumn("age", F.row_number().over(newest)).filter(F.col("age") <= keep)
     counts = saved.groupBy("run").agg(F.count("*").alias("n_saved"))
     return retained.join(counts, "run").select("run", "step", "age", "n_saved")

@@ -3,10 +3,11 @@
 Rows are ordered by a salted hash of their key. The n-th smallest hash is
 found from the key column alone: a histogram over hash prefixes (at most
 2**20 buckets, whatever the input size) names the bucket that holds it, and
-only that bucket's keys are ranked. Rows are then kept by comparing with the
-found value, so the payload is neither sorted nor shuffled, and the result
-does not depend on partitioning. Keys should be unique; copies of a key
-always fall on the same side.
+only that bucket's keys are ranked. That one (hash, key) pair is fetched and
+rows are kept by comparing with it, so the payload is neither sorted nor
+shuffled, splits of splits stay plain projections, and the result does not
+depend on partitioning. Keys should be unique; copies of a key always fall on
+the same side.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,40 +19,42 @@ from distaff.functions.text import hash_uniform, salted_hash
 PREFIX_DIGITS = 5
 
 
-def _place(key: str, seed) -> Column:
-    return F.struct(salted_hash(F.col(key), seed).alias("h"), F.col(key).alias("k"))
-
-
-def _boundary(df: DataFrame, key: str, seed, wanted) -> Column:
+def _last_wanted(df: DataFrame, key: str, seed, wanted):
     """(hash, key) of the last wanted row; ``wanted`` maps total to a count."""
-    keys = df.select(_place(key, seed).alias("place")).select(
-        "place", F.substring("place.h", 1, PREFIX_DIGITS).alias("bucket")
+    keys = df.select(salted_hash(F.col(key), seed).alias("h"), F.col(key).alias("k")).withColumn(
+        "bucket", F.substring("h", 1, PREFIX_DIGITS)
     )
     histogram = keys.groupBy("bucket").agg(F.count("*").alias("n"))
-    cumulative = histogram.select(
-        "bucket",
-        "n",
-        F.sum("n").over(Window.orderBy("bucket")).alias("upto"),
-        F.sum("n").over(Window.partitionBy()).alias("rows"),
-    ).withColumn("wanted", wanted(F.col("rows")))
     cut = (
-        cumulative.filter("upto >= wanted AND upto - n < wanted")
-        .select(F.struct("bucket", (F.col("wanted") - F.col("upto") + F.col("n")).alias("rest")))
-        .scalar()
+        histogram.select(
+            "bucket",
+            "n",
+            F.sum("n").over(Window.orderBy("bucket")).alias("upto"),
+            F.sum("n").over(Window.partitionBy()).alias("rows"),
+        )
+        .withColumn("wanted", wanted(F.col("rows")))
+        .filter("upto >= wanted AND upto - n < wanted")
+        .select("bucket", (F.col("wanted") - F.col("upto") + F.col("n")).alias("rest"))
+        .first()
     )
-    ranks = Window.partitionBy("bucket").orderBy("place")
+    if cut is None:
+        return None
+    ranks = Window.partitionBy("bucket").orderBy("h", "k")
     return (
         keys.filter(F.col("bucket") == cut["bucket"])
         .withColumn("rank", F.row_number().over(ranks))
         .filter(F.col("rank") == cut["rest"])
-        .select("place")
-        .scalar()
+        .first()
     )
 
 
 def _is_low(df: DataFrame, key: str, seed, wanted) -> Column:
-    below = _place(key, seed) <= _boundary(df, key, seed, wanted)
-    return F.coalesce(below, F.lit(False))
+    """True for the ``wanted`` rows of lowest (hash, key)."""
+    last = _last_wanted(df, key, seed, wanted)
+    if last is None:
+        return F.lit(False)
+    h, k = salted_hash(F.col(key), seed), F.lit(last["k"])
+    return (h < last["h"]) | ((h == last["h"]) & (F.col(key) <= k))
 
 
 def seeded_sample(

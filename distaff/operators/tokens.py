@@ -133,13 +133,13 @@ def truncate_and_pad_batch(
 
 def uniform_length_check(df: DataFrame, columns: list[str], length: int) -> DataFrame:
     """Shortest and longest array of each column, and rows off ``length``."""
+    sizes = df.select(*[F.size(c).alias(c) for c in columns])
     stats = []
     for c in columns:
-        size = F.size(c)
         stats += [
-            F.min(size).alias(f"{c}_min"),
-            F.max(size).alias(f"{c}_max"),
-            F.count_if(F.coalesce(size, F.lit(-1)) != length).alias(f"{c}_off"),
+            F.min(c).alias(f"{c}_min"),
+            F.max(c).alias(f"{c}_max"),
+            F.count_if(F.coalesce(F.col(c), F.lit(-1)) != length).alias(f"{c}_off"),
         ]
     rows = F.array(
         *[
@@ -152,7 +152,7 @@ def uniform_length_check(df: DataFrame, columns: list[str], length: int) -> Data
             for c in columns
         ]
     )
-    return df.agg(*stats).select(F.inline(rows))
+    return sizes.agg(*stats).select(F.inline(rows))
 
 
 def uneven_rows(df: DataFrame, columns: list[str], length: int) -> DataFrame:

@@ -5,7 +5,7 @@ it; neighbouring ``embeddings`` stand in for teacher and student logits; and
 ``events`` split by id are the log of eight training runs.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from distaff.constants import IGNORE_LABEL
@@ -35,68 +35,48 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
-def _call_json(arguments: Column, name: Column) -> Column:
-    return F.concat(
-        F.lit('{"name":"'), name, F.lit('","arguments":'), arguments, F.lit("}")
-    )
-
-
 def chat_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(example_id, tools, conversations) of two turns each."""
-    i, kind = F.col("event_id"), F.col("event_type")
-    tools = (
-        F.when(i % 11 == 0, "[]")
-        .when(i % 13 == 0, None)
-        .otherwise(
-            F.concat(F.lit('[{"name":"'), kind, F.lit('","parameters":{"k":"int"}}]'))
-        )
-    )
-    asked = F.concat(
-        F.lit("user "), F.col("user_id").cast("string"), F.lit(" asks about "), kind
-    )
-    replied = F.when(i % 2 == 0, _call_json(F.col("props"), kind)).otherwise(
-        F.concat(F.lit("Which "), kind, F.lit(" do you mean?"))
-    )
-    first = F.when(i % 19 == 0, "gpt").otherwise("human")
-    second = F.when(i % 2 == 0, "function_call").when(i % 23 == 0, "observation").otherwise("gpt")
-    return table(spark, sf_dir, "events").select(
-        i.alias("example_id"),
-        tools.alias("tools"),
-        F.array(
-            F.struct(first.alias("from"), asked.alias("value")),
-            F.struct(second.alias("from"), replied.alias("value")),
-        ).alias("conversations"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id AS example_id",
+        """CASE WHEN event_id % 11 = 0 THEN '[]' WHEN event_id % 13 = 0 THEN NULL
+           ELSE concat('[{"name":"', event_type, '","parameters":{"k":"int"}}]') END AS tools""",
+        """array(
+           named_struct(
+             'from', CASE WHEN event_id % 19 = 0 THEN 'gpt' ELSE 'human' END,
+             'value', concat('user ', user_id, ' asks about ', event_type)),
+           named_struct(
+             'from', CASE WHEN event_id % 2 = 0 THEN 'function_call'
+                          WHEN event_id % 23 = 0 THEN 'observation' ELSE 'gpt' END,
+             'value', CASE WHEN event_id % 2 = 0
+                        THEN concat('{"name":"', event_type, '","arguments":', props, '}')
+                        ELSE concat('Which ', event_type, ' do you mean?') END)
+           ) AS conversations""",
     )
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(example_id, model, completion): ten behaviours, from exact to prose."""
-    i, kind, args = F.col("event_id"), F.col("event_type"), F.col("props")
-    models = F.array(
-        *[F.struct(F.lit(n).alias("m"), F.lit(name).alias("model")) for n, name in enumerate(MODELS)]
-    )
-    behaviour = (i + F.col("m") * 3 * (i % 7)) % 10
-    named = F.concat(F.lit('{"name":"'), kind, F.lit('"'))
-    spaced = F.concat(
-        F.lit('Sure: {"name": "'), kind, F.lit('", "arguments": '), args, F.lit("} done")
-    )
-    reordered = F.concat(F.lit('{"arguments":'), args, F.lit(',"name":"'), kind, F.lit('"}'))
-    completion = (
-        F.when(behaviour == 0, _call_json(args, kind))
-        .when(behaviour == 1, reordered)
-        .when(behaviour == 2, spaced)
-        .when(behaviour == 3, _call_json(args, F.lit("other")))
-        .when(behaviour == 4, _call_json(F.lit('{"k":-1}'), kind))
-        .when(behaviour == 5, F.concat(named, F.lit("}")))
-        .when(behaviour == 6, F.concat(named, F.lit(',"arguments":')))
-        .when(behaviour == 7, F.concat(named, F.lit('} and {"name":"x"}')))
-        .when(behaviour == 8, F.lit('{"note":"no name"}'))
-        .otherwise(F.lit("Could you tell me more?"))
-    )
+    models = ", ".join(f"named_struct('m', {n}, 'model', '{m}')" for n, m in enumerate(MODELS))
     return (
         table(spark, sf_dir, "events")
-        .select("event_id", "event_type", "props", F.inline(models))
-        .select(i.alias("example_id"), "model", completion.alias("completion"))
+        .selectExpr("event_id", "event_type", "props", f"inline(array({models}))")
+        .selectExpr(
+            "event_id AS example_id",
+            "model",
+            """CASE (event_id + 3 * m * (event_id % 7)) % 10
+               WHEN 0 THEN concat('{"name":"', event_type, '","arguments":', props, '}')
+               WHEN 1 THEN concat('{"arguments":', props, ',"name":"', event_type, '"}')
+               WHEN 2 THEN concat('Sure: {"name": "', event_type, '", "arguments": ', props,
+                                  '} done')
+               WHEN 3 THEN concat('{"name":"other","arguments":', props, '}')
+               WHEN 4 THEN concat('{"name":"', event_type, '","arguments":{"k":-1}}')
+               WHEN 5 THEN concat('{"name":"', event_type, '"}')
+               WHEN 6 THEN concat('{"name":"', event_type, '","arguments":')
+               WHEN 7 THEN concat('{"name":"', event_type, '"} and {"name":"x"}')
+               WHEN 8 THEN '{"note":"no name"}'
+               ELSE 'Could you tell me more?' END AS completion""",
+        )
     )
 
 
@@ -116,13 +96,12 @@ def paired(spark: SparkSession, sf_dir: str) -> DataFrame:
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(vec_id, teacher, student, label): logits of neighbouring vectors."""
     vectors = table(spark, sf_dir, "embeddings")
-    label = F.when(F.col("vec_id") % 5 == 0, IGNORE_LABEL).otherwise(
-        (F.col("vec_id") % 64).cast("int")
-    )
-    teacher = vectors.select("vec_id", F.col("embedding").alias("teacher"), label.alias("label"))
-    student = vectors.select(
-        (F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("student")
+    teacher = vectors.selectExpr(
+        "vec_id",
+        "embedding AS teacher",
+        f"CASE WHEN vec_id % 5 = 0 THEN {IGNORE_LABEL} ELSE int(vec_id % 64) END AS label",
     )
+    student = vectors.selectExpr("vec_id - 1 AS vec_id", "embedding AS student")
     return teacher.join(student, "vec_id")
 
 

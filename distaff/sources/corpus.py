@@ -27,9 +27,10 @@ def with_example_id(df: DataFrame, content: Column, source: Column) -> DataFrame
     """Add ``example_id``: content hash plus an occurrence rank for copies.
 
     Copies of one content may be a third of all rows, so they are numbered
-    inside each ``source`` (an input file), and only contents that occur in
-    several sources get an offset from the per-source counts. Equal rows are
-    interchangeable, so any numbering gives the same table.
+    inside each ``source`` (a block of an input file, which bounds the group),
+    and only contents that occur in several sources get an offset from the
+    per-source counts. Equal rows are interchangeable, so any numbering gives
+    the same table.
     """
     hashed = df.withColumn("_content", content).withColumn("_source", source)
     sources = hashed.groupBy("_content", "_source").agg(F.count("*").alias("_copies"))
@@ -73,7 +74,10 @@ def read_chat_corpus(
     if key is not None:
         return rows.withColumn("example_id", F.col(key).cast("string"))
     columns = [F.col(name) for name in schema.fieldNames()]
-    return with_example_id(rows, content_hash(columns), F.col("_metadata.file_path"))
+    block = F.concat_ws(
+        ":", F.col("_metadata.file_path"), F.col("_metadata.file_block_start").cast("string")
+    )
+    return with_example_id(rows, content_hash(columns), block)
 
 
 def turns_to_conversations(turns: DataFrame, n_turns: int = 2) -> DataFrame:
