@@ -100,9 +100,15 @@ def with_call_fields(df: DataFrame, text: str, name: str = "call", exact: bool =
     return _with_fields(df, block, name)
 
 
-def with_document_fields(df: DataFrame, text: Column, name: str = "call") -> DataFrame:
-    """Call fields of text that should be one JSON document and nothing else."""
-    return _with_fields(df, text, name)
+def with_document_fields(
+    df: DataFrame, text: Column, name: str = "call", exact: bool = False
+) -> DataFrame:
+    """Call fields of text that should be one JSON document and nothing else.
+
+    Texts that are compared must be read the same way: the two readers do not
+    spell every value alike.
+    """
+    return df.withColumn(name, _exact_fields(text)) if exact else _with_fields(df, text, name)
 
 
 def _python_number(value):

@@ -9,7 +9,9 @@ from distaff.operators.ordering import head_slice
 from distaff.operators.prompts import turn
 
 
-def eval_examples(df: DataFrame, kind: str, cap: int | None = None) -> DataFrame:
+def eval_examples(
+    df: DataFrame, kind: str, cap: int | None = None, exact: bool = False
+) -> DataFrame:
     """Examples to score models on.
 
     ``args``: rows whose reply is a parseable, named call, with ``gt_name``
@@ -22,7 +24,9 @@ def eval_examples(df: DataFrame, kind: str, cap: int | None = None) -> DataFrame
     if kind == "decision":
         examples = opened.select(*base, expects_call().alias("gt_is_call"))
     elif kind == "args":
-        calls = with_document_fields(opened.filter(expects_call()), turn(1, "value"), "gt")
+        calls = with_document_fields(
+            opened.filter(expects_call()), turn(1, "value"), "gt", exact
+        )
         examples = (
             calls.select(*base, "gt")
             .filter("gt.has_name")
@@ -39,15 +43,16 @@ def eval_examples(df: DataFrame, kind: str, cap: int | None = None) -> DataFrame
     return examples if cap is None else head_slice(examples, cap, "example_id")
 
 
-def scoring_examples(df: DataFrame) -> DataFrame:
+def scoring_examples(df: DataFrame, exact: bool = False) -> DataFrame:
     """Decision examples that also carry the call to compare with.
 
     One table serves the decision and the argument metrics: ``gt_name`` is
-    null where the reply is not a parseable, named call.
+    null where the reply is not a parseable, named call. ``exact`` must be the
+    same here as in ``score_rows``.
     """
     opened = df.filter((turn(0, "from") == "human") & (F.size("conversations") >= 2))
     call = F.when(expects_call(), turn(1, "value"))
-    return with_document_fields(opened, call, "gt").select(
+    return with_document_fields(opened, call, "gt", exact).select(
         "example_id",
         "tools",
         turn(0, "value").alias("user_turn"),

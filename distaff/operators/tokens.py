@@ -43,15 +43,19 @@ def tokenize(
     Whether the vocabulary is broadcast is left to its measured size. The
     ids are gathered again per text, the bound of a group being one row.
     """
-    exploded = df.select(key, F.posexplode_outer(words(F.col(text), pattern)).alias("pos", "token"))
-    looked_up = exploded.join(vocab.select("token", "id"), "token", "left")
+    exploded = df.select(
+        key, F.posexplode_outer(words(F.col(text), pattern)).alias("_pos", "_token")
+    )
+    ids = vocab.select(F.col("token").alias("_token"), F.col("id").alias("_id"))
     entry = F.when(
-        F.col("pos").isNotNull(), F.struct("pos", F.coalesce("id", F.lit(unknown_id)).alias("id"))
+        F.col("_pos").isNotNull(),
+        F.struct("_pos", F.coalesce("_id", F.lit(unknown_id)).alias("_id")),
     )
     return (
-        looked_up.groupBy(key)
-        .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
-        .select(key, F.col("entries.id").alias("token_ids"))
+        exploded.join(ids, "_token", "left")
+        .groupBy(key)
+        .agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
+        .select(key, F.col("_entries._id").alias("token_ids"))
     )
 
 
