@@ -31,8 +31,12 @@ CALL_FIELDS = T.StructType(
 
 
 def json_block(text: Column) -> Column:
-    """From the first ``{`` to the last ``}``, across lines; empty if none."""
-    return F.regexp_extract(text, r"(?s)\{.*\}", 0)
+    """From the first ``{`` to the last ``}``, across lines; not JSON if none.
+
+    Text without a brace is null at once, which spares plain replies the
+    search and the parser's exception.
+    """
+    return F.when(F.contains(text, F.lit("{")), F.regexp_extract(text, r"(?s)\{.*\}", 0))
 
 
 def _marked(text: Column) -> Column:
@@ -60,30 +64,27 @@ def extract_json(text: Column) -> Column:
 def _with_fields(df: DataFrame, text: Column, name: str) -> DataFrame:
     # One projection per level: each text is searched and parsed once, however
     # many fields are read from it.
-    leveled = (
+    kept = [f"`{c}`" for c in df.columns if c != name]
+    return (
         df.withColumn("_marked", _marked(text))
-        .withColumns(
-            {
-                "_closed": _closed(F.col("_marked")),
-                "_name": F.try_variant_get("_marked", "$[0].name", "variant"),
-                "_args": F.try_variant_get("_marked", "$[0].arguments", "variant"),
-            }
+        .selectExpr(
+            *kept,
+            f"coalesce(try_variant_get(_marked, '$[1]', 'string') = '{END_MARKER}', false)"
+            " AS _closed",
+            "try_variant_get(_marked, '$[0].name', 'variant') AS _name",
+            "try_variant_get(_marked, '$[0].arguments', 'variant') AS _args",
         )
-        .withColumn(
-            name,
-            F.struct(
-                F.col("_closed").alias("any_json"),
-                (F.col("_closed") & F.col("_name").isNotNull()).alias("has_name"),
-                F.when(F.col("_closed"), F.to_json("_name")).alias("name"),
-                F.when(F.col("_closed"), F.to_json("_args")).alias("arguments"),
-                (
-                    F.col("_closed")
-                    & F.col("_args").try_cast("map<string,variant>").isNotNull()
-                ).alias("arguments_is_object"),
-            ),
+        .selectExpr(
+            *kept,
+            f"""named_struct(
+              'any_json', _closed,
+              'has_name', _closed AND _name IS NOT NULL,
+              'name', CASE WHEN _closed THEN to_json(_name) END,
+              'arguments', CASE WHEN _closed THEN to_json(_args) END,
+              'arguments_is_object',
+                _closed AND try_cast(_args AS map<string,variant>) IS NOT NULL) AS `{name}`""",
         )
     )
-    return leveled.drop("_marked", "_closed", "_name", "_args")
 
 
 def with_call_fields(df: DataFrame, text: str, name: str = "call", exact: bool = False) -> DataFrame:
@@ -156,8 +157,3 @@ def _exact_fields(blocks: pd.Series) -> pd.DataFrame:
         [_python_fields(b) for b in blocks],
         columns=CALL_FIELDS.fieldNames(),
     )
-
-
-def get_json_text(fields: Column, key: str) -> Column:
-    """``dict.get``: absent key and JSON null are the same null."""
-    return F.nullif(fields[key], F.lit("null"))

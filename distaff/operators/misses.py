@@ -58,10 +58,15 @@ def miss_overlap(misses: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def unique_misses(misses: DataFrame, a: str, b: str) -> DataFrame:
-    """Miss rows of ``a`` on examples ``b`` got right."""
-    of_a = misses.filter(F.col("model") == a)
-    of_b = misses.filter(F.col("model") == b)
-    return of_a.join(of_b.select("example_id"), "example_id", "left_anti")
+    """Miss rows of ``a`` on examples ``b`` got right, from one grouping."""
+    row = F.struct(*[F.col(c) for c in MISS_COLUMNS])
+    return (
+        misses.filter(F.col("model").isin(a, b))
+        .groupBy("example_id")
+        .agg(_of(a, row).alias("row"), _of(b, F.lit(1)).alias("other"))
+        .filter("row IS NOT NULL AND other IS NULL")
+        .select("row.*")
+    )
 
 
 def identical_wrong(misses: DataFrame, a: str, b: str) -> DataFrame:
@@ -119,10 +124,19 @@ def fp_overlap(scored: DataFrame, model: str, references: list[str]) -> DataFram
 
 
 def index_set_ops(a: DataFrame, b: DataFrame, key: str = "example_id") -> DataFrame:
-    """Keys in both sets and in the first only, as labelled rows."""
-    left, right = a.select(key), b.select(key)
-    both = left.intersect(right).withColumn("side", F.lit("both"))
-    return both.unionAll(left.subtract(right).withColumn("side", F.lit("only_a")))
+    """Keys in both sets and in the first only, as labelled rows.
+
+    One grouping of the tagged union gives intersection and difference.
+    """
+    tagged = a.select(key, F.lit(True).alias("in_a"), F.lit(False).alias("in_b")).unionAll(
+        b.select(key, F.lit(False).alias("in_a"), F.lit(True).alias("in_b"))
+    )
+    return (
+        tagged.groupBy(key)
+        .agg(F.max("in_a").alias("in_a"), F.max("in_b").alias("in_b"))
+        .filter("in_a")
+        .select(key, F.when(F.col("in_b"), "both").otherwise("only_a").alias("side"))
+    )
 
 
 def multi_model_overlap(misses: DataFrame) -> DataFrame:

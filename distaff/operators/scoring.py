@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from distaff.functions.jsoncall import get_json_text, with_call_fields
+from distaff.functions.jsoncall import with_call_fields
 from distaff.functions.text import percent, share
 
 
@@ -14,30 +14,23 @@ def score_rows(paired: DataFrame, text: str = "completion", exact: bool = False)
     object; strict flags need the name key, and read a missing ``arguments``
     as an empty object on both sides.
     """
-    call = F.col("call")
-    gt_name = F.nullif(F.col("gt_name"), F.lit("null"))
-    gt_args = F.nullif(F.col("gt_args"), F.lit("null"))
-    same_name = get_json_text(call, "name").eqNullSafe(gt_name)
-    named = F.coalesce(call["has_name"] & (call["name"] == F.col("gt_name")), F.lit(False))
-    lenient = call["any_json"] & same_name & call["arguments_is_object"]
-    empty = F.lit("{}")
     return (
         with_call_fields(paired, text, exact=exact)
-        .withColumns(
-            {
-                "any_json": call["any_json"],
-                "pred_is_call": call["has_name"],
-                "correct_call_v1": lenient,
-                "correct_name": named,
-            }
+        .selectExpr(
+            "*",
+            "call.any_json AS any_json",
+            "call.has_name AS pred_is_call",
+            # dict.get: an absent key and a JSON null are the same.
+            """call.any_json AND call.arguments_is_object
+               AND nullif(call.name, 'null') <=> nullif(gt_name, 'null') AS correct_call_v1""",
+            "coalesce(call.has_name AND call.name = gt_name, false) AS correct_name",
         )
-        .withColumns(
-            {
-                "exact_match_v1": F.col("correct_call_v1")
-                & get_json_text(call, "arguments").eqNullSafe(gt_args),
-                "exact_args": F.col("correct_name")
-                & (F.coalesce(call["arguments"], empty) == F.coalesce(F.col("gt_args"), empty)),
-            }
+        .selectExpr(
+            "*",
+            """correct_call_v1 AND nullif(call.arguments, 'null') <=> nullif(gt_args, 'null')
+               AS exact_match_v1""",
+            """correct_name AND coalesce(call.arguments, '{}') = coalesce(gt_args, '{}')
+               AS exact_args""",
         )
     )
 
@@ -90,24 +83,24 @@ def score_calls_v2(scored: DataFrame) -> DataFrame:
 
 
 def confusion_counts() -> list[Column]:
-    truth, guess = F.col("gt_is_call"), F.col("pred_is_call")
     return [
-        F.count_if(truth & guess).alias("tp"),
-        F.count_if(~truth & guess).alias("fp"),
-        F.count_if(truth & ~guess).alias("fn"),
-        F.count_if(~truth & ~guess).alias("tn"),
+        F.expr("count_if(gt_is_call AND pred_is_call) AS tp"),
+        F.expr("count_if(NOT gt_is_call AND pred_is_call) AS fp"),
+        F.expr("count_if(gt_is_call AND NOT pred_is_call) AS fn"),
+        F.expr("count_if(NOT gt_is_call AND NOT pred_is_call) AS tn"),
     ]
 
 
 def confusion_rates(counts: DataFrame) -> DataFrame:
     """Precision, recall and F1 (0 on a zero denominator) and accuracy."""
-    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
-    p, r = F.col("precision"), F.col("recall")
-    return (
-        counts.withColumn("precision", share(tp, tp + fp))
-        .withColumn("recall", share(tp, tp + fn))
-        .withColumn("f1", share(p * r * 2.0, p + r))
-        .withColumn("accuracy", F.try_divide((tp + tn).cast("double"), tp + fp + fn + tn))
+    return counts.selectExpr(
+        "*",
+        "coalesce(try_divide(double(tp), tp + fp), 0d) AS precision",
+        "coalesce(try_divide(double(tp), tp + fn), 0d) AS recall",
+    ).selectExpr(
+        "*",
+        "coalesce(try_divide(2d * precision * recall, precision + recall), 0d) AS f1",
+        "try_divide(double(tp + tn), tp + fp + fn + tn) AS accuracy",
     )
 
 

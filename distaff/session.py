@@ -10,9 +10,12 @@ def configure(spark: SparkSession) -> SparkSession:
     """Set the SQL options the operators rely on.
 
     Python's JSON reader lets the last duplicate key win; Spark's variant
-    parser does the same only with ``allowDuplicateKeys``.
+    parser does the same only with ``allowDuplicateKeys``. The rank limits of
+    head slices and top-k keep more than Spark's default of 1000 rows, and
+    must still cut each group before it is shuffled.
     """
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "1000000")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")

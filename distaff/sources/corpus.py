@@ -19,7 +19,7 @@ TEXT_SCHEMA = T.StructType([T.StructField("text", T.StringType())])
 def content_hash(columns: list[Column]) -> Column:
     """SHA-256 over the columns: of the text itself, or of the row as JSON."""
     if len(columns) == 1:
-        return F.sha2(columns[0].cast("string"), 256)
+        return F.coalesce(F.sha2(columns[0].cast("string"), 256), F.lit("null"))
     return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
 
 

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__  # noqa: F401
 from distaff.operators import losses, sampling
+from distaff.operators.ordering import head_slice
 from distaff.plans import workload
 from distaff.plans.registry import QUERIES
 
@@ -42,3 +43,8 @@ def test_top_k_is_limited_before_the_shuffle(spark):
 def test_loss_sweep_is_one_scan(spark):
     text = plan(losses.sweep_grid(workload.positions(spark, SF)))
     assert text.count("Scan parquet") == 2  # teacher and student side of one join
+
+
+def test_head_slice_is_limited_before_the_shuffle(spark):
+    rows = spark.range(0, 10_000, 1, 16)
+    assert plan(head_slice(rows, 2000, "id")).count("WindowGroupLimit") == 2

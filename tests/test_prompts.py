@@ -132,9 +132,11 @@ def test_rendering(chats):
 
 
 def test_example_ids_number_copies(spark, tmp_path):
-    texts = ["a"] * 7 + ["b"] * 3 + ["c"]
+    texts = ["a"] * 7 + ["b"] * 3 + ["c"] + [None] * 4
     path = str(tmp_path / "texts")
-    spark.createDataFrame([(t,) for t in texts], "text string").repartition(4).write.json(path)
+    spark.createDataFrame([(t,) for t in texts], "text string").repartition(4).write.option(
+        "ignoreNullFields", "false"
+    ).json(path)
     read = corpus.read_chat_corpus(spark, path, "json", schema=corpus.TEXT_SCHEMA)
     rows = read.collect()
     assert len({r.example_id for r in rows}) == len(texts)
@@ -145,9 +147,10 @@ def test_example_ids_number_copies(spark, tmp_path):
         "a": list(range(1, 8)),
         "b": [1, 2, 3],
         "c": [1],
+        None: [1, 2, 3, 4],
     }
     other = str(tmp_path / "other")
-    read.select("text").coalesce(1).write.json(other)
+    read.select("text").coalesce(1).write.option("ignoreNullFields", "false").json(other)
     again = corpus.read_chat_corpus(spark, other, "json", schema=corpus.TEXT_SCHEMA)
     assert {r.example_id for r in again.collect()} == {r.example_id for r in rows}
 
