@@ -1,49 +1,63 @@
 """Seeded samples and exact splits.
 
 Rows are ordered by a salted hash of their key. The n-th smallest hash is
-found from the key column alone: a histogram over hash prefixes (at most
-2**20 buckets, whatever the input size) names the bucket that holds it, and
-only that bucket's keys are ranked. That one (hash, key) pair is fetched and
-rows are kept by comparing with it, so the payload is neither sorted nor
-shuffled, splits of splits stay plain projections, and the result does not
-depend on partitioning. Keys should be unique; copies of a key always fall on
-the same side.
+found from the key column alone: a histogram over 4096 hash prefixes names the
+bucket that holds it, large buckets are refined by longer prefixes, and the
+keys of a small one are ranked. That one (hash, key) pair is fetched and rows
+are kept by comparing with it, so the payload is neither sorted nor shuffled,
+splits of splits stay plain projections, and the result does not depend on
+partitioning. Keys should be unique; copies of a key always fall on the same
+side.
 """
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from distaff.constants import MEDIUM_ROWS, SAMPLE_ROWS, SPLIT_SEED, TEST_SHARE
 from distaff.functions.text import hash_uniform, salted_hash
 
-PREFIX_DIGITS = 5
+# Three hexadecimal digits: each histogram has at most 4096 rows, per task and
+# in the result the driver looks at.
+DIGITS_PER_LEVEL = 3
+HASH_DIGITS = 32
+RANKED_ROWS = 100_000
 
 
 def _last_wanted(df: DataFrame, key: str, seed, wanted):
     """(hash, key) of the last wanted row; ``wanted`` maps total to a count."""
-    keys = df.select(salted_hash(F.col(key), seed).alias("h"), F.col(key).alias("k")).withColumn(
-        "bucket", F.substring("h", 1, PREFIX_DIGITS)
-    )
-    histogram = keys.groupBy("bucket").agg(F.count("*").alias("n"))
-    cut = (
-        histogram.select(
-            "bucket",
-            "n",
-            F.sum("n").over(Window.orderBy("bucket")).alias("upto"),
-            F.sum("n").over(Window.partitionBy()).alias("rows"),
+    keys = df.select(salted_hash(F.col(key), seed).alias("h"), F.col(key).alias("k"))
+    prefix, rest = "", None
+    while True:
+        digits = min(len(prefix) + DIGITS_PER_LEVEL, HASH_DIGITS)
+        counts = (
+            keys.filter(F.col("h").startswith(prefix))
+            .groupBy(F.substring("h", 1, digits).alias("bucket"))
+            .count()
+            .collect()
         )
-        .withColumn("wanted", wanted(F.col("rows")))
-        .filter("upto >= wanted AND upto - n < wanted")
-        .select("bucket", (F.col("wanted") - F.col("upto") + F.col("n")).alias("rest"))
-        .first()
-    )
-    if cut is None:
-        return None
-    ranks = Window.partitionBy("bucket").orderBy("h", "k")
+        if rest is None:
+            rest = wanted(sum(r["count"] for r in counts))
+            if rest < 1:
+                return None
+        for bucket, n in sorted(map(tuple, counts)):
+            if rest <= n:
+                break
+            rest -= n
+        prefix = bucket
+        if n <= RANKED_ROWS or digits == HASH_DIGITS:
+            break
+    # Copies of a key are counted before they are ranked.
+    upto = Window.partitionBy("bucket").orderBy("h", "k")
     return (
-        keys.filter(F.col("bucket") == cut["bucket"])
-        .withColumn("rank", F.row_number().over(ranks))
-        .filter(F.col("rank") == cut["rest"])
+        keys.filter(F.col("h").startswith(prefix))
+        .groupBy("h", "k")
+        .count()
+        .withColumn("bucket", F.lit(prefix))
+        .withColumn("upto", F.sum("count").over(upto))
+        .filter(F.col("upto") >= rest)
+        .orderBy("h", "k")
         .first()
     )
 
@@ -61,14 +75,14 @@ def seeded_sample(
     df: DataFrame, key: str, n: int = SAMPLE_ROWS, seed=SPLIT_SEED
 ) -> DataFrame:
     """Exactly ``min(n, rows)`` rows, fixed by key and seed."""
-    return df.filter(_is_low(df, key, seed, lambda rows: F.least(rows, F.lit(n))))
+    return df.filter(_is_low(df, key, seed, lambda rows: min(rows, n)))
 
 
 def exact_split(
     df: DataFrame, key: str, test: float = TEST_SHARE, seed=SPLIT_SEED, name: str = "split"
 ) -> DataFrame:
     """Label ``ceil(test * rows)`` rows ``test`` and all others ``train``."""
-    held_out = _is_low(df, key, seed, lambda rows: F.ceil(rows * F.lit(test)))
+    held_out = _is_low(df, key, seed, lambda rows: math.ceil(rows * test))
     return df.withColumn(name, F.when(held_out, "test").otherwise("train"))
 
 

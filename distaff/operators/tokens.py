@@ -9,17 +9,17 @@ from pyspark.sql import functions as F
 from distaff.constants import IGNORE_LABEL, MAX_SEQUENCE, MAX_TRAIN_TOKENS
 from distaff.operators.ordering import dense_index
 
-WORD_PATTERN = r"[^ \t\n\r]+"
+SEPARATOR = r"[ \t\n\r]+"
 
 
-def words(text: Column, pattern: str = WORD_PATTERN) -> Column:
-    """Tokens of a text in order."""
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+def words(text: Column, separator: str = SEPARATOR) -> Column:
+    """Tokens of a text in order: what lies between separators."""
+    return F.array_remove(F.split(text, separator), "")
 
 
-def build_vocab(df: DataFrame, text: str = "text", pattern: str = WORD_PATTERN) -> DataFrame:
+def build_vocab(df: DataFrame, text: str = "text", separator: str = SEPARATOR) -> DataFrame:
     """(token, id): the distinct tokens of a corpus, numbered in token order."""
-    tokens = df.select(F.explode(words(F.col(text), pattern)).alias("token")).distinct()
+    tokens = df.select(F.explode(words(F.col(text), separator)).alias("token")).distinct()
     return dense_index(tokens, "token", name="id")
 
 
@@ -35,27 +35,34 @@ def tokenize(
     vocab: DataFrame,
     key: str,
     text: str = "text",
-    pattern: str = WORD_PATTERN,
+    separator: str = SEPARATOR,
     unknown_id: int = -1,
 ) -> DataFrame:
     """(key, token_ids): each text's tokens looked up in a vocabulary table.
 
     Whether the vocabulary is broadcast is left to its measured size. The
-    ids are gathered again per text, the bound of a group being one row.
+    ids (below 2**32 - 1) are gathered again per text, the bound of a group
+    being one row; position and id travel as one number, which sorts and
+    spills as a plain long.
     """
     exploded = df.select(
-        key, F.posexplode_outer(words(F.col(text), pattern)).alias("_pos", "_token")
+        key, F.posexplode_outer(words(F.col(text), separator)).alias("_pos", "_token")
     )
     ids = vocab.select(F.col("token").alias("_token"), F.col("id").alias("_id"))
-    entry = F.when(
-        F.col("_pos").isNotNull(),
-        F.struct("_pos", F.coalesce("_id", F.lit(unknown_id)).alias("_id")),
+    placed = F.shiftleft(F.col("_pos").cast("bigint"), 32) + F.coalesce(
+        F.col("_id").cast("bigint") + 1, F.lit(0)
     )
     return (
         exploded.join(ids, "_token", "left")
         .groupBy(key)
-        .agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
-        .select(key, F.col("_entries._id").alias("token_ids"))
+        .agg(F.sort_array(F.collect_list(placed)).alias("_placed"))
+        .withColumn("_ids", F.transform("_placed", lambda x: x.bitwiseAND(F.lit((1 << 32) - 1))))
+        .select(
+            key,
+            F.transform(
+                "_ids", lambda x: F.when(x == 0, F.lit(unknown_id)).otherwise(x - 1)
+            ).alias("token_ids"),
+        )
     )
 
 

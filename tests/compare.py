@@ -23,7 +23,7 @@ def normal(value):
     if isinstance(value, float):
         if math.isnan(value):
             return "nan"
-        return repr(round(value, 10) + 0.0)
+        return repr(round(value, 10))
     if isinstance(value, bool) or value is None:
         return str(value)
     return str(value)

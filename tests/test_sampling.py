@@ -53,6 +53,15 @@ def test_sample_size(spark, n):
     assert got == lowest(range(50), 1, min(n, 50))
 
 
+def test_refined_prefixes_change_nothing(spark, monkeypatch):
+    plain = ids(sampling.seeded_sample(spark.range(3000), "id", 1234))
+    monkeypatch.setattr(sampling, "RANKED_ROWS", 0)
+    monkeypatch.setattr(sampling, "DIGITS_PER_LEVEL", 9)
+    assert ids(sampling.seeded_sample(spark.range(3000), "id", 1234)) == plain
+    hot = spark.range(90).select(F.when(F.col("id") < 60, 7).otherwise(F.col("id")).alias("id"))
+    assert sampling.seeded_sample(hot, "id", 1).count() in (1, 60)
+
+
 def test_empty_input(spark):
     empty = spark.range(0)
     assert sampling.exact_split(empty, "id").count() == 0
