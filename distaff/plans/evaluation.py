@@ -78,7 +78,7 @@ def call_vs_clarify(spark, sf):
   f1 > (select f1 from full_board where model = 'base') as beats_baseline,
   round((f1 - (select f1 from full_board where model = 'base'))
     / ((select f1 from full_board where model = 'teacher')
-       - (select f1 from full_board where model = 'base')), 6) as gap_closed
+       - (select f1 from full_board where model = 'base')), 6) + 0e0 as gap_closed
 from full_board""",
 )
 def leaderboard(spark, sf):
