@@ -1,6 +1,5 @@
 """Session settings and the shared folder for cut points."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,21 +22,15 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder named by ``spark.checkpoint.dir``.
+    """Shared folder for cut points: ``spark.checkpoint.dir``, else a folder of the warehouse.
 
-    A local master without the setting gets a fresh temporary folder; a
-    cluster without it is an error, since its machines share no local disk.
+    One rule for every master: both are folders that the driver and all
+    executors see, and neither is a temporary folder of one machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="distaff-"))
-        current = spark.sparkContext.getCheckpointDir()
-    return current.rstrip("/")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
