@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from distaff.llm import chat_format, decontaminate, simhash, topk_search
+from distaff.llm import chat_format, decontaminate, simhash, substring_dedup, topk_search
 from distaff.llm.common import read_table
 from distaff.session import configure
 
@@ -118,6 +118,35 @@ def op3_chat_format(spark, sf_dir):
     )
 
 
+@query(
+    "op6_substring_dedup",
+    sql=r"""
+    WITH doc AS (
+      SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+    win AS (
+      SELECT doc_id, i, array_to_string(w[i : i + 19], ' ') AS words
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM doc)),
+    late AS (
+      SELECT doc_id, i FROM (
+        SELECT doc_id, i, min((doc_id, i)) OVER (PARTITION BY words) AS f FROM win) WHERE (doc_id, i) > f),
+    gone AS (SELECT doc_id, list(DISTINCT p) AS ps FROM (SELECT doc_id, unnest(range(i, i + 20)) AS p FROM late) GROUP BY doc_id),
+    kept AS (
+      SELECT d.doc_id, count(*) AS n_kept, string_agg(d.x, ' ' ORDER BY d.p) AS words
+      FROM (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM doc) d
+      ANTI JOIN (SELECT doc_id, unnest(ps) AS p FROM gone) g ON d.doc_id = g.doc_id AND d.p = g.p
+      GROUP BY d.doc_id)
+    SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, len(d.w) - coalesce(k.n_kept, 0) AS n_removed,
+           sha256(coalesce(k.words, '')) AS kept_sha256
+    FROM doc d LEFT JOIN kept k USING (doc_id)""",
+)
+def op6_substring_dedup(spark, sf_dir):
+    """Every document without the passages that start earlier elsewhere."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeats(docs).select(
+        "row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query("op8_simhash")
 def op8_simhash(spark, sf_dir):
     """Fingerprint and near-duplicate component of every document."""
