@@ -31,3 +31,16 @@ def same_row(left: DataFrame, right: DataFrame) -> Column:
 def fold(modulus: int) -> Column:
     """crc32 of the id's decimal text, modulo ``modulus``; null ids count as empty text."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+def in_blocks(docs: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
+    """(row, block) and the bytes of all texts.
+
+    ``row`` is the whole input row with ``doc_id`` as long and ``text`` as
+    string. Rows are dealt by a hash of both, so blocks hold about
+    ``block_bytes`` of text each, however much there is.
+    """
+    rows = docs.withColumns({"doc_id": F.col("doc_id").cast("bigint"), "text": F.col("text").cast("string")})
+    total = rows.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(total // block_bytes + 1))
+    return rows.select(F.struct("*").alias("row"), block.alias("block")), total

@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from distaff.llm import chat_format, decontaminate, simhash, substring_dedup, topk_search
+from distaff.llm import chat_format, decontaminate, lattice_lm, mixing, simhash, substring_dedup, topk_search
 from distaff.llm.common import read_table
 from distaff.session import configure
 
@@ -118,6 +118,12 @@ def op3_chat_format(spark, sf_dir):
     )
 
 
+@query("op5_mixing")
+def op5_mixing(spark, sf_dir):
+    """What the mix takes of every document."""
+    return mixing.mix(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query(
     "op6_substring_dedup",
     sql=r"""
@@ -154,6 +160,12 @@ def op8_simhash(spark, sf_dir):
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query("op9_lattice_lm")
+def op9_lattice_lm(spark, sf_dir):
+    """Log probability of every text."""
+    return lattice_lm.score_documents(read_table(spark, sf_dir, "documents"))
+
+
 @query(
     "op10_topk",
     sql="""

@@ -17,6 +17,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from distaff.llm.common import in_blocks
+
 WINDOW = 20
 #: Text bytes of a block, and of the blocks whose windows one range of cells serves.
 BLOCK_BYTES, RANGE_BYTES = 4 << 20, 8 << 20
@@ -125,13 +127,9 @@ def remove_repeats(
     Fingerprints of 96 bits stand for windows: among 10^12 windows two differing
     ones would meet with a chance of 1 in 10^5.
     """
-    size = F.octet_length(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    total = docs.agg(F.sum(size.cast("bigint"))).first()[0] or 0
-    n_blocks = total // block_bytes + 1
+    dealt, total = in_blocks(docs, block_bytes)
     range_bits = (total // range_bytes).bit_length()
     cell_bits = max(total.bit_length(), range_bits + 3)
-    texts = docs.withColumns({"doc_id": F.col("doc_id").cast("bigint"), "text": F.col("text").cast("string")})
-    dealt = texts.select(F.struct("*").alias("row"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).alias("block"))
 
     def sketch(key: tuple, table: pa.Table) -> pa.Table:
         _, *halves = _Block(table).windows(window)
