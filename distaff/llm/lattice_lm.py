@@ -1,15 +1,18 @@
 """Language model scoring over a lattice of subwords.
 
-A token has the probability of its training count, absolutely discounted; the
+Documents fall into a few classes by their most common words. In its class a
+token has the probability of its training count, absolutely discounted; the
 discounted mass goes to spelling, where the pieces of an existing vocabulary
 are the edges of a lattice and every segmentation counts: a forward recursion
 in log space sums them. A first piece carries the word mark, later ones do not,
-and an end of word closes the spelling, so probabilities of all tokens sum to
-one. Piece weights begin at the vocabulary's own scores and are estimated anew
-from the distinct words of the whole corpus.
+and an end of word closes the spelling, so the probabilities of all tokens sum
+to one in each class. Piece weights begin at the vocabulary's own scores and
+are estimated anew from the distinct words of the whole corpus.
 """
 
+from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -22,9 +25,16 @@ from distaff.session import materialise
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
+#: Counts the ends of texts among the words; no word holds a space.
+END = b" "
 #: Text bytes of a block of documents.
 BLOCK_BYTES = 8 << 20
-ROUNDS = 2
+#: Classes of documents, and the bounded sample that tells them apart: training
+#: documents, their most common words, and rounds of fitting.
+CLASSES, CLASS_SAMPLE, CLASS_WORDS, CLASS_ROUNDS = 6, 2_000, 1_000, 30
+#: Distinct words of each class on which the piece weights warm up, and the
+#: rounds; the weights used come from one more round over all distinct words.
+WARM_WORDS, WARM_ROUNDS = 20_000, 4
 #: Words of one length are recursed together up to so many characters.
 BATCH_CHARS = 400_000
 ROLL, SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -209,111 +219,201 @@ def _text(words: list[bytes]) -> list[str]:
     return [w.decode("utf-8", "surrogatepass") for w in words]
 
 
-class Model(NamedTuple):
-    """What training leaves: word counts as a table, the rest as numbers."""
+class Classes(NamedTuple):
+    """Multinomials over common words; the last row of ``logs`` is for all others."""
+
+    words: dict[bytes, int]
+    logs: np.ndarray  # (words + 1, classes)
+
+    def of(self, tokens: list[bytes]) -> int:
+        """Likeliest class; texts without a common word are in the first."""
+        at = np.fromiter(map(self.words.get, tokens, repeat(len(self.words))), dtype=np.int64, count=len(tokens))
+        return int(np.argmax(np.bincount(at, minlength=len(self.logs)) @ self.logs))
+
+
+def fit_classes(texts: list[str], classes: int = CLASSES, n_words: int = CLASS_WORDS, seed: int = 0) -> Classes:
+    """Split a sample of texts by expectation maximisation of hard assignments; the likeliest of five starts."""
+    split = [_tokens(t) for t in texts]
+    held: Counter[bytes] = Counter(w for tokens in split for w in set(tokens))
+    words = {w: i for i, (w, _) in enumerate(sorted(held.items(), key=lambda x: (-x[1], x[0]))[:n_words])}
+    counts = np.zeros((len(split), len(words)))
+    for row, tokens in zip(counts, split, strict=True):
+        np.add.at(row, [words[w] for w in tokens if w in words], 1)
+    counts = counts[counts.sum(axis=1) > 0]
+    rng = np.random.default_rng(seed)
+    best = (-np.inf, np.zeros((len(words), classes)))
+    for _ in range(5 if len(counts) else 0):
+        centres = counts[rng.choice(len(counts), classes, replace=len(counts) < classes)]
+        for _ in range(CLASS_ROUNDS):
+            logs = np.log((centres + 0.1) / (centres + 0.1).sum(axis=1, keepdims=True)).T
+            fit = counts @ logs
+            chosen = fit.argmax(axis=1)
+            centres = np.stack([counts[chosen == k].sum(axis=0) for k in range(classes)])
+        if fit.max(axis=1).sum() > best[0]:
+            best = (fit.max(axis=1).sum(), logs)
+    return Classes(words, np.concatenate([best[1], np.zeros((1, classes))]))
+
 
-    words: DataFrame  # (word, n)
-    train_tokens: int
-    train_docs: int
-    n_words: int
-    discount: float
+class Model(NamedTuple):
+    """What training leaves: word counts by class as a table, the rest as numbers."""
+
+    words: DataFrame  # (word, n, spelled): counts, and log spellings where a count is positive
+    pieces: Pieces
+    classes: Classes
+    tokens: np.ndarray  # by class, ends included
+    docs: np.ndarray
+    n_words: np.ndarray
+    discount: np.ndarray
     weights: np.ndarray
+    distinct: int
 
 
-def train(texts: DataFrame, vocabulary: str = VOCABULARY, rounds: int = ROUNDS) -> Model:
-    """Count the words of ``texts`` (text) and estimate the piece weights.
+def train(texts: DataFrame, vocabulary: str = VOCABULARY, classes: int = CLASSES) -> Model:
+    """Count the words of ``texts`` (text) by class and estimate the piece weights.
 
-    All distinct words take part; what reaches the driver are sums and one
-    expected count for each piece of the vocabulary.
+    All words of all texts are counted and all distinct ones give the final
+    weights. The driver gets a sample of ``CLASS_SAMPLE`` texts, sums, samples
+    of ``WARM_WORDS`` words a class, and one expected count for each piece.
     """
     spark = texts.sparkSession
+    texts = texts.select(F.coalesce("text", F.lit("")).alias("text"))
+    sample = texts.orderBy(F.xxhash64("text"), "text").limit(CLASS_SAMPLE).toPandas()["text"].tolist()
+    known = spark.sparkContext.broadcast(fit_classes(sample, classes))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: dict[bytes, int] = {}
+            seen: list[Counter[bytes]] = [Counter() for _ in range(classes)]
             for text in batch["text"].to_pylist():
-                for w in _tokens(text):
-                    seen[w] = seen.get(w, 0) + 1
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
-
-    counted = texts.select("text").mapInArrow(count, "word binary, n bigint")
-    words = materialise(counted.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
-    total, n_words, once, twice = words.agg(
-        F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
+                tokens = _tokens(text)
+                mine = seen[known.value.of(tokens)]
+                mine.update(tokens)
+                mine[END] += 1
+            rows = [(w, k, n) for k, each in enumerate(seen) for w, n in each.items()]
+            columns = zip(*rows, strict=True) if rows else ([], [], [])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, kind) for c, kind in zip(columns, (pa.binary(), pa.int32(), pa.int64()), strict=True)], ["word", "class", "n"]
+            )
+
+    counted = texts.mapInArrow(count, "word binary, class int, n bigint").groupBy("word").agg(
+        F.array(*[F.sum(F.when(F.col("class") == k, F.col("n")).otherwise(0)) for k in range(classes)]).alias("n")
+    )
+    words = materialise(counted, "word-counts")
+    ends = words.filter(F.col("word") == END).first()
+    docs = np.array(ends["n"] if ends else [0] * classes)
+    words = words.filter(F.col("word") != END)
+    each = [F.col("n")[k] for k in range(classes)]
+    sums = words.agg(
+        F.count("*"),
+        *[f for n in each for f in (F.coalesce(F.sum(n), F.lit(0)), F.count_if(n > 0), F.count_if(n == 1), F.count_if(n == 2))],
     ).first()
+    total, n_words, once, twice = np.array(sums[1:], dtype=np.int64).reshape(classes, 4).T
+    discount = np.where((once > 0) & (twice > 0), once / np.maximum(once + 2 * twice, 1), 0.5)
     pieces = load_pieces(vocabulary)
-    weights = first_weights(pieces)
-    table = spark.sparkContext.broadcast(pieces)
-    for _ in range(rounds):
-        now = spark.sparkContext.broadcast(weights)
-
-        def expect(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
-            sums = np.zeros(len(now.value))
-            for batch in batches:
-                sums += expected_counts(table.value, now.value, _text(batch["word"].to_pylist()))
-            at = np.flatnonzero(sums)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], ["piece", "uses"])
-
-        uses = words.select("word").mapInArrow(expect, "piece bigint, uses double").groupBy("piece").agg(F.sum("uses").alias("uses"))
-        got = uses.toPandas()
-        counts = np.zeros(len(weights))
-        counts[got["piece"].to_numpy(np.int64)] = got["uses"].to_numpy(np.float64)
-        weights = log_weights(pieces, counts)
-    docs = texts.count()
-    discount = once / (once + 2 * twice) if once and twice else 0.5
-    return Model(words, total + docs, docs, n_words, discount, weights)
-
-
-def score(docs: DataFrame, model: Model, vocabulary: str = VOCABULARY, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    weights = np.stack([first_weights(pieces)] * classes)
+    for k in range(classes):
+        warm = words.filter(each[k] > 0).select("word").orderBy(F.xxhash64("word"), "word").limit(WARM_WORDS).toPandas()["word"]
+        for _ in range(WARM_ROUNDS if len(warm) else 0):
+            weights[k] = log_weights(pieces, expected_counts(pieces, weights[k], _text(warm.tolist())))
+    table, warmed = spark.sparkContext.broadcast(pieces), spark.sparkContext.broadcast(weights)
+
+    def by_class(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, list[str]]]:
+        n = batch["n"].flatten().to_numpy().reshape(-1, classes)
+        spelt = np.array(_text(batch["word"].to_pylist()), dtype=object)
+        for k in range(classes):
+            at = np.flatnonzero(n[:, k])
+            yield k, at, spelt[at].tolist()
+
+    def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        uses = np.zeros(warmed.value.shape)
+        for batch in batches:
+            for k, _, mine in by_class(batch):
+                uses[k] += expected_counts(table.value, warmed.value[k], mine)
+        k, at = np.nonzero(uses)
+        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(at), pa.array(uses[k, at])], ["class", "piece", "uses"])
+
+    used = words.mapInArrow(expect, "class bigint, piece bigint, uses double").groupBy("class", "piece").agg(F.sum("uses").alias("uses")).toPandas()
+    uses = np.zeros(weights.shape)
+    uses[used["class"].to_numpy(np.int64), used["piece"].to_numpy(np.int64)] = used["uses"].to_numpy(np.float64)
+    weights = np.stack([log_weights(pieces, u) for u in uses])
+    fitted = spark.sparkContext.broadcast(weights)
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            logs = np.full((len(batch), classes), np.nan)
+            for k, at, mine in by_class(batch):
+                logs[at, k] = spelling(table.value, fitted.value[k], mine)
+            spelled = pa.ListArray.from_arrays(pa.array(np.arange(len(batch) + 1, dtype=np.int32) * classes), pa.array(logs.ravel()))
+            yield pa.RecordBatch.from_arrays([batch["word"], batch["n"], spelled], ["word", "n", "spelled"])
+
+    scored = words.mapInArrow(spell, "word binary, n array<bigint>, spelled array<double>")
+    return Model(scored, pieces, known.value, total + docs, docs, n_words, discount, weights, int(sums[0]))
+
+
+def score(docs: DataFrame, model: Model, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(row, n_tokens, n_known, base_score, score) for every row of ``docs`` (doc_id, text).
 
     ``row`` is the whole input row. Null texts are empty; every text has one
-    end token. Blocks of documents ask for their distinct words, so a word in
-    all documents is one row of each block.
+    end token. ``score`` is the log10 probability of the text's class and of
+    its tokens there, so the scores of all texts stay below one in sum. Blocks
+    of documents ask for their distinct words, so a word that all documents
+    have is a row or a few of each block.
     """
-    spark = docs.sparkSession
-    pieces = spark.sparkContext.broadcast(load_pieces(vocabulary))
-    weights = spark.sparkContext.broadcast(model.weights)
+    context = docs.sparkSession.sparkContext
+    shared = context.broadcast(model._replace(words=None))
     dealt, _ = in_blocks(docs, block_bytes)
-    n, n_docs, n_words, discount = model.train_tokens, model.train_docs, model.n_words, model.discount
-    base_all = np.log10(n + 0.1 * (n_words + (n_docs > 0) + 1))
-
-    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            logs = spelling(pieces.value, weights.value, _text(batch["word"].to_pylist()))
-            yield pa.RecordBatch.from_arrays([batch["word"], batch["n"], pa.array(logs)], ["word", "n", "spelled"])
 
     def distinct(key: tuple, table: pa.Table) -> pa.Table:
-        words = {w for text in table["row"].combine_chunks().field("text").to_pylist() for w in _tokens(text)}
-        return pa.table({"block": pa.array([key[0].as_py()] * len(words), pa.int64()), "word": pa.array(list(words), pa.binary())})
-
-    def apply(table: pa.Table, known: pa.Table) -> pa.Table:
-        words = known["word"].to_pylist()
-        place = {w: i for i, w in enumerate(words)}
-        counts = known["n"].fill_null(0).to_numpy().astype(np.float64)
-        spelled = known["spelled"].to_numpy().astype(np.float64)
-        new = np.flatnonzero(counts == 0)
-        spelled[new] = spelling(pieces.value, weights.value, _text([words[i] for i in new.tolist()]))
-        base = np.log10(counts + 0.1) - base_all
-        left = np.maximum(counts - discount, 0.0)
-        # in logs, as spellings of very long words are too small for a double
-        with np.errstate(divide="ignore"):
-            both = np.logaddexp(np.log(left), np.log(discount * n_words + 0.5) + spelled)
-        logs = (both - np.log(n + 1)) / np.log(10)
-        end_base, end_log = np.log10(n_docs + 0.1) - base_all, np.log10((n_docs + 0.5) / (n + 1))
-        out: list[tuple] = []
+        m = shared.value
+        found: list[set[bytes]] = [set() for _ in m.docs]
+        for text in table["row"].combine_chunks().field("text").to_pylist():
+            tokens = _tokens(text)
+            found[m.classes.of(tokens)].update(tokens)
+        words = [w for each in found for w in each]
+        kinds = np.repeat(np.arange(len(found), dtype=np.int32), [len(f) for f in found])
+        return pa.table({"block": np.full(len(words), key[0].as_py(), dtype=np.int64), "class": kinds, "word": pa.array(words, pa.binary())})
+
+    def apply(table: pa.Table, told: pa.Table) -> pa.Table:
+        m = shared.value
+        every, n_docs = int(m.tokens.sum()), int(m.docs.sum())
+        base_all = np.log10(every + 0.1 * (m.distinct + (n_docs > 0) + 1))
+        end_base = np.log10(n_docs + 0.1) - base_all
+        prior = np.log10((m.docs + 0.5) / (n_docs + 0.5 * len(m.docs)))
+        models = []
+        for k in range(len(m.docs)):
+            mine = told.filter(pa.compute.equal(told["class"], k))
+            words = mine["word"].to_pylist()
+            total, counts, spelled = (mine[c].to_numpy().astype(np.float64) for c in ("total", "n", "spelled"))
+            new = np.flatnonzero(np.isnan(spelled))
+            spelled = spelled.copy()
+            spelled[new] = spelling(m.pieces, m.weights[k], _text([words[i] for i in new.tolist()]))
+            # in logs, as the spelling of a very long word is too small for a double
+            with np.errstate(divide="ignore"):
+                left = np.log(np.maximum(counts - m.discount[k], 0.0))
+            logs = np.logaddexp(left, np.log(m.discount[k] * m.n_words[k] + 0.5) + spelled)
+            logs = (logs - np.log(m.tokens[k] + 1)) / np.log(10)
+            end_log = np.log10((m.docs[k] + 0.5) / (m.tokens[k] + 1))
+            models.append(({w: i for i, w in enumerate(words)}, total > 0, np.log10(total + 0.1) - base_all, logs, end_log + prior[k]))
+        out = []
         for text in table["row"].combine_chunks().field("text").to_pylist():
             tokens = _tokens(text)
+            place, known, base, logs, fixed = models[m.classes.of(tokens)]
             at = np.fromiter(map(place.__getitem__, tokens), dtype=np.int64, count=len(tokens))
-            out.append((len(at) + 1, int((counts[at] > 0).sum()) + (n_docs > 0), base[at].sum() + end_base, logs[at].sum() + end_log))
-        columns = list(zip(*out, strict=True)) or [()] * 4
+            out.append((len(at) + 1, int(known[at].sum()) + (n_docs > 0), base[at].sum() + end_base, logs[at].sum() + fixed))
+        columns = zip(*out, strict=True) if out else ([], [], [], [])
         kinds = {"n_tokens": pa.int64(), "n_known": pa.int64(), "base_score": pa.float64(), "score": pa.float64()}
         made = {name: pa.array(np.array(c), kind) for (name, kind), c in zip(kinds.items(), columns, strict=True)}
         return pa.table({"row": table["row"], **made})
 
-    scored = model.words.mapInArrow(spell, "word binary, n bigint, spelled double")
-    asked = dealt.groupBy("block").applyInArrow(distinct, "block bigint, word binary")
-    told = asked.join(scored, "word", "left").select("block", "word", "n", "spelled")
+    asked = dealt.groupBy("block").applyInArrow(distinct, "block bigint, class int, word binary")
+    here = F.col("class")
+    told = asked.join(model.words, "word", "left").select(
+        "block",
+        "class",
+        "word",
+        F.coalesce(F.aggregate("n", F.lit(0).cast("bigint"), lambda a, x: a + x), F.lit(0)).alias("total"),
+        F.coalesce(F.get("n", here), F.lit(0)).alias("n"),
+        F.coalesce(F.get("spelled", here), F.lit(float("nan"))).alias("spelled"),
+    )
     kind = dealt.schema["row"].dataType.simpleString()
     return (
         dealt.groupBy("block")
@@ -332,11 +432,11 @@ def score_documents(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     held = fold(10) == 0
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     model = train(texts.filter(~held).select("text"), vocabulary)
-    return score(texts, model, vocabulary).select(
+    return score(texts, model).select(
         F.col("row.doc_id").alias("doc_id"),
         "n_tokens",
         "n_known",
-        F.lit(model.train_tokens).cast("bigint").alias("train_tokens"),
+        F.lit(int(model.tokens.sum())).cast("bigint").alias("train_tokens"),
         "base_score",
         "score",
     ).withColumn("held_out", held)
