@@ -5,7 +5,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from distaff.llm import chat_format, decontaminate, lattice_lm, mixing, simhash, substring_dedup, topk_search
+from distaff.llm import (
+    chat_format,
+    decontaminate,
+    lattice_lm,
+    mixing,
+    quality,
+    simhash,
+    substring_dedup,
+    topk_search,
+    toxicity,
+)
 from distaff.llm.common import read_table
 from distaff.session import configure
 
@@ -33,6 +43,13 @@ BENCHMARK_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+@query("op1_toxicity")
+def op1_toxicity(spark, sf_dir):
+    """Toxicity of every document."""
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, read_table(spark, sf_dir, "labels")))
+
+
 @query(
     "op2_decontaminate",
     sql=f"""
@@ -118,6 +135,13 @@ def op3_chat_format(spark, sf_dir):
     )
 
 
+@query("op4_quality")
+def op4_quality(spark, sf_dir):
+    """Quality of every document."""
+    docs = read_table(spark, sf_dir, "documents")
+    return quality.score_quality(docs, quality.fit_quality(docs, read_table(spark, sf_dir, "labels")))
+
+
 @query("op5_mixing")
 def op5_mixing(spark, sf_dir):
     """What the mix takes of every document."""
