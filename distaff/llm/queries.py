@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from distaff.llm import (
     chat_format,
     decontaminate,
+    html_extract,
     lattice_lm,
     mixing,
     quality,
@@ -177,6 +178,14 @@ def op6_substring_dedup(spark, sf_dir):
     )
 
 
+@query("op7_html_extract")
+def op7_html_extract(spark, sf_dir):
+    """Main text of every page."""
+    pages = read_table(spark, sf_dir, "pages")
+    found = html_extract.extract(pages, html_extract.fit_extractor(pages))
+    return found.select("row.page_id", "row.url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 @query("op8_simhash")
 def op8_simhash(spark, sf_dir):
     """Fingerprint and near-duplicate component of every document."""
