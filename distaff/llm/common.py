@@ -44,3 +44,15 @@ def in_blocks(docs: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
     total = rows.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(total // block_bytes + 1))
     return rows.select(F.struct("*").alias("row"), block.alias("block")), total
+
+
+def hashed_sample(rows: DataFrame, limit: int, *key: str) -> DataFrame:
+    """At most ``limit`` rows: those of the smallest hashes of ``key`` among about twice as many.
+
+    The rate follows the number of rows, so what all tasks send together stays
+    bounded as the table grows.
+    """
+    hashed = F.xxhash64(*key)
+    rate = min(1.0, 2 * limit / max(1, rows.count()))
+    drawn = rows.filter(F.pmod(hashed, F.lit(1 << 30)) <= int(rate * (1 << 30)))
+    return drawn.orderBy(hashed, *key).limit(limit)

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from distaff.llm import boosted_trees
+from distaff.llm.common import hashed_sample
 
 #: Pages that training rearranges, at most, chosen by a hash of the whole page,
 #: and layouts made of each.
@@ -377,8 +378,8 @@ def fit_extractor(pages: DataFrame, fit_pages: int = FIT_PAGES, layouts: int = L
     together in ``layouts`` new ways each, with phrases of other pages as
     menus, adverts, notices, forms, comments and the like.
     """
-    chosen = pages.filter("html IS NOT NULL").orderBy(F.xxhash64("html"), "html").limit(fit_pages)
-    texts = chosen.select(F.col("html").cast("string")).toPandas()["html"].tolist()
+    sources = pages.filter("html IS NOT NULL").select(F.col("html").cast("string").alias("html"))
+    texts = hashed_sample(sources, fit_pages, "html").toPandas()["html"].tolist()
     contents = [c for c in map(article_of, texts) if c]
     phrases = [MARKUP.sub(" ", p)[:2000] for c in contents for p in PARAGRAPH.findall(c)[:5]] or ["x"]
     rng = np.random.default_rng(seed)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from distaff.llm import boosted_trees
-from distaff.llm.common import fold
+from distaff.llm.common import fold, hashed_sample
 
 #: Labelled rows the trees are fitted on, at most; chosen by a hash of the id.
 FIT_ROWS = 20_000
@@ -90,7 +90,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
     are not learnt from. Nothing but the text is an input.
     """
     known = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("quality").alias("quality"))
-    chosen = known.filter(fold(4) != 2).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
+    chosen = hashed_sample(known.filter(fold(4) != 2), fit_rows, "doc_id")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

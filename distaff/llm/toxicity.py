@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from distaff.llm.common import fold
+from distaff.llm.common import fold, hashed_sample
 
 #: Labelled rows learnt from, at most; chosen by a hash of the id. The first
 #: share of them trains the dictionaries, the others calibrate.
@@ -221,7 +221,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -
     contradicting labels counts as toxic.
     """
     known = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
-    chosen = known.filter(fold(4) != 2).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
+    chosen = hashed_sample(known.filter(fold(4) != 2), fit_rows, "doc_id")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows: pd.DataFrame = texts.join(chosen, "doc_id").withColumn("place", F.xxhash64("doc_id")).toPandas()
     rows = rows.sort_values(["place", "doc_id"], kind="stable")
