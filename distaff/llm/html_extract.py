@@ -27,7 +27,7 @@ FIT_PAGES, LAYOUTS = 250, 3
 #: What leaving a node to its children costs, in characters times nats.
 DESCENT = 1.0
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|</?[a-zA-Z!?][^>]*\Z", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 TOKEN = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
