@@ -33,7 +33,6 @@ SPLIT_SEED = 3407
 SAMPLE_ROWS = 3000
 TEST_SHARE = 0.08
 MEDIUM_ROWS = 300
-EVAL_CALL_ROWS = 40
 
 # Token capture.
 MAX_SEQUENCE = 768
@@ -41,21 +40,11 @@ MAX_TRAIN_TOKENS = 512
 TOP_K = 64
 IGNORE_LABEL = -100
 ROWS_PER_FILE = 5000
+MAX_VOCABULARY = 1_000_000
 
 # Generation.
 GENERATION_BATCH = 4
 
-# Manifest of a lossless top-k capture.
-CAPTURE_MANIFEST = {
-    "exact_dtype": "float32",
-    "polynomial_terms": None,
-    "term_dtype": "float32",
-    "residual_bins": [],
-    "delta_encoding": True,
-    "error_diffusion": False,
-    "normalize_t": False,
-}
-
 # Loss sweep and run bookkeeping.
 SWEEP_TEMPERATURES = (1.0, 2.0, 4.0)
 SWEEP_ALPHAS = (0.0, 0.5, 0.9)

@@ -11,13 +11,15 @@ reads with Python's ``json`` in Arrow batches where those matter.
 """
 
 import json
+import uuid
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-END_MARKER = "<<end-of-document-5f0c9a7be21d4463>>"
+# Drawn anew by each driver, so that no text can hold it on purpose.
+END_MARKER = f"<<end-of-document-{uuid.uuid4().hex}>>"
 
 CALL_FIELDS = T.StructType(
     [
@@ -34,9 +36,15 @@ def json_block(text: Column) -> Column:
     """From the first ``{`` to the last ``}``, across lines; not JSON if none.
 
     Text without a brace is null at once, which spares plain replies the
-    search and the parser's exception.
+    parser's exception. Both ends are looked up once, so that many opening
+    braces without a closing one cost no more than others.
     """
-    return F.when(F.contains(text, F.lit("{")), F.regexp_extract(text, r"(?s)\{.*\}", 0))
+    first = F.locate("{", text)
+    last = F.length(text) - F.locate("}", F.reverse(text)) + 1
+    block = F.when(
+        F.contains(text, F.lit("}")) & (last > first), F.substring(text, first, last - first + 1)
+    ).otherwise("")
+    return F.when(first > 0, block)
 
 
 def _marked(text: Column) -> Column:

@@ -14,7 +14,6 @@ from distaff.constants import IGNORE_LABEL, SWEEP_ALPHAS, SWEEP_TEMPERATURES, TO
 from distaff.functions.distributions import (
     bind,
     jensen_shannon,
-    kl_divergence,
     log_softmax,
     top_entries,
 )
@@ -50,22 +49,30 @@ def truncate_vocab(df: DataFrame, width: int, *columns: str) -> DataFrame:
     return df.withColumns({c: F.slice(F.col(c), 1, width) for c in columns})
 
 
-def with_log_softmax(df: DataFrame, column: str, name: str, temperature: float = 1.0) -> DataFrame:
-    return df.withColumn(name, log_softmax(F.col(column), temperature))
+def _or_fail(value: Column, problem: str) -> Column:
+    """``value``, or a failing query where it is null: a mean would leave it out."""
+    return F.coalesce(value, F.raise_error(F.lit(problem)).cast("double"))
 
 
 def divergence(temperature: float, beta: float = 0.0) -> Column:
-    """Per-position divergence of student from teacher."""
-    return bind(
+    """Per-position divergence of student from teacher.
+
+    Missing distributions and unequal widths fail the query; ``truncate_vocab``
+    is the way to compare models with padded heads.
+    """
+    value = bind(
         log_softmax(F.col("teacher"), temperature),
         lambda t: bind(
             log_softmax(F.col("student"), temperature), lambda s: jensen_shannon(t, s, beta)
         ),
     )
+    same = F.size("teacher") == F.size("student")
+    return _or_fail(F.when(same, value), "teacher and student differ in width")
 
 
 def counted() -> Column:
-    return F.col("label") != IGNORE_LABEL
+    """Positions that count; a missing label does, and fails where it is used."""
+    return F.coalesce(F.col("label") != IGNORE_LABEL, F.lit(True))
 
 
 def masked_mean(value: Column) -> Column:
@@ -73,11 +80,12 @@ def masked_mean(value: Column) -> Column:
 
 
 def label_nll() -> Column:
-    """Per-position −ln q(label); null on ignored positions."""
-    return F.when(
-        counted(),
-        bind(log_softmax(F.col("student")), lambda q: -F.get(q, F.col("label"))),
-    )
+    """Per-position −ln q(label); null on ignored positions.
+
+    A label outside the student's width fails the query.
+    """
+    value = bind(log_softmax(F.col("student")), lambda q: -F.get(q, F.col("label")))
+    return F.when(counted(), _or_fail(value, "label outside the student's vocabulary"))
 
 
 def kl_forward(df: DataFrame, temperature: float, *by: str) -> DataFrame:
@@ -187,23 +195,28 @@ def topk_long(df: DataFrame, k: int = TOP_K, *position: str) -> DataFrame:
 
 
 def sparse_kl_value(top: Column, student_logprobs: Column) -> Column:
-    """Σ p (ln p − ln q) over the stored entries; missing mass counts as 0."""
-    return F.aggregate(
+    """Σ p (ln p − ln q) over the stored entries; missing mass counts as 0.
+
+    A stored id outside the student's width, or a missing side, fails the query.
+    """
+    value = F.aggregate(
         top,
         F.lit(0.0),
         lambda acc, e: acc
         + F.exp(e["logprob"]) * (e["logprob"] - F.get(student_logprobs, e["token_id"])),
     )
+    return _or_fail(value, "stored entry outside the student's vocabulary")
 
 
 def sparse_kl(teacher: DataFrame, student: DataFrame, *position: str) -> DataFrame:
     """Masked mean of the divergence from stored top-k teacher rows.
 
     ``teacher`` has ``top`` and ``label``, ``student`` full logits; both are
-    joined on their position and compared inside the row.
+    joined on their position and compared inside the row. A position the
+    student lacks fails the query.
     """
     value = bind(log_softmax(F.col("student")), lambda q: sparse_kl_value(F.col("top"), q))
-    joined = teacher.filter(counted()).join(student, list(position))
+    joined = teacher.filter(counted()).join(student, list(position), "left")
     return joined.agg(F.avg(value).alias("sparse_kl"))
 
 
@@ -211,11 +224,3 @@ def composite_loss(df: DataFrame, weights: dict[str, float], name: str = "loss")
     """Weighted sum of loss columns."""
     weighted = sum((F.col(c) * F.lit(w) for c, w in weights.items()), F.lit(0.0))
     return df.withColumn(name, weighted)
-
-
-def dense_kl_value(temperature: float = 1.0) -> Column:
-    """Forward KL of one position."""
-    return bind(
-        log_softmax(F.col("teacher"), temperature),
-        lambda t: bind(log_softmax(F.col("student"), temperature), lambda s: kl_divergence(t, s)),
-    )

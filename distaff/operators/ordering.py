@@ -1,9 +1,9 @@
 """Top-n rows, dense numbering and neighbours without a one-task sort."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from distaff.session import materialise
+from distaff.session import MAX_SLICE, materialise
 
 TASKS_PER_MERGE = 256
 
@@ -13,8 +13,11 @@ def head_slice(df: DataFrame, n: int, *order) -> DataFrame:
 
     A plain ``orderBy.limit`` sends n rows of every input partition to one
     task. The extra level keeps the best n of each group of partitions
-    first; the rank limit runs inside the map tasks as well.
+    first; the rank limit runs inside the map tasks as well. More than
+    ``MAX_SLICE`` rows are refused, since that limit stops there.
     """
+    if n > MAX_SLICE:
+        raise ValueError(f"a head slice has at most {MAX_SLICE} rows")
     groups = F.floor(F.spark_partition_id() / TASKS_PER_MERGE)
     best = Window.partitionBy("_group").orderBy(*order)
     return (
@@ -100,7 +103,3 @@ def previous_value(
 def sorted_rows(df: DataFrame, key: str) -> DataFrame:
     """Deterministic listing by key."""
     return df.orderBy(key)
-
-
-def cast_order(column: str) -> Column:
-    return F.col(column).asc_nulls_last()

@@ -88,12 +88,38 @@ def with_system_prompt(df: DataFrame, template: str = SYSTEM_TEMPLATE) -> DataFr
     return df.withColumn("system_prompt", system_prompt(F.col("tools"), template))
 
 
-def full_dialogue(df: DataFrame) -> DataFrame:
+def _with_usable_prompt(df: DataFrame) -> DataFrame:
+    """System prompts, printed once; rows whose tools are not JSON are left out."""
+    return with_system_prompt(df).filter("system_prompt IS NOT NULL")
+
+
+def content_skip_reason(last: int | None = None, tools: str | None = "tools") -> Column:
+    """Why messages of a row cannot be built from its texts; null where they can.
+
+    ``last`` is the index of the last turn that is used, None for all turns;
+    ``tools`` names the tool list, None where rows have none.
+    """
+    used = F.col("conversations") if last is None else F.slice("conversations", 1, last + 1)
+    empty = F.exists(used, lambda t: t.isNull() | t["from"].isNull() | t["value"].isNull())
+    reason = F.when(F.coalesce(empty, F.lit(False)), "empty_content")
+    if tools is None:
+        return reason
+    return F.when(_indented(F.col(tools)).isNull(), "tools_not_json").otherwise(reason)
+
+
+def full_dialogue(df: DataFrame, on_unknown: str = "error") -> DataFrame:
     """All turns after a system message.
 
     Calls are assistant turns, function results are user turns with a fixed
-    prefix; any other role outside the dialogue roles fails the query.
+    prefix. A row with any other role fails the query (``error``) or is left
+    out (``skip``), as are rows with a ``content_skip_reason``.
     """
+    if on_unknown not in ("error", "skip"):
+        raise ValueError(f"unknown policy: {on_unknown}")
+    if on_unknown == "skip":
+        known = [*DIALOGUE_ROLES, "function_call", "observation"]
+        df = df.filter(F.forall("conversations", lambda t: t["from"].isin(known)))
+    df = df.filter(content_skip_reason(tools=None).isNull())
     mapping = _role_map(DIALOGUE_ROLES)
 
     def as_message(t):
@@ -110,27 +136,37 @@ def full_dialogue(df: DataFrame) -> DataFrame:
         return message(role, content)
 
     opening = F.array(message("system", F.col("system_prompt")))
-    return with_system_prompt(df).withColumn(
+    return _with_usable_prompt(df).withColumn(
         "messages", F.concat(opening, F.transform("conversations", as_message))
     )
 
 
 def prompt_messages(df: DataFrame) -> DataFrame:
-    """``[system, user]`` of each row whose first turn is a person's."""
-    return with_system_prompt(df.filter(turn(0, "from") == "human")).withColumn(
+    """``[system, user]`` of each row whose first turn is a person's.
+
+    Rows with a ``content_skip_reason(0)`` are left out.
+    """
+    fitting = df.filter((turn(0, "from") == "human") & content_skip_reason(0, None).isNull())
+    return _with_usable_prompt(fitting).withColumn(
         "messages",
         F.array(message("system", F.col("system_prompt")), message("user", turn(0, "value"))),
     )
 
 
-def triple_skip_reason(roles: dict = PREP_ROLES, target_roles: list | None = None) -> Column:
-    """Why a row gives no message triple; null where it does."""
+def triple_skip_reason(
+    roles: dict = PREP_ROLES, target_roles: list | None = None, tools: str | None = "tools"
+) -> Column:
+    """Why a row gives no message triple; null where it does.
+
+    ``tools`` names the tool list, None where rows have none.
+    """
     allowed = list(roles) if target_roles is None else target_roles
     return (
         F.when(F.coalesce(F.size("conversations"), F.lit(0)) < 1, "no_turns")
         .when(F.coalesce(turn(0, "from"), F.lit("")) != "human", "first_not_human")
         .when(F.size("conversations") < 2, "no_reply")
         .when(~F.coalesce(turn(1, "from"), F.lit("")).isin(allowed), "reply_role")
+        .otherwise(content_skip_reason(1, tools))
     )
 
 
@@ -142,9 +178,9 @@ def triple_messages(
     Rows that do not have that shape are left out; ``target_roles`` narrows
     the accepted reply roles (all mapped roles by default).
     """
-    fitting = df.filter(triple_skip_reason(roles, target_roles).isNull())
+    fitting = df.filter(triple_skip_reason(roles, target_roles, tools=None).isNull())
     mapping = _role_map(roles)
-    return with_system_prompt(fitting).withColumn(
+    return _with_usable_prompt(fitting).withColumn(
         "messages",
         F.array(
             message("system", F.col("system_prompt")),
@@ -166,12 +202,17 @@ class ChatTemplate:
 def render_messages(
     messages: Column, template: ChatTemplate = ChatTemplate(), add_generation_prompt: bool = False
 ) -> Column:
+    """Text of all messages; one without role or content fails the query."""
     before, after = template.opening.split("{role}")
+    incomplete = F.raise_error(F.lit("message without role or content")).cast("string")
     body = F.array_join(
         F.transform(
             messages,
-            lambda m: F.concat(
-                F.lit(before), m["role"], F.lit(after), m["content"], F.lit(template.closing)
+            lambda m: F.coalesce(
+                F.concat(
+                    F.lit(before), m["role"], F.lit(after), m["content"], F.lit(template.closing)
+                ),
+                incomplete,
             ),
         ),
         "",
@@ -214,8 +255,9 @@ def ground_truth_target(df: DataFrame) -> DataFrame:
 
 
 def target_messages(df: DataFrame) -> DataFrame:
-    """Messages of the rows that have a target."""
-    return with_system_prompt(ground_truth_target(df).filter("target IS NOT NULL")).withColumn(
+    """Messages of the rows that have a target and no ``content_skip_reason(0)``."""
+    fitting = ground_truth_target(df).filter(F.col("target").isNotNull() & content_skip_reason(0, None).isNull())
+    return _with_usable_prompt(fitting).withColumn(
         "messages",
         F.array(
             message("system", F.col("system_prompt")),
@@ -223,3 +265,26 @@ def target_messages(df: DataFrame) -> DataFrame:
             message("assistant", F.col("target")),
         ),
     )
+
+
+def completion_messages(df: DataFrame, completion: str = "teacher_completion") -> DataFrame:
+    """``[system, user, completion]`` of completion records (tools, prompt_user_turn, completion).
+
+    Records without prompt or completion, or whose tools are not JSON, are
+    left out; ``completion_skip_reason`` counts them.
+    """
+    empty = F.col("prompt_user_turn").isNull() | F.col(completion).isNull()
+    return _with_usable_prompt(df.filter(~empty)).withColumn(
+        "messages",
+        F.array(
+            message("system", F.col("system_prompt")),
+            message("user", F.col("prompt_user_turn")),
+            message("assistant", F.col(completion)),
+        ),
+    )
+
+
+def completion_skip_reason(completion: str = "teacher_completion") -> Column:
+    """Why a completion record gives no training text; null where it does."""
+    empty = F.col("prompt_user_turn").isNull() | F.col(completion).isNull()
+    return F.when(_indented(F.col("tools")).isNull(), "tools_not_json").when(empty, "empty_content")

@@ -87,6 +87,20 @@ def length_stats(df: DataFrame, length: Column, *by: str) -> DataFrame:
     exceeds that index. Base rows are only counted, never sorted.
     """
     histogram = df.groupBy(*by, length.alias("_length")).agg(F.count("*").alias("_rows"))
+    return _histogram_stats(histogram, *by)
+
+
+def length_stats_with_total(df: DataFrame, length: Column, by: str, total: str) -> DataFrame:
+    """``length_stats`` by one column and, under the name ``total``, of all rows.
+
+    The rows are read and measured once; the totals come from the histogram.
+    """
+    histogram = df.groupBy(by, length.alias("_length")).agg(F.count("*").alias("_rows"))
+    both = histogram.withColumn(by, F.explode(F.array(F.col(by), F.lit(total))))
+    return _histogram_stats(both.groupBy(by, "_length").agg(F.sum("_rows").alias("_rows")), by)
+
+
+def _histogram_stats(histogram: DataFrame, *by: str) -> DataFrame:
     group = Window.partitionBy(*by)
     running = histogram.withColumn(
         "_upto", F.sum("_rows").over(group.orderBy("_length"))

@@ -1,13 +1,13 @@
 """Seeded samples and exact splits.
 
 Rows are ordered by a salted hash of their key. The n-th smallest hash is
-found from the key column alone: a histogram over 4096 hash prefixes names the
-bucket that holds it, large buckets are refined by longer prefixes, and the
-keys of a small one are ranked. That one (hash, key) pair is fetched and rows
-are kept by comparing with it, so the payload is neither sorted nor shuffled,
-splits of splits stay plain projections, and the result does not depend on
-partitioning. Keys should be unique; copies of a key always fall on the same
-side.
+found from the key column alone: histograms over 65,536 hash prefixes name the
+bucket that holds it, two levels deep, and the few keys of the last one are
+ranked. That one (hash, key) pair is fetched and rows are kept by comparing
+with it, so the payload is neither sorted nor shuffled, splits of splits stay
+plain projections, and the result does not depend on partitioning. Null keys
+take part like any other. Copies of a key fall on the same side; where the cut
+would run between them no exact size is possible and the call fails.
 """
 
 import math
@@ -18,22 +18,21 @@ from pyspark.sql import functions as F
 from distaff.constants import MEDIUM_ROWS, SAMPLE_ROWS, SPLIT_SEED, TEST_SHARE
 from distaff.functions.text import hash_uniform, salted_hash
 
-# Three hexadecimal digits: each histogram has at most 4096 rows, per task and
-# in the result the driver looks at.
-DIGITS_PER_LEVEL = 3
-HASH_DIGITS = 32
-RANKED_ROWS = 100_000
+# Four hexadecimal digits: each histogram has at most 65,536 rows, per task and
+# in the result the driver looks at. After two of them one row in four thousand
+# million is left to rank.
+DIGITS_PER_LEVEL = 4
+LEVELS = 2
 
 
 def _last_wanted(df: DataFrame, key: str, seed, wanted):
     """(hash, key) of the last wanted row; ``wanted`` maps total to a count."""
     keys = df.select(salted_hash(F.col(key), seed).alias("h"), F.col(key).alias("k"))
     prefix, rest = "", None
-    while True:
-        digits = min(len(prefix) + DIGITS_PER_LEVEL, HASH_DIGITS)
+    for _ in range(LEVELS):
         counts = (
             keys.filter(F.col("h").startswith(prefix))
-            .groupBy(F.substring("h", 1, digits).alias("bucket"))
+            .groupBy(F.substring("h", 1, len(prefix) + DIGITS_PER_LEVEL).alias("bucket"))
             .count()
             .collect()
         )
@@ -46,11 +45,9 @@ def _last_wanted(df: DataFrame, key: str, seed, wanted):
                 break
             rest -= n
         prefix = bucket
-        if n <= RANKED_ROWS or digits == HASH_DIGITS:
-            break
     # Copies of a key are counted before they are ranked.
     upto = Window.partitionBy("bucket").orderBy("h", "k")
-    return (
+    last = (
         keys.filter(F.col("h").startswith(prefix))
         .groupBy("h", "k")
         .count()
@@ -60,15 +57,19 @@ def _last_wanted(df: DataFrame, key: str, seed, wanted):
         .orderBy("h", "k")
         .first()
     )
+    if last["upto"] != rest:
+        raise ValueError(f"{key} is repeated at the cut ({last['k']!r}): no exact size is possible")
+    return last
 
 
 def _is_low(df: DataFrame, key: str, seed, wanted) -> Column:
-    """True for the ``wanted`` rows of lowest (hash, key)."""
+    """True for the ``wanted`` rows of lowest (hash, key), null keys first."""
     last = _last_wanted(df, key, seed, wanted)
     if last is None:
         return F.lit(False)
     h, k = salted_hash(F.col(key), seed), F.lit(last["k"])
-    return (h < last["h"]) | ((h == last["h"]) & (F.col(key) <= k))
+    tied = F.col(key).isNull() | F.coalesce(F.col(key) <= k, F.lit(False))
+    return (h < last["h"]) | ((h == last["h"]) & tied)
 
 
 def seeded_sample(
@@ -118,11 +119,45 @@ def split_audit(train: DataFrame, test: DataFrame, key: str) -> DataFrame:
     )
 
 
+def prompt_overlap(train: DataFrame, test: DataFrame, prompt: str) -> DataFrame:
+    """Distinct prompts of both sides that agree once case and white space are ignored.
+
+    Texts are compared by two 64-bit hashes, so only those are shuffled.
+    """
+    plain = F.trim(F.regexp_replace(F.lower(F.col(prompt)), r"\s+", " "))
+    hashed = [F.xxhash64(plain).alias("_h"), F.xxhash64(F.reverse(plain)).alias("_r")]
+    sides = train.select(*hashed, F.lit(1).alias("in_train"), F.lit(0).alias("in_test")).unionAll(
+        test.select(*hashed, F.lit(0).alias("in_train"), F.lit(1).alias("in_test"))
+    )
+    per_prompt = sides.groupBy("_h", "_r").agg(F.sum("in_train").alias("a"), F.sum("in_test").alias("b"))
+    both = (F.col("a") > 0) & (F.col("b") > 0)
+    return per_prompt.agg(
+        F.count_if(F.col("a") > 0).alias("n_train_prompts"),
+        F.count_if(F.col("b") > 0).alias("n_test_prompts"),
+        F.count_if(both).alias("n_shared_prompts"),
+        F.coalesce(F.sum(F.when(both, F.col("b"))), F.lit(0)).alias("n_test_rows"),
+    )
+
+
 def policy_mix(df: DataFrame, step: str, lmbda: float, seed=SPLIT_SEED) -> DataFrame:
     """Mark the steps that train on the student's own rollouts."""
     return df.withColumn("on_policy", hash_uniform(F.col(step), seed) < F.lit(lmbda))
 
 
+def mode_parts(split: DataFrame, kept: DataFrame, key: str) -> DataFrame:
+    """(part, key) of ``held_out``, ``filtered`` and ``unfiltered`` rows, each input read once."""
+    marked = split.join(kept.select(key).distinct().withColumn("_kept", F.lit(True)), key, "left")
+    train = F.col("split") == "train"
+    parts = F.array_compact(
+        F.array(
+            F.when(~train, "held_out"),
+            F.when(train & F.col("_kept").isNotNull(), "filtered"),
+            F.when(train, "unfiltered"),
+        )
+    )
+    return marked.select(F.explode(parts).alias("part"), key)
+
+
 def mode_select(
     df: DataFrame, kept: DataFrame | None, key: str, held_out: bool = False, filtered: bool = False
 ) -> DataFrame:

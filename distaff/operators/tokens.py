@@ -1,15 +1,17 @@
 """Token arrays: encoding, masking, padding and shape checks."""
 
+import re
 from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from distaff.constants import IGNORE_LABEL, MAX_SEQUENCE, MAX_TRAIN_TOKENS
+from distaff.constants import IGNORE_LABEL, MAX_SEQUENCE, MAX_TRAIN_TOKENS, MAX_VOCABULARY
 from distaff.operators.ordering import dense_index
 
 SEPARATOR = r"[ \t\n\r]+"
+BETWEEN = re.compile(r"[^ \t\n\r]+")
 
 
 def words(text: Column, separator: str = SEPARATOR) -> Column:
@@ -33,37 +35,33 @@ def vocab_size(vocab: DataFrame) -> DataFrame:
 def tokenize(
     df: DataFrame,
     vocab: DataFrame,
-    key: str,
     text: str = "text",
-    separator: str = SEPARATOR,
+    name: str = "token_ids",
     unknown_id: int = -1,
+    max_vocab: int = MAX_VOCABULARY,
 ) -> DataFrame:
-    """(key, token_ids): each text's tokens looked up in a vocabulary table.
+    """Add each text's tokens looked up in a vocabulary table (token, id).
 
-    Whether the vocabulary is broadcast is left to its measured size. The
-    ids (below 2**32 - 1) are gathered again per text, the bound of a group
-    being one row; position and id travel as one number, which sorts and
-    spills as a plain long.
+    A vocabulary is bounded by the model that uses it, so it is counted, then
+    sent to every task, and texts are looked up where they are: no row moves
+    and repeated keys stay apart. More than ``max_vocab`` tokens are refused.
+    Null texts give null ids. Tokens lie between blanks, tabs and line ends.
     """
-    exploded = df.select(
-        key, F.posexplode_outer(words(F.col(text), separator)).alias("_pos", "_token")
-    )
-    ids = vocab.select(F.col("token").alias("_token"), F.col("id").alias("_id"))
-    placed = F.shiftleft(F.col("_pos").cast("bigint"), 32) + F.coalesce(
-        F.col("_id").cast("bigint") + 1, F.lit(0)
-    )
-    return (
-        exploded.join(ids, "_token", "left")
-        .groupBy(key)
-        .agg(F.sort_array(F.collect_list(placed)).alias("_placed"))
-        .withColumn("_ids", F.transform("_placed", lambda x: x.bitwiseAND(F.lit((1 << 32) - 1))))
-        .select(
-            key,
-            F.transform(
-                "_ids", lambda x: F.when(x == 0, F.lit(unknown_id)).otherwise(x - 1)
-            ).alias("token_ids"),
+    size = vocab.count()
+    if size > max_vocab:
+        raise ValueError(f"{size} tokens; a vocabulary has at most {max_vocab}")
+    pairs = vocab.select(F.col("token").cast("string"), F.col("id").cast("bigint")).toPandas()
+    ids = dict(zip(pairs["token"], pairs["id"].tolist()))
+    known = df.sparkSession.sparkContext.broadcast(ids)
+
+    @F.pandas_udf("array<bigint>")
+    def looked_up(texts: pd.Series) -> pd.Series:
+        get = known.value.get
+        return texts.map(
+            lambda t: [get(w, unknown_id) for w in BETWEEN.findall(t)], na_action="ignore"
         )
-    )
+
+    return df.withColumn(name, looked_up(F.col(text)))
 
 
 def tokenize_with(
@@ -81,8 +79,10 @@ def tokenize_with(
 def mask_skip_reason(max_len: int = MAX_SEQUENCE) -> Column:
     """Why a rendered row cannot be masked; null where it can."""
     full, prompt = F.size("full_ids"), F.size("prompt_ids")
+    parts = [F.col(c).isNull() for c in ("full_text", "prompt_text", "full_ids", "prompt_ids")]
     return (
-        F.when(~F.startswith(F.col("full_text"), F.col("prompt_text")), "prompt_not_prefix")
+        F.when(parts[0] | parts[1] | parts[2] | parts[3], "missing_text")
+        .when(~F.startswith(F.col("full_text"), F.col("prompt_text")), "prompt_not_prefix")
         .when(full > max_len, "too_long")
         .when(prompt >= full, "empty_reply")
     )

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from distaff.constants import CAPTURE_ROLES, SPLIT_SEED
+from distaff.constants import CAPTURE_ROLES, SPLIT_SEED, SYSTEM_TEMPLATE, TOOLS_SLOT
 from distaff.operators import examples, filters, prompts, sampling
 from distaff.operators.ordering import head_slice
 from distaff.operators.prompts import turn
@@ -42,22 +42,55 @@ def read_chat_corpus(spark, sf):
 
 @query(
     "turns_to_conversations",
-    """select a.conv_id, a.role as first_role, a.text as first_text,
-  b.role as second_role, b.text as second_text
-from conversations a left join conversations b on b.conv_id = a.conv_id and b.turn = 1
-where a.turn = 0""",
+    """select conv_id, row_number() over (partition by conv_id order by turn, role, text) - 1 as pos,
+  role, text, min(turn) over (partition by conv_id) = 0
+    and max(turn) over (partition by conv_id) = count(*) over (partition by conv_id) - 1 as complete
+from conversations""",
 )
 def turns_to_conversations(spark, sf):
+    """Every turn of every conversation, read back from the nested form."""
     nested = corpus.turns_to_conversations(table(spark, sf, "conversations"))
-    return nested.select(
+    return nested.select("conv_id", "complete", F.posexplode("conversations").alias("pos", "t")).select(
         "conv_id",
-        turn(0, "from").alias("first_role"),
-        turn(0, "value").alias("first_text"),
-        turn(1, "from").alias("second_role"),
-        turn(1, "value").alias("second_text"),
+        F.col("pos").cast("bigint").alias("pos"),
+        F.col("t.from").alias("role"),
+        F.col("t.value").alias("text"),
+        "complete",
     )
 
 
+def _real_chats(spark, sf):
+    """Given conversations under the roles of the raw corpus, without tools."""
+    turns = table(spark, sf, "conversations").replace({"user": "human", "assistant": "gpt"}, subset="role")
+    nested = corpus.turns_to_conversations(turns)
+    return nested.withColumnRenamed("conv_id", "example_id").withColumn("tools", F.lit(None).cast("string"))
+
+
+@query(
+    "map_roles_all_turns",
+    """select conv_id as example_id,
+  cast(row_number() over (partition by conv_id order by turn, role, text) - 1 as integer) as pos,
+  role, text as content from conversations""",
+)
+def map_roles_all_turns(spark, sf):
+    """Roles of every turn of the given conversations."""
+    return _messages(prompts.map_roles(_real_chats(spark, sf)))
+
+
+@query(
+    "full_dialogue_all_turns",
+    f"""with kept as (
+  select *, row_number() over (partition by conv_id order by turn, role, text) as pos from conversations
+  where conv_id not in (select conv_id from conversations where role = 'system'))
+select conv_id as example_id, 0 as pos, 'system' as role,
+  '{SYSTEM_TEMPLATE.replace(TOOLS_SLOT, '[]')}' as content from (select distinct conv_id from kept)
+union all select conv_id, cast(pos as integer), role, text from kept""",
+)
+def full_dialogue_all_turns(spark, sf):
+    """Whole conversations after a system message; those with a turn of their own for it are skipped."""
+    return _messages(prompts.full_dialogue(_real_chats(spark, sf), on_unknown="skip"))
+
+
 @query(
     "head_slice",
     "select event_id, user_id, event_type from events order by event_id limit 2000",
@@ -394,11 +427,8 @@ select case when r0 <> 'user' then 'first_not_human' when r1 is null then 'no_re
 from firsts group by 1""",
 )
 def conversation_skip_counts(spark, sf):
-    """Real conversations under the roles ``human`` and ``gpt``."""
-    nested = corpus.turns_to_conversations(
-        table(spark, sf, "conversations").replace({"user": "human", "assistant": "gpt"}, subset="role")
-    )
-    return filters.with_skip_counts(nested, prompts.triple_skip_reason())
+    """Given conversations under the roles ``human`` and ``gpt``."""
+    return filters.with_skip_counts(_real_chats(spark, sf), prompts.triple_skip_reason(tools=None))
 
 
 @query(
@@ -498,6 +528,27 @@ def split_audit(spark, sf):
     )
 
 
+@query(
+    "prompt_overlap",
+    twins.SPLIT_SQL
+    + """, sides as (
+  select trim(regexp_replace(lower(user_turn), '\\s+', ' ', 'g')) as p,
+    count(*) filter (split = 'train') as a, count(*) filter (split = 'test') as b
+  from split group by 1)
+select count(*) filter (a > 0) as n_train_prompts, count(*) filter (b > 0) as n_test_prompts,
+  count(*) filter (a > 0 and b > 0) as n_shared_prompts,
+  cast(coalesce(sum(b) filter (a > 0 and b > 0), 0) as bigint) as n_test_rows from sides""",
+)
+def prompt_overlap(spark, sf):
+    """Prompts that stand on both sides of the split."""
+    split = sampling.exact_split(
+        _usable(spark, sf).select("example_id", turn(0, "value").alias("prompt")), "example_id"
+    )
+    return sampling.prompt_overlap(
+        split.filter(F.col("split") == "train"), split.filter(F.col("split") == "test"), "prompt"
+    )
+
+
 @query(
     "policy_mix",
     """select event_id, ('0x' || substr(md5('3407-' || event_id), 1, 8))::bigint
@@ -521,13 +572,84 @@ union all select 'filtered', example_id from split
 union all select 'unfiltered', example_id from split where split = 'train'""",
 )
 def mode_select(spark, sf):
+    """All three selections from one pass: the filter is a flag on the split rows."""
     split = sampling.exact_split(_usable(spark, sf).select("example_id"), "example_id")
     teacher = paired(spark, sf).filter(F.col("model") == "teacher")
     kept = filters.keep_completions(teacher)
-    parts = {
-        "held_out": sampling.mode_select(split, kept, "example_id", held_out=True, filtered=True),
-        "filtered": sampling.mode_select(split, kept, "example_id", filtered=True),
-        "unfiltered": sampling.mode_select(split, None, "example_id"),
-    }
-    labelled = [df.select(F.lit(p).alias("part"), "example_id") for p, df in parts.items()]
-    return labelled[0].unionAll(labelled[1]).unionAll(labelled[2])
+    return sampling.mode_parts(split, kept, "example_id")
+
+
+@query(
+    "mode_select_one",
+    twins.with_ctes(
+        twins.EXAMPLES, twins.PREDICTIONS, twins.PARSED, twins.PAIRED, twins.USABLE, twins.SPLIT
+    )
+    + """select example_id from split where split = 'train' and example_id in (
+  select example_id from classified where model = 'teacher' and expected_behavior is not null)""",
+)
+def mode_select_one(spark, sf):
+    """The selection a filtered training run asks for."""
+    split = sampling.exact_split(_usable(spark, sf).select("example_id"), "example_id")
+    kept = filters.keep_completions(paired(spark, sf).filter(F.col("model") == "teacher"))
+    return sampling.mode_select(split, kept, "example_id", filtered=True).select("example_id")
+
+
+# ---- from completions to training text
+
+
+def _classified(spark, sf):
+    """Teacher completions with their records and labels."""
+    records = _completion_rows(spark, sf)
+    expected = paired(spark, sf).filter(F.col("model") == "teacher").select(
+        F.col("example_id").cast("string").alias("example_id"), "expects_call"
+    )
+    return filters.classify_completions(records.join(expected, "example_id"), "teacher_completion")
+
+
+_KEPT_SQL = (
+    twins.with_ctes(twins.EXAMPLES, twins.PREDICTIONS, twins.PARSED, twins.PAIRED, twins.PROMPTS)
+    + """, kept as (
+  select cast(c.example_id as varchar) as example_id, c.model, p.tools, p.user_turn as prompt_user_turn,
+    c.completion as teacher_completion, c.expected_behavior, p.system_prompt
+  from classified c join prompts p on p.example_id = c.example_id
+  where c.model = 'teacher' and c.expected_behavior is not null)
+"""
+)
+
+
+@query(
+    "write_filtered",
+    _KEPT_SQL
+    + """select example_id, model, tools, prompt_user_turn, teacher_completion, expected_behavior from kept""",
+)
+def write_filtered(spark, sf):
+    """Kept completions with their label, written and read again."""
+    path = scratch_path(spark, "filtered")
+    completions.write_filtered(_classified(spark, sf), path)
+    return completions.read_completions(spark, path, completions.FILTERED_SCHEMA).drop(completions.CORRUPT)
+
+
+@query(
+    "completion_text",
+    _KEPT_SQL.rstrip()
+    + """,
+ranked as (
+  select *, row_number() over (order by md5('3407-nested-' || example_id), example_id) as r,
+    count(*) over () as n from kept)
+select example_id, case when r <= ceil(n * 0.08e0) then 'test' else 'train' end as inner_split,
+  '<|im_start|>system
+' || system_prompt || '<|im_end|>
+<|im_start|>user
+' || prompt_user_turn || '<|im_end|>
+<|im_start|>assistant
+' || teacher_completion || '<|im_end|>
+' as text from ranked""",
+)
+def completion_text(spark, sf):
+    """Filter, write, read, render and split: the input of sequence-level distillation."""
+    path = scratch_path(spark, "filtered")
+    completions.write_filtered(_classified(spark, sf), path)
+    records = completions.read_completions(spark, path, completions.FILTERED_SCHEMA)
+    text = prompts.render_chat(prompts.completion_messages(records))
+    split = sampling.nested_split(text.withColumn("split", F.lit("train")), "example_id")
+    return split.select("example_id", "inner_split", "text")

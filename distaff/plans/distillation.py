@@ -21,8 +21,8 @@ def _docs(spark, sf, *columns):
 
 
 def _code_points(text):
-    """Stand-in tokenizer: the first code point of every word."""
-    return F.transform(tokens.words(text), lambda w: F.ascii(w).cast("bigint"))
+    """Stand-in tokenizer over whole texts: a number from every character of each word."""
+    return F.transform(tokens.words(text), lambda w: F.conv(F.substring(F.md5(w), 1, 7), 16, 10).cast("bigint"))
 
 
 # ---- tokens
@@ -46,7 +46,7 @@ from ids group by doc_id""",
 def tokenize(spark, sf):
     """Documents in the vocabulary of the benchmark texts."""
     vocab = tokens.build_vocab(table(spark, sf, "benchmark"))
-    encoded = tokens.tokenize(_docs(spark, sf), vocab, "doc_id")
+    encoded = tokens.tokenize(_docs(spark, sf), vocab)
     ids = F.col("token_ids")
     return encoded.select(
         "doc_id",
@@ -100,8 +100,8 @@ _MASKED_SQL = f"""with rendered as (
       as prompt_text
   from documents),
 encoded as (
-  select *, list_transform({_WORDS.format('full_text')}, lambda w: ord(w)) as full_ids,
-    list_transform({_WORDS.format('prompt_text')}, lambda w: ord(w)) as prompt_ids from rendered),
+  select *, list_transform({_WORDS.format('full_text')}, lambda w: ('0x' || substr(md5(w), 1, 7))::bigint) as full_ids,
+    list_transform({_WORDS.format('prompt_text')}, lambda w: ('0x' || substr(md5(w), 1, 7))::bigint) as prompt_ids from rendered),
 reasons as (
   select *, case when not starts_with(full_text, prompt_text) then 'prompt_not_prefix'
     when len(full_ids) > 768 then 'too_long'
@@ -171,7 +171,7 @@ def length_filter(spark, sf):
 
 
 _BATCHES_SQL = f"""with numbered as (
-  select doc_id, list_transform({_WORDS.format('text')}, lambda w: ord(w))[:512] as ids,
+  select doc_id, list_transform({_WORDS.format('text')}, lambda w: ('0x' || substr(md5(w), 1, 7))::bigint)[:512] as ids,
     row_number() over (order by doc_id) - 1 as position from documents),
 batched as (select *, position // 8 as batch_id, position % 8 as slot from numbered),
 sized as (select *, max(len(ids)) over (partition by batch_id) as width from batched)
@@ -247,9 +247,8 @@ def length_stats(spark, sf):
     lengths = _docs(spark, sf, "lang").select(
         "lang", F.size(tokens.words(F.col("text"))).cast("bigint").alias("w")
     )
-    by_lang = quality.length_stats(lengths, F.col("w"), "lang")
-    overall = quality.length_stats(lengths, F.col("w")).select(F.lit("all").alias("lang"), "*")
-    return by_lang.unionByName(overall).withColumn("mean", F.round("mean", 6))
+    stats = quality.length_stats_with_total(lengths, F.col("w"), "lang", "all")
+    return stats.withColumn("mean", F.round("mean", 6))
 
 
 @query(

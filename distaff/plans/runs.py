@@ -107,7 +107,9 @@ def _expected(spark, sf):
 _CLASSIFIED_SQL = (
     twins.PAIRED_SQL
     + """select cast(example_id as varchar) as example_id, model, expected_behavior, drop_reason
-from classified where model = 'teacher'"""
+from classified where model = 'teacher'
+union all select cast(example_id as varchar), model, null, 'no_example' from predictions
+where model = 'teacher' and example_id not in (select example_id from classified)"""
 )
 
 

@@ -4,6 +4,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Rows a head slice or top-k may ask for: what the rank limit before the shuffle cuts to.
+MAX_SLICE = 1_000_000
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Set the SQL options the operators rely on.
@@ -14,7 +17,7 @@ def configure(spark: SparkSession) -> SparkSession:
     must still cut each group before it is shuffled.
     """
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "1000000")
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", str(MAX_SLICE))
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from distaff.constants import CAPTURE_MANIFEST, ROWS_PER_FILE
+from distaff.constants import ROWS_PER_FILE
 
 TOKEN_LOGPROB = T.StructType(
     [T.StructField("token_id", T.IntegerType()), T.StructField("logprob", T.FloatType())]
@@ -33,11 +33,32 @@ def load_messages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def fixed_schema(df: DataFrame, schema: T.StructType = CAPTURE_SCHEMA) -> DataFrame:
-    """Reorder and cast to ``schema``; missing or incompatible columns fail."""
+    """Reorder and convert to ``schema``.
+
+    Missing columns and changes of kind fail, as from fractions to whole
+    numbers; whole numbers that are too large fail when they are read.
+    Fractions may be rounded to a shorter type.
+    """
     absent = [f.name for f in schema.fields if f.name not in df.columns]
     if absent:
         raise ValueError(f"columns missing for the fixed schema: {absent}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    unfit = [f.name for f in schema.fields if not _fits(df.schema[f.name].dataType, f.dataType)]
+    if unfit:
+        raise ValueError(f"columns of another kind than the fixed schema: {unfit}")
+    return df.select(*[f.name for f in schema.fields]).to(schema)
+
+
+def _fits(given: T.DataType, wanted: T.DataType) -> bool:
+    """Whether values stay the same numbers, but for rounding of fractions."""
+    if isinstance(given, T.ArrayType) and isinstance(wanted, T.ArrayType):
+        return _fits(given.elementType, wanted.elementType)
+    if isinstance(given, T.StructType) and isinstance(wanted, T.StructType):
+        found = {f.name: f.dataType for f in given.fields}
+        return all(f.name in found and _fits(found[f.name], f.dataType) for f in wanted.fields)
+    whole, fraction = T.IntegralType, T.FractionalType
+    if isinstance(given, whole):
+        return isinstance(wanted, (whole, fraction))
+    return given == wanted or (isinstance(given, fraction) and isinstance(wanted, fraction))
 
 
 def write_capped_parquet(
@@ -56,9 +77,9 @@ def rows_per_file(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def manifest(vocab_size: int, k: int, overrides: dict | None = None) -> dict:
-    """Settings a reader of the capture must repeat."""
-    return {"d": vocab_size, "k": k, "exact_k": k, **CAPTURE_MANIFEST, **(overrides or {})}
+def manifest(vocab_size: int, k: int, tokenizer: str, schema: T.StructType = CAPTURE_SCHEMA) -> dict:
+    """What a reader of the capture must know: widths, tokenizer and the schema of the files."""
+    return {"d": vocab_size, "k": k, "tokenizer": tokenizer, "schema": schema.simpleString()}
 
 
 def manifest_table(spark: SparkSession, settings: dict) -> DataFrame:

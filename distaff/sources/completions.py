@@ -43,6 +43,12 @@ def corrupt_count(completions: DataFrame) -> DataFrame:
     )
 
 
+def write_filtered(classified: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Write the kept completions of classified ones on ``FILTERED_SCHEMA``."""
+    kept = classified.filter("expected_behavior IS NOT NULL")
+    write_completions(kept.select(*FILTERED_SCHEMA.fieldNames()).to(FILTERED_SCHEMA), path, mode)
+
+
 def write_completions(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write one JSON object per row; null fields are written as nulls."""
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)

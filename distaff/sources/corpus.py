@@ -80,22 +80,21 @@ def read_chat_corpus(
     return with_example_id(rows, content_hash(columns), block)
 
 
-def turns_to_conversations(turns: DataFrame, n_turns: int = 2) -> DataFrame:
-    """First ``n_turns`` turns of long-form ``(conv_id, turn, role, text)``.
+def turns_to_conversations(turns: DataFrame) -> DataFrame:
+    """All turns of long-form ``(conv_id, turn, role, text)``, in order.
 
-    Each wanted turn is picked by a conditional aggregate, so a conversation
-    of any length costs its group one fixed-size buffer.
+    A conversation is one row of the data model, so its turns meet in one
+    group. ``complete`` is false where turn numbers are missing, repeated or
+    do not start at 0: there a later turn would pose as an earlier one.
     """
-    picks = [
-        F.max(F.when(F.col("turn") == i, F.struct("role", "text"))).alias(f"_t{i}")
-        for i in range(n_turns)
-    ]
-    first = turns.filter(F.col("turn") < n_turns).groupBy("conv_id").agg(*picks)
-    found = F.array(*[F.col(f"_t{i}") for i in range(n_turns)])
-    return first.select(
+    entry = F.struct("turn", "role", "text")
+    ordered = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(entry)).alias("_turns"))
+    numbers = F.col("_turns.turn").cast("array<bigint>")
+    expected = F.sequence(F.lit(0).cast("bigint"), F.size("_turns").cast("bigint") - 1)
+    return ordered.select(
         "conv_id",
         F.transform(
-            F.filter(found, lambda t: t.isNotNull()),
-            lambda t: F.struct(t["role"].alias("from"), t["text"].alias("value")),
+            "_turns", lambda t: F.struct(t["role"].alias("from"), t["text"].alias("value"))
         ).alias("conversations"),
+        (numbers == expected).alias("complete"),
     )

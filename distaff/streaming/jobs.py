@@ -6,12 +6,14 @@ and stops; started again it goes on where it stopped.
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from distaff.constants import ROWS_PER_FILE
 from distaff.functions.text import is_finite_loss
 from distaff.operators.filters import classify_completions
-from distaff.sources.completions import COMPLETION_SCHEMA
+from distaff.session import materialise
+from distaff.sources.completions import COMPLETION_SCHEMA, CORRUPT
 
 
 def _append(stream: DataFrame, path: str, checkpoint: str, **options) -> StreamingQuery:
@@ -34,18 +36,28 @@ def stream_classify(
 ) -> StreamingQuery:
     """Classify completions as their JSON lines arrive.
 
-    ``examples`` (example_id, expects_call) is the static side of the join.
+    ``examples`` (example_id, expects_call) is the static side of the join,
+    written once so that no batch works it out again. Every line gives a row:
+    ``drop_reason`` is ``corrupt_line`` where it is no JSON object and
+    ``no_example`` where its example is unknown.
     """
+    schema = T.StructType([*COMPLETION_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
     arriving = (
-        spark.readStream.schema(COMPLETION_SCHEMA)
+        spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .json(completions_dir)
     )
-    paired = arriving.join(examples.select("example_id", "expects_call"), "example_id")
-    classified = classify_completions(paired, "teacher_completion").select(
-        "example_id", "model", "expected_behavior", "drop_reason"
+    static = materialise(examples.select("example_id", "expects_call"), "stream-examples")
+    classified = classify_completions(arriving.join(static, "example_id", "left"), "teacher_completion")
+    reason = (
+        F.when(F.col(CORRUPT).isNotNull(), "corrupt_line")
+        .when(F.col("expects_call").isNull(), "no_example")
+        .otherwise(F.col("drop_reason"))
+    )
+    return _append(
+        classified.select("example_id", "model", "expected_behavior", reason.alias("drop_reason")), out, checkpoint
     )
-    return _append(classified, out, checkpoint)
 
 
 def stream_capture(
@@ -76,7 +88,8 @@ def stream_run_health(
 
     Each batch writes the windows it changed under its own id, which makes a
     repeated batch harmless; ``latest_health`` reads the current state. Rows
-    later than ``lateness`` are dropped, and their windows' state with them.
+    later than ``lateness`` are dropped, and their windows' state with them;
+    ``late_rows`` tells how many the query has dropped.
     """
     changed = run_health(log.withWatermark("ts", lateness), window)
 
@@ -92,6 +105,13 @@ def stream_run_health(
     )
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows behind the watermark in the batches the query still reports."""
+    return sum(
+        op["numRowsDroppedByWatermark"] for batch in query.recentProgress for op in batch["stateOperators"]
+    )
+
+
 def latest_health(spark: SparkSession, out: str) -> DataFrame:
     """Newest value of each run and window."""
     value = F.struct("n", "mean_loss", "n_not_finite")

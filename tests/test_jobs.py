@@ -67,6 +67,8 @@ def test_fixed_schema(spark):
     assert capture.fixed_schema(df).schema == capture.CAPTURE_SCHEMA
     with pytest.raises(ValueError, match="labels"):
         capture.fixed_schema(df.drop("labels"))
+    with pytest.raises(ValueError, match="labels"):
+        capture.fixed_schema(df.withColumn("labels", F.array(F.lit(1.7))))
 
 
 def test_capped_files(spark, tmp_path):
@@ -78,17 +80,17 @@ def test_capped_files(spark, tmp_path):
 
 def test_manifest_mismatch(spark, tmp_path):
     path = str(tmp_path / "manifest")
-    capture.write_manifest(capture.manifest_table(spark, capture.manifest(151_665, 64)), path)
+    capture.write_manifest(capture.manifest_table(spark, capture.manifest(151_665, 64, "tok")), path)
     captured = spark.read.parquet(path)
-    same = capture.manifest_table(spark, capture.manifest(151_665, 64))
+    same = capture.manifest_table(spark, capture.manifest(151_665, 64, "tok"))
     assert capture.check_manifest(captured, same).count() == 0
-    other = capture.manifest(151_936, 64, {"extra": True})
-    del other["normalize_t"]
+    other = capture.manifest(151_936, 64, "tok") | {"extra": True}
+    del other["tokenizer"]
     found = capture.check_manifest(captured, capture.manifest_table(spark, other)).collect()
     assert {r.key: (r.captured, r.training) for r in found} == {
         "d": ("151665", "151936"),
         "extra": (None, "true"),
-        "normalize_t": ("false", None),
+        "tokenizer": ('"tok"', None),
     }
 
 
@@ -116,6 +118,28 @@ def test_stream_equals_batch_after_restart(spark, tmp_path):
     assert batch.exceptAll(stream).count() == 0
 
 
+def test_stream_counts_corrupt_and_unmatched_lines(spark, tmp_path):
+    source, out, progress = (str(tmp_path / x) for x in ("in", "out", "progress"))
+    good = '{"example_id":"1","model":"m","teacher_completion":"which?"}'
+    other = good.replace('"1"', '"9"')
+    spark.createDataFrame([(x,) for x in (good, good[:20], other)], "value string").write.text(source)
+    expected = spark.createDataFrame([("1", False)], "example_id string, expects_call boolean")
+    jobs.stream_classify(spark, source, expected, out, progress).awaitTermination()
+    got = sorted(str(r.drop_reason) for r in spark.read.parquet(out).collect())
+    assert got == ["None", "corrupt_line", "no_example"]
+
+
+def test_stream_health_counts_late_rows(spark, tmp_path):
+    source, out, progress = (str(tmp_path / x) for x in ("in", "out", "progress"))
+    schema, late = log_rows(spark, 0, 1).schema, 0
+    for start, stop in ((1000, 1100), (1100, 1101), (0, 7)):
+        log_rows(spark, start, stop).write.mode("append").parquet(source)
+        query = jobs.stream_run_health(spark.readStream.schema(schema).parquet(source), out, progress)
+        query.awaitTermination()
+        late += jobs.late_rows(query)
+    assert late > 0
+
+
 def test_stream_capture_caps_files(spark, tmp_path):
     source, out, progress = (str(tmp_path / x) for x in ("in", "out", "progress"))
     spark.range(0, 100, 1, 1).write.parquet(source)
@@ -148,3 +172,24 @@ def test_stream_health_equals_batch_after_restart(spark, tmp_path):
 def test_checkpoint_folder_is_the_configured_one(spark):
     assert checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(checkpoint_dir(spark))
+
+
+def test_filtered_completions_keep_their_label(spark, tmp_path):
+    path = str(tmp_path / "kept")
+    rows = lines(spark, 0, 6).withColumn("expects_call", F.col("example_id").cast("int") % 2 == 0)
+    completions.write_filtered(classify_completions(rows, "teacher_completion"), path)
+    got = completions.read_completions(spark, path, completions.FILTERED_SCHEMA).collect()
+    assert {(r.example_id, r.expected_behavior) for r in got} == {("0", "function_call"), ("1", "clarify_or_decline"), ("3", "clarify_or_decline")}
+
+
+def test_conversations_keep_every_turn(spark):
+    from distaff.sources import corpus
+
+    rows = [(1, 0, "a", "x"), (1, 1, "b", "y"), (1, 2, "a", None), (2, 1, "b", "z"), (3, 0, "a", "p"), (3, 0, "a", "p")]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = {r.conv_id: ([tuple(t) for t in r.conversations], r.complete) for r in corpus.turns_to_conversations(df).collect()}
+    assert got == {
+        1: ([("a", "x"), ("b", "y"), ("a", None)], True),
+        2: ([("b", "z")], False),
+        3: ([("a", "p"), ("a", "p")], False),
+    }

@@ -154,3 +154,22 @@ def test_causal_shift(spark):
 def test_frozen_forward_kl(spark):
     rows = workload.positions(spark, "/root/testdata/sf0.01").select(losses.divergence(2.0).alias("d"))
     assert rows.agg(F.sum("d")).first()[0] == pytest.approx(1.913704, abs=1e-6)
+
+
+@pytest.mark.parametrize(
+    "teacher, student, label",
+    [([1.0, 2.0], [1.0], 0), ([1.0], [1.0, 2.0], 0), ([1.0, 2.0], [1.0, 2.0], 5), ([1.0, 2.0], [1.0, 2.0], None), (None, [1.0], 0)],
+)
+def test_no_position_vanishes_from_a_mean(spark, teacher, student, label):
+    rows = [([1.0, 2.0], [2.0, 1.0], 1), (teacher, student, label)]
+    df = spark.createDataFrame(rows, "teacher array<double>, student array<double>, label int")
+    with pytest.raises(Exception, match="width|vocabulary"):
+        losses.kd_loss(df).collect()
+
+
+def test_stored_ids_must_fit_the_student(spark):
+    teacher = spark.createDataFrame([(1, [(0, -0.1), (9, -3.0)], 0)], "p int, top array<struct<token_id:int,logprob:double>>, label int")
+    for student in ([(1, [1.0, 2.0])], [(2, [1.0] * 10)]):
+        other = spark.createDataFrame(student, "p int, student array<double>")
+        with pytest.raises(Exception, match="vocabulary"):
+            losses.sparse_kl(teacher, other, "p").collect()

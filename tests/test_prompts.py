@@ -160,3 +160,36 @@ def test_source_key_is_used(spark, tmp_path):
     spark.createDataFrame([("k1", "[]"), ("k2", "[]")], "id string, tools string").write.json(path)
     read = corpus.read_chat_corpus(spark, path, "json", key="id")
     assert {r.example_id for r in read.collect()} == {"k1", "k2"}
+
+
+def test_rows_without_tools_or_content_are_counted_not_shortened(spark, chats):
+    df = chats(
+        [
+            ("ok", "[]", [("human", "a"), ("gpt", "b")]),
+            ("bad tools", "{", [("human", "a"), ("gpt", "b")]),
+            ("null reply", "[]", [("human", "a"), ("gpt", None)]),
+            ("null prompt", None, [("human", None), ("gpt", "b")]),
+        ]
+    )
+    reasons = {r.example_id: r.why for r in df.select("example_id", prompts.triple_skip_reason().alias("why")).collect()}
+    assert reasons == {"ok": None, "bad tools": "tools_not_json", "null reply": "empty_content", "null prompt": "empty_content"}
+    for built in (prompts.triple_messages(df), prompts.full_dialogue(df), prompts.target_messages(df)):
+        assert [r.example_id for r in built.collect()] == ["ok"]
+    assert {r.example_id for r in prompts.prompt_messages(df).collect()} == {"ok", "null reply"}
+
+
+def test_a_null_message_fails_instead_of_shrinking_the_text(spark):
+    df = spark.createDataFrame([([("user", "a"), ("assistant", None)],)], f"messages {prompts.MESSAGES}")
+    with pytest.raises(Exception, match="without role or content"):
+        prompts.render_chat(df).collect()
+
+
+def test_completion_records_become_messages(spark):
+    df = spark.createDataFrame(
+        [("[]", "q", "a"), ("{", "q", "a"), (None, None, "a"), (None, "q", None)],
+        "tools string, prompt_user_turn string, teacher_completion string",
+    )
+    built = prompts.completion_messages(df).collect()
+    assert [[m.role for m in r.messages] for r in built] == [["system", "user", "assistant"]]
+    reasons = [r.w for r in df.select(prompts.completion_skip_reason().alias("w")).collect()]
+    assert reasons == [None, "tools_not_json", "empty_content", "empty_content"]

@@ -53,13 +53,38 @@ def test_sample_size(spark, n):
     assert got == lowest(range(50), 1, min(n, 50))
 
 
-def test_refined_prefixes_change_nothing(spark, monkeypatch):
+@pytest.mark.parametrize("digits, levels", [(1, 1), (2, 3)])
+def test_prefix_depth_changes_nothing(spark, monkeypatch, digits, levels):
     plain = ids(sampling.seeded_sample(spark.range(3000), "id", 1234))
-    monkeypatch.setattr(sampling, "RANKED_ROWS", 0)
-    monkeypatch.setattr(sampling, "DIGITS_PER_LEVEL", 9)
+    monkeypatch.setattr(sampling, "DIGITS_PER_LEVEL", digits)
+    monkeypatch.setattr(sampling, "LEVELS", levels)
     assert ids(sampling.seeded_sample(spark.range(3000), "id", 1234)) == plain
+
+
+def test_sizes_are_exact_or_refused(spark):
     hot = spark.range(90).select(F.when(F.col("id") < 60, 7).otherwise(F.col("id")).alias("id"))
-    assert sampling.seeded_sample(hot, "id", 1).count() in (1, 60)
+    exact = refused = 0
+    for n in range(1, 90, 4):
+        try:
+            assert sampling.seeded_sample(hot, "id", n).count() == n
+            exact += 1
+        except ValueError:
+            refused += 1
+    assert exact and refused
+
+
+@pytest.mark.parametrize("n", [1, 13, 30, 49])
+def test_null_keys_take_part(spark, n):
+    df = spark.range(50).select(F.when(F.col("id") != 17, F.col("id")).alias("id"))
+    assert sampling.seeded_sample(df, "id", n).count() == n
+    split = sampling.exact_split(df, "id", 0.3)
+    assert split.filter("split = 'test'").count() == 15
+
+
+def test_prompt_overlap_ignores_case_and_white_space(spark):
+    side = lambda *p: spark.createDataFrame([(x,) for x in p], "p string")
+    got = sampling.prompt_overlap(side("A  b", "c", "c", None), side("a b ", "a\tB", "d"), "p").first()
+    assert tuple(got) == (3, 2, 1, 2)
 
 
 def test_empty_input(spark):

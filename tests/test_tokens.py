@@ -102,7 +102,7 @@ def test_tokenize_equals_python(spark):
     texts = ["b a b", "", "  c\n\ta ", "zz a"]
     docs = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
     vocab = spark.createDataFrame([("a", 0), ("b", 1), ("c", 7)], "token string, id int")
-    got = {r.id: r.token_ids for r in tokens.tokenize(docs, vocab, "id", unknown_id=99).collect()}
+    got = {r.id: r.token_ids for r in tokens.tokenize(docs, vocab, unknown_id=99).collect()}
     known = {"a": 0, "b": 1, "c": 7}
     assert got == {i: [known.get(w, 99) for w in t.split()] for i, t in enumerate(texts)}
     assert tokens.vocab_size(vocab).first().vocab_size == 8
@@ -123,3 +123,25 @@ def test_uniform_length(spark):
     assert (rows["x"].shortest, rows["x"].longest, rows["x"].n_off) == (2, 2, 0)
     assert rows["y"].n_off == 2
     assert tokens.uneven_rows(df, ["x", "y"], 2).count() == 2
+
+
+def test_tokenize_keeps_rows_and_columns_without_moving_them(spark):
+    docs = spark.createDataFrame([(1, "a b", "x"), (1, "b", "y"), (1, None, "z")], "id int, text string, other string")
+    vocab = spark.createDataFrame([("a", 0), ("b", 1)], "token string, id int")
+    out = tokens.tokenize(docs, vocab)
+    assert sorted((r.other, r.token_ids) for r in out.collect()) == [("x", [0, 1]), ("y", [1]), ("z", None)]
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError):
+        tokens.tokenize(docs, vocab, max_vocab=1)
+
+
+def test_missing_texts_are_counted_apart(spark):
+    schema = "prompt_text string, full_text string, prompt_ids array<bigint>, full_ids array<bigint>"
+    rows = [(None, "p", [1], [1, 2]), ("p", "p q", None, [1, 2]), ("p", "p q", [1], [1, 2])]
+    got = tokens.mask_and_pad(spark.createDataFrame(rows, schema), 4).collect()
+    assert [r.skip_reason for r in got] == ["missing_text", "missing_text", None]
+
+
+def test_too_long_head_slices_are_refused(spark):
+    with pytest.raises(ValueError):
+        ordering.head_slice(spark.range(3), 1_000_001, "id")
