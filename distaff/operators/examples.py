@@ -43,6 +43,19 @@ def eval_examples(
     return examples if cap is None else head_slice(examples, cap, "example_id")
 
 
+def with_truth_reason(df: DataFrame, exact: bool = False) -> DataFrame:
+    """Add ``truth_reason``: why a row is no example of the argument metrics; null where it is."""
+    call = F.when(expects_call(), turn(1, "value"))
+    reason = (
+        F.when(F.coalesce(turn(0, "from"), F.lit("")) != "human", "first_not_human")
+        .when(F.size("conversations") < 2, "no_reply")
+        .when(~expects_call(), "no_call_due")
+        .when(~F.coalesce(F.col("gt.any_json"), F.lit(False)), "truth_not_json")
+        .when(~F.col("gt.has_name"), "truth_without_name")
+    )
+    return with_document_fields(df, call, "gt", exact).withColumn("truth_reason", reason).drop("gt")
+
+
 def scoring_examples(df: DataFrame, exact: bool = False) -> DataFrame:
     """Decision examples that also carry the call to compare with.
 

@@ -123,6 +123,19 @@ def fp_overlap(scored: DataFrame, model: str, references: list[str]) -> DataFram
     )
 
 
+def unique_false_positives(scored: DataFrame, model: str, reference: str) -> DataFrame:
+    """Calls ``model`` made where none was due and ``reference`` made none, from one grouping."""
+    row = F.struct("user_turn", F.col("call.name").alias("pred_name"), F.col("call.arguments").alias("pred_args"))
+    wrong = ~F.col("gt_is_call") & F.col("pred_is_call") & F.col("model").isin(model, reference)
+    return (
+        scored.filter(wrong)
+        .groupBy("example_id")
+        .agg(_of(model, row).alias("row"), _of(reference, F.lit(1)).alias("other"))
+        .filter("row IS NOT NULL AND other IS NULL")
+        .select("example_id", "row.*")
+    )
+
+
 def index_set_ops(a: DataFrame, b: DataFrame, key: str = "example_id") -> DataFrame:
     """Keys in both sets and in the first only, as labelled rows.
 

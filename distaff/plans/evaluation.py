@@ -228,8 +228,10 @@ def class_balance(spark, sf):
         .otherwise("clarify_or_decline")
         .alias("behaviour"),
     )
+    # The base rows are split, not the join, whose histograms would each run it again.
+    split = exact_split(_human(spark, sf).select("example_id"), "example_id")
     return quality.class_balance(
-        exact_split(labelled, "example_id"), "split", "kept", "behaviour"
+        labelled.join(split, "example_id"), "split", "kept", "behaviour"
     )
 
 

@@ -48,3 +48,13 @@ def test_loss_sweep_is_one_scan(spark):
 def test_head_slice_is_limited_before_the_shuffle(spark):
     rows = spark.range(0, 10_000, 1, 16)
     assert plan(head_slice(rows, 2000, "id")).count("WindowGroupLimit") == 2
+
+
+@pytest.mark.parametrize("name, scans", [("length_stats", 1), ("mode_select", 3), ("class_balance", 3)])
+def test_tables_are_read_no_more_often_than_needed(spark, name, scans):
+    assert plan(QUERIES[name].build(spark, SF)).count("Scan parquet") <= scans
+
+
+def test_tokens_are_looked_up_where_the_row_is(spark):
+    text = plan(QUERIES["tokenize"].build(spark, SF))
+    assert "Exchange" not in text and "Join" not in text
