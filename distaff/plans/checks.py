@@ -229,18 +229,18 @@ def capture_round_trip(spark, sf):
     )
     full = tokens.tokenize(docs, vocab, "full_text", "full_ids")
     both = tokens.tokenize(full, vocab, "prompt_text", "prompt_ids")
-    masked = tokens.mask_and_pad(both, 768, pad_id=-1).filter("skip_reason IS NULL")
+    masked = tokens.mask_and_pad(both, 768, pad_id=-2).filter("skip_reason IS NULL")
     logits = table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("teacher"))
     top = losses.topk_logprobs(losses.truncate_vocab(logits, 48, "teacher"), "teacher", 8)
     rows = masked.join(top, "doc_id").withColumn("top_logprobs", F.array("top"))
     path = scratch_path(spark, "capture")
     capture.write_capped_parquet(capture.fixed_schema(rows), path)
     read = capture.fixed_schema(spark.read.parquet(path))
-    counts = read.agg(
+    off = (F.size("input_ids") != 768) | (F.size("labels") != 768) | (F.size("top_logprobs") != 1)
+    return read.agg(
         F.count("*").alias("n_rows"),
+        F.sum(F.size(F.filter("input_ids", lambda x: x != -2))).alias("n_tokens"),
         F.sum(F.size(F.filter("labels", lambda x: x != -100))).alias("n_labels"),
         F.sum(F.size(F.flatten("top_logprobs"))).alias("n_stored"),
+        F.count_if(off).alias("n_off"),
     )
-    checked = tokens.uniform_length_check(read, ["input_ids", "labels"], 768).agg(F.sum("n_off").alias("n_off"))
-    sizes = rows.agg(F.sum(F.size("full_ids")).alias("n_tokens"))
-    return counts.join(sizes, F.lit(True)).join(checked, F.lit(True))

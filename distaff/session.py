@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Rows a head slice or top-k may ask for: what the rank limit before the shuffle cuts to.
 MAX_SLICE = 1_000_000
+_HOMES: set[str] = set()
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -37,8 +38,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """Unused path below the shared folder."""
-    return f"{checkpoint_dir(spark)}/distaff/{label}-{uuid.uuid4().hex}"
+    """Unused path below the shared folder, in a folder of this application.
+
+    That folder is deleted when the driver ends in good order.
+    """
+    home = f"{checkpoint_dir(spark)}/distaff/{spark.sparkContext.applicationId}"
+    if home not in _HOMES:
+        path = spark._jvm.org.apache.hadoop.fs.Path(home)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _HOMES.add(home)
+    return f"{home}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str = "cut") -> DataFrame:
