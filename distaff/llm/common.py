@@ -4,10 +4,15 @@ A document row is known by ``doc_id`` and the hash of its text (``ROW_KEY``):
 ids may be null or repeated, and rows equal in both are the same document.
 """
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROW_KEY = ["doc_id", "text_hash"]
+#: Names of the key beside columns of any other name.
+ROW_ID, ROW_HASH = "__row_doc_id", "__row_text_hash"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +38,13 @@ def fold(modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def in_slices(batches: Iterable[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Batches cut into short ones, so that only few texts at a time are Python strings."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def in_blocks(docs: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
     """(row, block) and the bytes of all texts.
 

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from distaff.llm.common import ROW_KEY, keyed_texts, same_row
+from distaff.llm.common import ROW_KEY, in_slices, keyed_texts, same_row
 from distaff.session import materialise
 
 WINDOW, SHINGLE = 10, 3
@@ -114,11 +114,12 @@ def find_windows(
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [np.empty(0, np.int64)]
-            for text in batch["text"].to_pylist():
-                tokens = words_of(text)
-                for size in sizes:
-                    each = shingle_hashes(tokens, size)
-                    found.append(each[_passes(known.value, each)])
+            for part in in_slices([batch]):
+                for text in part["text"].to_pylist():
+                    tokens = words_of(text)
+                    for size in sizes:
+                        each = shingle_hashes(tokens, size)
+                        found.append(each[_passes(known.value, each)])
             each, n = np.unique(np.concatenate(found), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(each), pa.array(n.astype(np.int64))], ["hash", "n"])
 
@@ -136,7 +137,7 @@ def find_windows(
 
     def matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sizes, and the shingles that may be prefixes with the words around them."""
-        for batch in batches:
+        for batch in in_slices(batches):
             n_words, found = [], []
             for text in batch["text"].to_pylist():
                 tokens = words_of(text)

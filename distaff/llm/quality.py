@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from distaff.llm import boosted_trees
-from distaff.llm.common import fold, hashed_sample
+from distaff.llm.common import fold, hashed_sample, in_slices
 
 #: Labelled rows the trees are fitted on, at most; chosen by a hash of the id.
 FIT_ROWS = 20_000
@@ -94,7 +94,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             x = [statistics(t) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["quality"], pa.array(x, pa.list_(pa.float64()))], ["doc_id", "quality", "x"])
 
@@ -114,7 +114,7 @@ def score_quality(docs: DataFrame, trees: boosted_trees.Trees, threshold: float
     shared = docs.sparkSession.sparkContext.broadcast(trees)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             x = np.array([statistics(t) for t in batch["text"].to_pylist()], dtype=np.float64).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(shared.value.probabilities(x))], ["doc_id", "score"])
 

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from distaff.llm.common import keyed_texts
+from distaff.llm.common import ROW_HASH, ROW_ID, in_slices, keyed_texts
 from distaff.llm.components import connected_components
 from distaff.session import materialise
 
@@ -54,7 +54,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """(doc_id, text_hash, fp): the fingerprint's bits as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             fps = np.array([fingerprint(t, shingle) for t in batch["text"].to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["text_hash"], pa.array(fps.view(np.int64))], ["doc_id", "text_hash", "fp"]
@@ -231,12 +231,12 @@ def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = MAX_BITS) -> Dat
         "representatives",
     )
     text_hash = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    texts = docs.withColumns({"_id": F.col("doc_id").cast("bigint"), "_hash": text_hash})
+    texts = docs.withColumns({ROW_ID: F.col("doc_id").cast("bigint"), ROW_HASH: text_hash})
 
     def rows_of(chosen: DataFrame) -> DataFrame:
-        match = texts["_id"].eqNullSafe(chosen["doc_id"]) & (texts["_hash"] == chosen["text_hash"])
+        match = texts[ROW_ID].eqNullSafe(chosen["doc_id"]) & (texts[ROW_HASH] == chosen["text_hash"])
         return texts.join(chosen, match, "left_semi")
 
     alone = rows_of(best.filter("count = 1"))
-    repeated = rows_of(best.filter("count > 1")).dropDuplicates(["_id", "_hash"])
-    return alone.unionByName(repeated).drop("_id", "_hash")
+    repeated = rows_of(best.filter("count > 1")).dropDuplicates([ROW_ID, ROW_HASH])
+    return alone.unionByName(repeated).drop(ROW_ID, ROW_HASH)

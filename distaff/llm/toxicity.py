@@ -10,6 +10,7 @@ of three and compared again, strictly, with a large one. How much gain makes a
 text toxic is calibrated on labelled texts the dictionaries have not seen.
 """
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import cached_property
@@ -18,11 +19,12 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from distaff.llm.common import fold, hashed_sample
+from distaff.llm.common import fold, hashed_sample, in_slices
 
 #: Labelled rows learnt from, at most; chosen by a hash of the id. The first
 #: share of them trains the dictionaries, the others calibrate.
@@ -40,7 +42,11 @@ GRAMS = (5, 7, 9)
 LEAST_TEXTS, LEAST_RATIO, LEAST_DEVIATIONS = 3, 2.0, 5.0
 #: Share of a text's four-word shingles that earlier texts may have; beyond it
 #: the text is a copy and doesn't count again.
-COPIED = 0.1
+COPIED, SHINGLE_SAMPLE = 0.1, 8
+#: Windows of ordinary text, about, that its dictionaries are trained on.
+DICTIONARY_SAMPLES = 40_000
+WORD = re.compile(rb" ?[^ ]+ ?")
+ROLL = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -91,71 +97,93 @@ class Meter:
         return ordinary - toxic
 
     def measure(self, text: str | None) -> list[float]:
-        """Largest gain, log of the summed gains of two or more, log of the number of words."""
+        """Largest gain, log of the summed gains of two or more, log of the number of words if anything gained.
+
+        A text without a gain measures zero throughout, however long it is.
+        """
         words = words_of(text)
         found: list[bytes] = []
         for at in np.flatnonzero(self.gains(windows_of(words, WIDE), narrow=False) > 0).tolist():
             found += windows_of(words[at * WIDE : (at + 1) * WIDE], NARROW)
         gains = self.gains(found, narrow=True)
-        return [float(gains.max(initial=0)), float(np.log1p(gains[gains > 1].sum())), float(np.log1p(len(words)))]
+        most = max(0, int(gains.max(initial=0)))
+        return [float(most), float(np.log1p(gains[gains > 1].sum())), float(np.log1p(len(words))) if most else 0.0]
 
 
-def _originals(texts: list[list[bytes]]) -> list[list[bytes]]:
-    """Texts without those that earlier ones mostly hold."""
-    seen: set[tuple] = set()
+def _originals(texts: list[bytes]) -> list[bytes]:
+    """Texts without those that earlier ones mostly hold, judged by one shingle in SHINGLE_SAMPLE."""
+    seen: set[int] = set()
     kept = []
-    for words in texts:
-        shingles = {tuple(words[i : i + 4]) for i in range(max(1, len(words) - 3))}
+    for text in texts:
+        words = text.split()
+        hashes = (xxhash.xxh3_64_intdigest(b" ".join(words[i : i + 4])) for i in range(max(1, len(words) - 3)))
+        shingles = {h for h in hashes if h % SHINGLE_SAMPLE == 0}
         if len(shingles & seen) <= COPIED * len(shingles):
-            kept.append(words)
+            kept.append(text)
         seen |= shingles
     return kept
 
 
-def _grams(word: bytes) -> list[tuple[int, bytes]]:
-    """(place, gram) inside a word, its bounding spaces included."""
-    w = b" " + word + b" "
-    return [(i, w[i : i + n]) for n in GRAMS for i in range(len(w) - n + 1)]
-
-
-def _document_frequencies(texts: list[list[bytes]], only: Counter[bytes] | None = None) -> Counter[bytes]:
-    """In how many texts each gram occurs; of those in ``only``, if given."""
-    known: dict[bytes, frozenset[bytes]] = {}
-    found: Counter[bytes] = Counter()
-    for words in texts:
-        mine: set[bytes] = set()
-        for word in set(words):
-            grams = known.get(word)
-            if grams is None:
-                grams = known[word] = frozenset(g for _, g in _grams(word) if only is None or g in only)
-            mine |= grams
-        found.update(mine)
+def _grams(text: bytes) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(bytes, places, hashes) of the grams of each length that lie in one word, its bounding spaces included."""
+    data = np.frombuffer(b" " + text + b" ", dtype=np.uint8)
+    space = data == 32
+    found = []
+    for n in GRAMS:
+        size = len(data) - n + 1
+        if size <= 0:
+            continue
+        hashes, inside = np.full(size, n, dtype=np.uint64), np.ones(size, dtype=bool)
+        for i in range(n):
+            hashes *= ROLL
+            hashes += data[i : i + size]
+            if 0 < i < n - 1:
+                inside &= ~space[i : i + size]
+        places = np.flatnonzero(inside)
+        found.append((n, places, hashes[places]))
     return found
 
 
-def distinctive_segments(toxic: list[list[bytes]], ordinary: list[list[bytes]], most: int = TOXIC_SEGMENTS) -> list[bytes]:
-    """Parts of words covered by grams that toxic texts have and ordinary ones lack, the commonest last."""
-    there = Counter({g: a for g, a in _document_frequencies(toxic).items() if a >= LEAST_TEXTS})
-    elsewhere = _document_frequencies(ordinary, there)
-    n, m = len(toxic), len(ordinary)
-    telling = set()
-    for gram, a in there.items():
-        b = elsewhere[gram]
-        p = (a + b) / (n + m)
-        ratio = np.log((a + 0.5) / (n + 1)) - np.log((b + 0.5) / (m + 1))
-        deviations = (a / n - b / max(m, 1)) / np.sqrt(max(p * (1 - p) * (1 / n + 1 / max(m, 1)), 1e-12))
-        if ratio > LEAST_RATIO and deviations > LEAST_DEVIATIONS:
-            telling.add(gram)
+def _distinct_grams(text: bytes) -> np.ndarray:
+    return np.unique(np.concatenate([np.empty(0, np.uint64), *[h for _, _, h in _grams(text)]]))
+
+
+def _known(grams: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Places in sorted ``grams`` of those of ``asked`` that are there, -1 for others."""
+    if not len(grams):
+        return np.full(len(asked), -1)
+    at = np.minimum(np.searchsorted(grams, asked), len(grams) - 1)
+    return np.where(grams[at] == asked, at, -1)
+
+
+def distinctive_segments(toxic: list[bytes], ordinary: list[bytes], most: int = TOXIC_SEGMENTS) -> list[bytes]:
+    """Parts of words covered by grams that toxic texts have and ordinary ones lack, the commonest last.
+
+    Grams are counted by hash, text after text, so that memory holds those of
+    the toxic texts only.
+    """
+    if not toxic:
+        return []
+    grams, there = np.unique(np.concatenate([_distinct_grams(t) for t in toxic]), return_counts=True)
+    grams, there = grams[there >= LEAST_TEXTS], there[there >= LEAST_TEXTS]
+    elsewhere = np.zeros(len(grams), dtype=np.int64)
+    for text in ordinary:
+        at = _known(grams, _distinct_grams(text))
+        elsewhere[at[at >= 0]] += 1
+    n, m = len(toxic), max(len(ordinary), 1)
+    ratio = np.log((there + 0.5) / (n + 1)) - np.log((elsewhere + 0.5) / (m + 1))
+    p = (there + elsewhere) / (n + m)
+    spread = np.sqrt(np.maximum(p * (1 - p) * (1 / n + 1 / m), 1e-12))
+    telling = grams[(ratio > LEAST_RATIO) & ((there / n - elsewhere / m) / spread > LEAST_DEVIATIONS)]
     segments: Counter[bytes] = Counter()
-    for words in toxic:
-        for word in words:
-            covered = bytearray(len(word) + 2)
-            for i, gram in _grams(word):
-                if gram in telling:
-                    covered[i : i + len(gram)] = b"\1" * len(gram)
-            edges = np.flatnonzero(np.diff(np.frombuffer(b"\0" + covered + b"\0", dtype=np.int8)))
-            for first, last in edges.reshape(-1, 2).tolist():
-                segments[(b" " + word + b" ")[first:last]] += 1
+    for text in toxic:
+        data = b" " + text + b" "
+        covered = np.zeros(len(data) + 2, dtype=np.int8)
+        for size, places, hashes in _grams(text):
+            for at in places[_known(telling, hashes) >= 0].tolist():
+                covered[at + 1 : at + 1 + size] = 1
+        for first, last in np.flatnonzero(np.diff(covered)).reshape(-1, 2).tolist():
+            segments.update(WORD.findall(data[first:last]))
     ranked = sorted(segments.items(), key=lambda x: (x[1], x[0]))
     return [s for s, _ in ranked[-most:]]
 
@@ -200,13 +228,17 @@ def _calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 0.01) -> np.ndarray:
 def train(texts: list[str | None], toxic: np.ndarray, seed: int = 0) -> Classifier:
     """Dictionaries from the first TRAINING_SHARE of the texts, calibration from the others."""
     cut = int(len(texts) * TRAINING_SHARE)
-    split = [words_of(t) for t in texts[:cut]]
-    bad = _originals([w for w, t in zip(split, toxic, strict=False) if t])
-    good = _originals([w for w, t in zip(split, toxic, strict=False) if not t])
-    segments = b"".join(distinctive_segments(bad, good)) if bad else b""
-    samples = [b" ".join(words[i : i + WIDE]) + b" " for words in good for i in range(0, len(words), WIDE)]
-    chosen = np.random.default_rng(seed).permutation(len(samples))[:60_000]
-    samples = [samples[i] for i in chosen.tolist()]
+    plain = [b" ".join(words_of(t)) for t in texts[:cut]]
+    bad = _originals([x for x, t in zip(plain, toxic, strict=False) if t])
+    good = _originals([x for x, t in zip(plain, toxic, strict=False) if not t])
+    segments = b"".join(distinctive_segments(bad, good))
+    rate = min(1.0, DICTIONARY_SAMPLES * WIDE / max(1, sum(x.count(b" ") + 1 for x in good)))
+    rng = np.random.default_rng(seed)
+    samples = []
+    for text in good:
+        words = text.split()
+        starts = np.arange(0, len(words), WIDE)
+        samples += [b" ".join(words[i : i + WIDE]) + b" " for i in starts[rng.random(len(starts)) < rate].tolist()]
     small, large = (_ordinary_dictionary(samples, size) + TAIL for size in (SMALL, LARGE))
     meter = Meter(Pair(small, segments, 5), Pair(large, segments, 9))
     x = np.array([meter.measure(t) for t in texts[cut:]], dtype=np.float64).reshape(-1, 3)
@@ -238,7 +270,7 @@ def score_toxicity(docs: DataFrame, classifier: Classifier, threshold: float = T
     shared = docs.sparkSession.sparkContext.broadcast(classifier)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             scores = shared.value.scores(batch["text"].to_pylist())
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(scores)], ["doc_id", "score"])
 
@@ -253,7 +285,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     rows = docs.select(F.struct("*").alias("row"))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             texts = batch["row"].field("text").cast(pa.string()).to_pylist()
             fine = shared.value.scores(texts) < threshold
             yield batch.filter(pa.array(fine, pa.bool_()))
