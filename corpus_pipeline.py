@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from distaff.llm import decontaminate, mixing, simhash, substring_dedup, toxicity
-from distaff.llm.common import read_table
+from distaff.llm.common import ROW_HASH, ROW_ID, read_table
 from distaff.session import configure, materialise
 
 #: Boosted and compressed scores, windows and seeded choices are beyond SQL;
@@ -20,11 +20,11 @@ ORACLE_SQL = None
 
 def _keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.withColumns({"_id": F.col("doc_id").cast("bigint"), "_hash": F.xxhash64(text)})
+    return docs.withColumns({ROW_ID: F.col("doc_id").cast("bigint"), ROW_HASH: F.xxhash64(text)})
 
 
 def _matches(docs: DataFrame, rows: DataFrame):
-    return docs["_id"].eqNullSafe(rows["doc_id"]) & (docs["_hash"] == rows["text_hash"])
+    return docs[ROW_ID].eqNullSafe(rows["doc_id"]) & (docs[ROW_HASH] == rows["text_hash"])
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,11 +55,12 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the mix takes, with ``copies``."""
-    mixed = mixing.mix(docs).filter("copies > 0").groupBy("doc_id", "text_hash").agg(F.max("copies").alias("copies"))
+    """Documents that the mix takes, with ``copies``; an input column of that name gives way."""
+    mixed = mixing.mix(docs).filter("copies > 0").groupBy("doc_id", "text_hash").agg(F.max("copies").alias("taken"))
     mixed = materialise(mixed, "mixed")
     keyed = _keyed(docs)
-    return keyed.join(mixed, _matches(keyed, mixed)).select(*[keyed[c] for c in docs.columns], "copies")
+    kept = [keyed[c] for c in docs.columns if c != "copies"]
+    return keyed.join(mixed, _matches(keyed, mixed)).select(*kept, mixed["taken"].alias("copies"))
 
 
 STAGES = [
