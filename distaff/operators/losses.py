@@ -215,9 +215,13 @@ def sparse_kl(teacher: DataFrame, student: DataFrame, *position: str) -> DataFra
     joined on their position and compared inside the row. A position the
     student lacks fails the query.
     """
+    return sparse_kl_mean(teacher.filter(counted()).join(student, list(position), "left"))
+
+
+def sparse_kl_mean(df: DataFrame) -> DataFrame:
+    """``sparse_kl`` where ``top`` and ``student`` already share a row."""
     value = bind(log_softmax(F.col("student")), lambda q: sparse_kl_value(F.col("top"), q))
-    joined = teacher.filter(counted()).join(student, list(position), "left")
-    return joined.agg(F.avg(value).alias("sparse_kl"))
+    return df.filter(counted()).agg(F.avg(value).alias("sparse_kl"))
 
 
 def composite_loss(df: DataFrame, weights: dict[str, float], name: str = "loss") -> DataFrame:

@@ -490,9 +490,8 @@ sparse as (
 
 
 def _captured(spark, sf):
-    rows = positions(spark, sf)
-    teacher = losses.topk_logprobs(rows, "teacher", 16).select("vec_id", "label", "top")
-    return teacher, rows.select("vec_id", "student")
+    """Stored entries of the teacher beside the student's logits."""
+    return losses.topk_logprobs(positions(spark, sf), "teacher", 16).select("vec_id", "label", "top", "student")
 
 
 @query(
@@ -502,10 +501,7 @@ def _captured(spark, sf):
     + "select round(avg(kl), 6) as sparse_kl from sparse",
 )
 def sparse_kl(spark, sf):
-    teacher, student = _captured(spark, sf)
-    return losses.sparse_kl(teacher, student, "vec_id").withColumn(
-        "sparse_kl", F.round("sparse_kl", 6)
-    )
+    return losses.sparse_kl_mean(_captured(spark, sf)).withColumn("sparse_kl", F.round("sparse_kl", 6))
 
 
 @query(
@@ -520,9 +516,7 @@ def composite_loss(spark, sf):
     """Cross entropy and sparse KL at equal weights, per position."""
     from distaff.functions.distributions import bind
 
-    teacher, student = _captured(spark, sf)
-    joined = teacher.filter(losses.counted()).join(student, "vec_id")
-    parts = joined.withColumns(
+    parts = _captured(spark, sf).filter(losses.counted()).withColumns(
         {
             "sparse_kl": bind(
                 log_softmax(F.col("student")),
