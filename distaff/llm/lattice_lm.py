@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from distaff.llm.common import fold, in_blocks
+from distaff.llm.common import fold, hashed_sample, in_blocks, in_slices
 from distaff.session import materialise
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -45,6 +45,7 @@ class Pieces(NamedTuple):
 
     hashes: dict[int, np.ndarray]
     places: dict[int, np.ndarray]
+    heads: dict[int, np.ndarray]  # whether a hash with these upper 16 bits exists, asked first
     first: np.ndarray  # whether a piece begins a word
     prior: np.ndarray  # log weight from the vocabulary's scores
 
@@ -84,14 +85,16 @@ def load_pieces(path: str = VOCABULARY) -> Pieces:
     texts = sorted(found)
     first = np.array([t[0] == MARK for t in texts])
     prior = -np.log(np.array([found[t] for t in texts]) + 10)
-    hashes, places = {}, {}
+    hashes, places, heads = {}, {}, {}
     lengths = np.array([len(t) for t in texts])
     for n in sorted(set(lengths.tolist())):
         where = np.flatnonzero(lengths == n)
         h = _hash(np.array([[ord(c) for c in texts[i]] for i in where], dtype=np.uint32))
         order = np.argsort(h)
         hashes[n], places[n] = h[order], where[order]
-    return Pieces(hashes, places, first, prior)
+        heads[n] = np.zeros(1 << 16, dtype=bool)
+        heads[n][h >> np.uint64(48)] = True
+    return Pieces(hashes, places, heads, first, prior)
 
 
 def first_weights(pieces: Pieces) -> np.ndarray:
@@ -141,10 +144,11 @@ def _edges(pieces: Pieces, codes: np.ndarray) -> Iterator[tuple[int, int, np.nda
             known = pieces.hashes.get(end - begin)
             if known is None:
                 continue
-            at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-            rows = np.flatnonzero(known[at] == h)
+            rows = np.flatnonzero(pieces.heads[end - begin][h >> np.uint64(48)])
             if len(rows):
-                places = pieces.places[end - begin][at[rows]]
+                at = np.minimum(np.searchsorted(known, h[rows]), len(known) - 1)
+                found = known[at] == h[rows]
+                rows, places = rows[found], pieces.places[end - begin][at[found]]
                 if begin:  # within a word only pieces without the mark, also where the text has that sign
                     inner = ~pieces.first[places]
                     rows, places = rows[inner], places[inner]
@@ -196,17 +200,20 @@ def expected_counts(pieces: Pieces, weights: np.ndarray, words: list[str]) -> np
         total = alpha[n]
         ends = iter([*reversed(edges), (0, 0, None, None)])
         edge = next(ends)
+        used, shares = [np.empty(0, np.int64)], [np.empty(0)]
         for end in range(n, 0, -1):
             while edge[1] == end:
                 begin, _, at, places = edge
                 step = weights[places] + beta[end, at]
-                np.add.at(counts, places, np.exp(alpha[begin, at] + step - total[at]))
+                used.append(places)
+                shares.append(np.exp(alpha[begin, at] + step - total[at]))
                 beta[begin, at] = np.logaddexp(beta[begin, at], step)
                 edge = next(ends)
             if end > 1:
                 step = spelled[:, end - 1] + beta[end]
                 counts[pieces.byte] += (size[:, end - 1] * np.exp(alpha[end - 1] + step - total)).sum()
                 beta[end - 1] = np.logaddexp(beta[end - 1], step)
+        counts += np.bincount(np.concatenate(used), np.concatenate(shares), len(counts))
         counts[pieces.end_of_word] += rows
     return counts
 
@@ -277,17 +284,18 @@ def train(texts: DataFrame, vocabulary: str = VOCABULARY, classes: int = CLASSES
     """
     spark = texts.sparkSession
     texts = texts.select(F.coalesce("text", F.lit("")).alias("text"))
-    sample = texts.orderBy(F.xxhash64("text"), "text").limit(CLASS_SAMPLE).toPandas()["text"].tolist()
+    sample = hashed_sample(texts, CLASS_SAMPLE, "text").toPandas()["text"].tolist()
     known = spark.sparkContext.broadcast(fit_classes(sample, classes))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: list[Counter[bytes]] = [Counter() for _ in range(classes)]
-            for text in batch["text"].to_pylist():
-                tokens = _tokens(text)
-                mine = seen[known.value.of(tokens)]
-                mine.update(tokens)
-                mine[END] += 1
+            for part in in_slices([batch]):
+                for text in part["text"].to_pylist():
+                    tokens = _tokens(text)
+                    mine = seen[known.value.of(tokens)]
+                    mine.update(tokens)
+                    mine[END] += 1
             rows = [(w, k, n) for k, each in enumerate(seen) for w, n in each.items()]
             columns = zip(*rows, strict=True) if rows else ([], [], [])
             yield pa.RecordBatch.from_arrays(
@@ -311,7 +319,7 @@ def train(texts: DataFrame, vocabulary: str = VOCABULARY, classes: int = CLASSES
     pieces = load_pieces(vocabulary)
     weights = np.stack([first_weights(pieces)] * classes)
     for k in range(classes):
-        warm = words.filter(each[k] > 0).select("word").orderBy(F.xxhash64("word"), "word").limit(WARM_WORDS).toPandas()["word"]
+        warm = hashed_sample(words.filter(each[k] > 0).select("word"), WARM_WORDS, "word").toPandas()["word"]
         for _ in range(WARM_ROUNDS if len(warm) else 0):
             weights[k] = log_weights(pieces, expected_counts(pieces, weights[k], _text(warm.tolist())))
     table, warmed = spark.sparkContext.broadcast(pieces), spark.sparkContext.broadcast(weights)
