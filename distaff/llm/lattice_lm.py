@@ -29,8 +29,8 @@ MARK = "▁"
 END = b" "
 #: Text bytes of a block of documents.
 BLOCK_BYTES = 8 << 20
-#: Classes of documents, and the bounded sample that tells them apart: training
-#: documents, their most common words, and rounds of fitting.
+#: Classes of documents, the bounded sample of training documents that starts
+#: them, the most common words of all training documents, and rounds of fitting.
 CLASSES, CLASS_SAMPLE, CLASS_WORDS, CLASS_ROUNDS = 6, 2_000, 1_000, 30
 #: Distinct words of each class on which the piece weights warm up, and the
 #: rounds; the weights used come from one more round over all distinct words.
@@ -238,11 +238,9 @@ class Classes(NamedTuple):
         return int(np.argmax(np.bincount(at, minlength=len(self.logs)) @ self.logs))
 
 
-def fit_classes(texts: list[str], classes: int = CLASSES, n_words: int = CLASS_WORDS, seed: int = 0) -> Classes:
+def fit_classes(texts: list[str], words: dict[bytes, int], classes: int = CLASSES, seed: int = 0) -> Classes:
     """Split a sample of texts by expectation maximisation of hard assignments; the likeliest of five starts."""
     split = [_tokens(t) for t in texts]
-    held: Counter[bytes] = Counter(w for tokens in split for w in set(tokens))
-    words = {w: i for i, (w, _) in enumerate(sorted(held.items(), key=lambda x: (-x[1], x[0]))[:n_words])}
     counts = np.zeros((len(split), len(words)))
     for row, tokens in zip(counts, split, strict=True):
         np.add.at(row, [words[w] for w in tokens if w in words], 1)
@@ -252,13 +250,80 @@ def fit_classes(texts: list[str], classes: int = CLASSES, n_words: int = CLASS_W
     for _ in range(5 if len(counts) else 0):
         centres = counts[rng.choice(len(counts), classes, replace=len(counts) < classes)]
         for _ in range(CLASS_ROUNDS):
-            logs = np.log((centres + 0.1) / (centres + 0.1).sum(axis=1, keepdims=True)).T
+            logs = _class_logs(centres)
             fit = counts @ logs
             chosen = fit.argmax(axis=1)
             centres = np.stack([counts[chosen == k].sum(axis=0) for k in range(classes)])
         if fit.max(axis=1).sum() > best[0]:
             best = (fit.max(axis=1).sum(), logs)
-    return Classes(words, np.concatenate([best[1], np.zeros((1, classes))]))
+    return Classes(words, _with_others(best[1]))
+
+
+def _class_logs(centres: np.ndarray) -> np.ndarray:
+    """Log probabilities (words, classes) from word sums (classes, words)."""
+    return np.log((centres + 0.1) / (centres + 0.1).sum(axis=1, keepdims=True)).T
+
+
+def _with_others(logs: np.ndarray) -> np.ndarray:
+    return np.concatenate([logs, np.zeros((1, logs.shape[1]))])
+
+
+def common_words(texts: DataFrame, n_words: int = CLASS_WORDS) -> dict[bytes, int]:
+    """The words that most of all ``texts`` (text) hold, ties in word order."""
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen: Counter[bytes] = Counter()
+            for part in in_slices([batch]):
+                for text in part["text"].to_pylist():
+                    seen.update(set(_tokens(text)))
+            yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())], ["word", "n"])
+
+    counted = texts.mapInArrow(held, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    top = counted.orderBy(F.desc("n"), "word").limit(n_words).collect()
+    return {bytes(r.word): i for i, r in enumerate(top)}
+
+
+def refine_classes(texts: DataFrame, start: Classes, rounds: int = CLASS_ROUNDS) -> Classes:
+    """Rounds of hard assignments over all ``texts`` (text), from ``start`` until no word changes its class.
+
+    The places of common words are written once; in each round the tasks send
+    the word sums of every class, and their sum makes the new centres.
+    """
+    n_words, classes = len(start.words), start.logs.shape[1]
+    if not n_words:
+        return start
+    words = texts.sparkSession.sparkContext.broadcast(start.words)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches):
+            get = words.value.get
+            found = [[i for w in _tokens(t) if (i := get(w)) is not None] for t in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int16()))], ["places"])
+
+    placed = materialise(texts.mapInArrow(place, "places array<smallint>"), "class-words")
+    logs, before = start.logs[:-1], None
+    for _ in range(rounds):
+        known = texts.sparkSession.sparkContext.broadcast(logs)
+
+        def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = np.zeros((classes, n_words), dtype=np.int64)
+            for batch in in_slices(batches):
+                sizes = np.diff(batch["places"].offsets.to_numpy())
+                at = batch["places"].flatten().to_numpy().astype(np.int64)
+                row = np.repeat(np.arange(len(sizes)), sizes)
+                fit = np.stack([np.bincount(row, each[at], len(sizes)) for each in known.value.T])
+                sums += np.bincount(fit.argmax(axis=0)[row] * n_words + at, minlength=sums.size).reshape(sums.shape)
+            k, at = np.nonzero(sums)
+            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(at), pa.array(sums[k, at])], ["class", "place", "n"])
+
+        got = placed.mapInArrow(assign, "class bigint, place bigint, n bigint").groupBy("class", "place").agg(F.sum("n").alias("n")).toPandas()
+        centres = np.zeros((classes, n_words))
+        centres[got["class"].to_numpy(np.int64), got["place"].to_numpy(np.int64)] = got["n"].to_numpy(np.float64)
+        if before is not None and (centres == before).all():
+            break
+        before, logs = centres, _class_logs(centres)
+    return Classes(start.words, _with_others(logs))
 
 
 class Model(NamedTuple):
@@ -278,14 +343,16 @@ class Model(NamedTuple):
 def train(texts: DataFrame, vocabulary: str = VOCABULARY, classes: int = CLASSES) -> Model:
     """Count the words of ``texts`` (text) by class and estimate the piece weights.
 
-    All words of all texts are counted and all distinct ones give the final
-    weights. The driver gets a sample of ``CLASS_SAMPLE`` texts, sums, samples
-    of ``WARM_WORDS`` words a class, and one expected count for each piece.
+    All texts decide the classes, all words of all texts are counted and all
+    distinct ones give the final weights. The driver gets the common words, a
+    sample of ``CLASS_SAMPLE`` texts that starts the classes, sums, samples of
+    ``WARM_WORDS`` words a class, and one expected count for each piece.
     """
     spark = texts.sparkSession
     texts = texts.select(F.coalesce("text", F.lit("")).alias("text"))
     sample = hashed_sample(texts, CLASS_SAMPLE, "text").toPandas()["text"].tolist()
-    known = spark.sparkContext.broadcast(fit_classes(sample, classes))
+    fitted_classes = refine_classes(texts, fit_classes(sample, common_words(texts), classes))
+    known = spark.sparkContext.broadcast(fitted_classes)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

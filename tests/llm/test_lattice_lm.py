@@ -109,3 +109,31 @@ def test_no_rows_and_no_training_rows(spark):
     alone = next(d for d in range(100) if zlib.crc32(str(d).encode()) % 10 == 0)
     r = lm.score_documents(spark.createDataFrame([(alone, "so new", "", 0)], SCHEMA)).first()
     assert (r.train_tokens, r.n_known, r.n_tokens) == (0, 0, 3) and math.isfinite(r.score) and math.isfinite(r.base_score)
+
+
+def test_all_texts_decide_the_classes(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    tongues = [[f"{c}{i}" for i in range(60)] for c in "abz"]
+    texts = [" ".join(rng.choice(tongues[k], 40)) for k in [0, 1] * 150 + [2] * 12]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    monkeypatch.setattr(lm, "CLASS_SAMPLE", 8)
+    found = lm.train(docs, classes=3).classes
+    assert {w.decode() for w in found.words} == {w for each in tongues for w in each}
+
+    words = lm.common_words(docs)
+    counts = np.zeros((len(texts), len(words)))
+    for row, text in zip(counts, texts, strict=True):
+        np.add.at(row, [words[w] for w in text.encode().split()], 1)
+
+    def another(logs):
+        chosen = (counts @ logs).argmax(axis=1)
+        return lm._class_logs(np.stack([counts[chosen == k].sum(axis=0) for k in range(3)]))
+
+    assert found.words == words and np.allclose(another(found.logs[:-1]), found.logs[:-1])  # settled on all texts
+    start = lm.fit_classes(texts[:8], words, 3)  # has no text of the rare tongue
+    logs = start.logs[:-1]
+    for _ in range(lm.CLASS_ROUNDS):
+        logs = another(logs)
+    assert np.allclose(lm.refine_classes(docs, start).logs[:-1], logs)
+    empty = lm.common_words(docs.limit(0))
+    assert empty == {} and lm.refine_classes(docs, lm.fit_classes([], empty)).words == {}
