@@ -37,11 +37,16 @@ INLINE = frozenset(
 )
 VOID = frozenset("br img input area base col embed link meta param source track wbr hr".split())
 RAW = frozenset("script style textarea title noframes xmp iframe".split())
+NESTED = frozenset("template svg math object".split())
 HIDDEN = frozenset("head template noscript svg math select button object canvas audio video datalist map".split())
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr main menu nav ol p pre section summary table ul".split()
 )
+#: Start tags that may stand in a head; others end it, as text does.
+IN_HEAD = frozenset("html head base basefont bgsound link meta title noscript noframes style script template".split())
+#: Start tags that end hidden elements which nothing closes.
+BLOCK = CLOSES_P | frozenset("body li dd dt table".split()) - {"hr"}
 #: Start tags that end open elements of these kinds, up to a container.
 SAME_LEVEL = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 CONTAINERS = frozenset("ul ol dl menu table tbody thead tfoot tr td th div section article aside nav header footer main form body".split())
@@ -87,14 +92,43 @@ def _mask(tag: str, attributes: str) -> tuple[int, int]:
     return mask, gold
 
 
+def _unclosed(source: str) -> set[int]:
+    """Where start tags of hidden elements end that have no end tag of their own."""
+    open_tags: dict[str, list[int]] = {}
+    lost, at = set(), 0
+    while found := TAG.search(source, at):
+        at = found.end()
+        ends, tag = found.group(1, 2) if found.group(2) else found.group(4, 5)
+        tag = (tag or "").lower()
+        if tag in RAW and not ends:
+            stop = re.compile(f"</{tag}", re.I).search(source, at)
+            at = stop.start() if stop else len(source)
+        elif tag in HIDDEN:
+            begun = open_tags.setdefault(tag, [])
+            if not ends:
+                if tag not in NESTED:
+                    lost.update(begun)
+                    begun.clear()
+                begun.append(at)
+            elif begun:
+                begun.pop()
+    return lost.union(*open_tags.values())
+
+
 def read_page(text: str | None) -> Page:
-    """Tolerant reading: implied end tags, unclosed and stray tags, comments, raw text."""
+    """Tolerant reading: implied end tags, unclosed and stray tags, comments, raw text.
+
+    A head ends at what can't stand in it; another hidden element without an
+    end tag ends at the next block.
+    """
     source = text or ""
     nodes: list[tuple] = [(-1, -1, 0, 0, 0, -1)]
     spans, blocks = [[0, 0, 0]], []
     stack: list[tuple[int, str]] = [(0, "")]
     run: list[str] = []
     linked, in_link, hidden, at = 0, False, 0, 0
+    begun: list[tuple[int, int]] = []  # hidden elements that are open: place in the stack, end of the start tag
+    lost: set[int] | None = None
 
     def flush() -> None:
         nonlocal linked
@@ -110,10 +144,18 @@ def read_page(text: str | None) -> Page:
         while len(stack) > to:
             node, tag = stack.pop()
             spans[node][1:] = len(blocks), len(nodes)
-            hidden -= tag in HIDDEN
+            if tag in HIDDEN:
+                hidden -= 1
+                begun.pop()
+
+    def end_head() -> None:
+        if stack[-1][1] == stack[begun[0][0]][1] == "head":
+            close(begun[0][0])
 
     while True:
         found = TAG.search(source, at)
+        if hidden and source[at : found.start() if found else len(source)].strip():
+            end_head()
         if not hidden:
             piece = html.unescape(source[at : found.start() if found else len(source)])
             if piece:
@@ -126,6 +168,12 @@ def read_page(text: str | None) -> Page:
         if not tag:
             continue
         tag = tag.lower()
+        if hidden and not ends:
+            if tag in BLOCK and stack[begun[-1][0]][1] != "head":
+                lost = _unclosed(source) if lost is None else lost
+                close(next((depth for depth, place in begun if place in lost and stack[depth][1] != "head"), len(stack)))
+            if hidden and tag not in IN_HEAD:
+                end_head()
         if tag in RAW:
             if not ends:
                 stop = re.compile(f"</{tag}", re.I).search(source, at)
@@ -167,7 +215,9 @@ def read_page(text: str | None) -> Page:
         nodes.append((parent, KIND.get(tag, -1), mask, above[3] | mask, above[4] + 1, gold if gold >= 0 else above[5]))
         spans.append([len(blocks), 0, 0])
         stack.append((len(nodes) - 1, tag))
-        hidden += tag in HIDDEN
+        if tag in HIDDEN:
+            hidden += 1
+            begun.append((len(stack) - 1, at))
     close(0)
     return Page(nodes, spans, blocks)
 

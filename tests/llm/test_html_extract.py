@@ -82,3 +82,19 @@ def test_reading_is_tolerant():
     assert blocks("<ul><li>a<ul><li>b</ul><li>c</ul><table><tr><td>d<td>e<tr><td>f</table>") == list("abcdef")
     assert blocks('<a title="x > y">l</a> <script>"<p>no</p>"</script>m<textarea>n</textarea><STYLE>o</style') == ["l m"]
     assert blocks("<!-- never closed <p>x") == [] and blocks("a < b <3") == ["a < b <3"]
+
+
+def test_hidden_elements_without_end_tags(trees):
+    blocks = lambda t: [b[0] for b in h.read_page(t).blocks]
+    head = "<html><head><title>t</title><style>p{}</style><meta name=a><link rel=b>"
+    for start in ("<body>", "<div>", "<img>", "", "</head>", "<noscript><link rel=c><body>", "</head><head>"):
+        assert blocks(f"{head}{start}words<p>more") == ["words", "more"]
+    assert blocks(f"{head}<noscript><p>x</p></noscript><template><p>x<template></template><p>y</template><body>z") == ["z"]
+    for tag in ("button", "select", "noscript", "svg", "svg/", "object", "video"):
+        assert blocks(f"<div>a<{tag}>x<p>b<div>c</div></div>d") == ["a", "b", "c", "d"]
+        assert blocks(f"<div>a<{tag}>x<p>b</p>c<{tag}>y</{tag.strip('/')}></div>d") == ["a", "b", "c", "d"]
+    for tag in ("button", "noscript", "svg", "template", "object"):
+        assert blocks(f"<div>a<{tag}>x<p>y<div>z</div></{tag}></div>d") == ["a", "d"]
+    assert blocks("<object><object></object><p>x</p></object><p>b") == ["b"]
+    page, text = given(np.random.default_rng(9), 1)
+    assert decoded(page.replace("</head>", ""), trees) == decoded(page, trees) == text.split("\n\n")
