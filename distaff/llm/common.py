@@ -62,9 +62,25 @@ def hashed_sample(rows: DataFrame, limit: int, *key: str) -> DataFrame:
     """At most ``limit`` rows: those of the smallest hashes of ``key`` among about twice as many.
 
     The rate follows the number of rows, so what all tasks send together stays
-    bounded as the table grows.
+    bounded as the table grows. ``key`` must be distinct, as copies are drawn
+    together; ``distinct_sample`` takes rows with copies.
     """
     hashed = F.xxhash64(*key)
     rate = min(1.0, 2 * limit / max(1, rows.count()))
     drawn = rows.filter(F.pmod(hashed, F.lit(1 << 30)) <= int(rate * (1 << 30)))
     return drawn.orderBy(hashed, *key).limit(limit)
+
+
+def distinct_sample(rows: DataFrame, limit: int, key: str) -> DataFrame:
+    """At most ``limit`` distinct values of ``key``, each once however many rows hold it.
+
+    Only 128-bit hashes are made distinct and drawn; then one value of each
+    hash drawn is fetched, copies being dropped where they are read.
+    """
+    hashes = [F.xxhash64(key).alias("h"), F.xxhash64(F.lit(1), key).alias("g")]
+    distinct = rows.select(*hashes).distinct()
+    rate = min(1.0, 2 * limit / max(1, distinct.count()))
+    drawn = distinct.filter(F.pmod("h", F.lit(1 << 30)) <= int(rate * (1 << 30))).orderBy("h", "g").limit(limit).collect()
+    chosen = F.broadcast(rows.sparkSession.createDataFrame(drawn, "h bigint, g bigint"))
+    found = rows.select(key, *hashes).join(chosen, ["h", "g"]).groupBy("h", "g").agg(F.first(key).alias(key))
+    return found.orderBy("h", "g").select(key)

@@ -19,9 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from distaff.llm import boosted_trees
-from distaff.llm.common import hashed_sample
+from distaff.llm.common import distinct_sample
 
-#: Pages that training rearranges, at most, chosen by a hash of the whole page,
+#: Distinct pages that training rearranges, at most, chosen by a hash of the whole page,
 #: and layouts made of each.
 FIT_PAGES, LAYOUTS = 250, 3
 #: What leaving a node to its children costs, in characters times nats.
@@ -429,7 +429,7 @@ def fit_extractor(pages: DataFrame, fit_pages: int = FIT_PAGES, layouts: int = L
     menus, adverts, notices, forms, comments and the like.
     """
     sources = pages.filter("html IS NOT NULL").select(F.col("html").cast("string").alias("html"))
-    texts = hashed_sample(sources, fit_pages, "html").toPandas()["html"].tolist()
+    texts = distinct_sample(sources, fit_pages, "html").toPandas()["html"].tolist()
     contents = [c for c in map(article_of, texts) if c]
     phrases = [MARKUP.sub(" ", p)[:2000] for c in contents for p in PARAGRAPH.findall(c)[:5]] or ["x"]
     rng = np.random.default_rng(seed)

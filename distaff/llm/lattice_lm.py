@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from distaff.llm.common import fold, hashed_sample, in_blocks, in_slices
+from distaff.llm.common import distinct_sample, fold, hashed_sample, in_blocks, in_slices
 from distaff.session import materialise
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -345,12 +345,12 @@ def train(texts: DataFrame, vocabulary: str = VOCABULARY, classes: int = CLASSES
 
     All texts decide the classes, all words of all texts are counted and all
     distinct ones give the final weights. The driver gets the common words, a
-    sample of ``CLASS_SAMPLE`` texts that starts the classes, sums, samples of
+    sample of ``CLASS_SAMPLE`` distinct texts that starts the classes, sums, samples of
     ``WARM_WORDS`` words a class, and one expected count for each piece.
     """
     spark = texts.sparkSession
     texts = texts.select(F.coalesce("text", F.lit("")).alias("text"))
-    sample = hashed_sample(texts, CLASS_SAMPLE, "text").toPandas()["text"].tolist()
+    sample = distinct_sample(texts, CLASS_SAMPLE, "text").toPandas()["text"].tolist()
     fitted_classes = refine_classes(texts, fit_classes(sample, common_words(texts), classes))
     known = spark.sparkContext.broadcast(fitted_classes)
 
