@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from distaff.llm import (
     chat_format,
     decontaminate,
+    filter_interactions,
     html_extract,
     lattice_lm,
     mixing,
     quality,
     simhash,
+    source_divergence,
     substring_dedup,
     topk_search,
     toxicity,
@@ -215,3 +217,85 @@ def op10_topk(spark, sf_dir):
     """The 20 best inner products of every query vector."""
     vectors = topk_search.integer_vectors(read_table(spark, sf_dir, "embeddings"))
     return topk_search.top_k(vectors.filter(F.col("vec_id") % 20 == 0), vectors, k=20)
+
+
+@query(
+    "op11_divergence",
+    sql=f"""
+    WITH d AS (
+      SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+             regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+      FROM documents),
+    t AS (SELECT lang, source, r, unnest(w) AS term FROM d),
+    k AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+    g AS (SELECT DISTINCT lang, source FROM d),
+    x AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY lang, source, term),
+    c AS (
+      SELECT g.lang, g.source, k.term, k.n AS lang_n, coalesce(x.n, 0) AS n
+      FROM g JOIN k USING (lang) LEFT JOIN x ON x.lang = g.lang AND x.source = g.source AND x.term = k.term),
+    s AS (
+      SELECT lang, source, term, n,
+             CAST(1 + (1000000000 * CAST(n + 1 AS HUGEINT)) // (sum(n) OVER w + count(*) OVER w) AS BIGINT) AS p,
+             CAST(1 + (1000000000 * CAST(lang_n + 1 AS HUGEINT)) // (sum(lang_n) OVER w + count(*) OVER w) AS BIGINT) AS q
+      FROM c WINDOW w AS (PARTITION BY lang, source)),
+    sums AS (
+      SELECT a.lang, a.source, b.source AS item, CAST(sum((a.p - b.p) * (a.p - b.p) // b.p) AS BIGINT) AS value
+      FROM s a JOIN s b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    rows AS (
+      SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sums.value, 0) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source
+      UNION ALL
+      SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM s WHERE n > 0 AND p > q),
+    ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM rows)
+    SELECT lang, source, part, item, value, CAST(rank AS INT) AS rank FROM ranked WHERE part = 'pair' OR rank <= 200""",
+)
+def op11_divergence(spark, sf_dir):
+    """Distances between the sources of each language and the terms that mark them."""
+    return source_divergence.source_divergence(read_table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op12_filter_audit",
+    sql=r"""
+    WITH doc AS (
+      SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+             coalesce(regexp_extract_all(text, '[^ 	-]+'), []) AS w,
+             min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least
+      FROM documents),
+    lab AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+    f AS (
+      SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+             [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+              100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text),
+              regexp_matches(text, '[#$%&*|]'), coalesce(doc_id > least, false)] AS fails
+      FROM doc LEFT JOIN lab USING (doc_id)),
+    m AS (
+      SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+      FROM f GROUP BY part, fails),
+    one AS (SELECT unnest(range(1, 6)) AS i),
+    perm AS (
+      SELECT [a.i, b.i, c.i, d.i, e.i] AS p FROM one a, one b, one c, one d, one e
+      WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+    steps AS (SELECT p, array_to_string([substr('ABCDE', x, 1) FOR x IN p], '') AS filter_order, unnest(range(1, 6)) AS step FROM perm),
+    seen AS (
+      SELECT m.part, s.filter_order, s.step, p[s.step] AS f, m.n, m.good, m.toxic, fails[p[s.step]] AS fail,
+             len([x FOR x IN p[1 : s.step - 1] IF fails[x]]) > 0 AS gone, len([x FOR x IN fails IF x]) AS n_fails
+      FROM m, steps s),
+    audit AS (
+      SELECT part, filter_order, step, f,
+             CAST(coalesce(sum(n) FILTER (NOT gone AND NOT fail), 0) AS BIGINT) AS kept,
+             CAST(coalesce(sum(n) FILTER (NOT gone AND fail), 0) AS BIGINT) AS removed,
+             CAST(coalesce(sum(n) FILTER (gone AND fail), 0) AS BIGINT) AS redundant,
+             CAST(coalesce(sum(n) FILTER (fail AND n_fails = 1), 0) AS BIGINT) AS unique_fails,
+             CAST(coalesce(sum(good) FILTER (NOT gone AND fail), 0) AS BIGINT) AS good_lost,
+             CAST(coalesce(sum(toxic) FILTER (NOT gone AND fail), 0) AS BIGINT) AS toxic_lost
+      FROM seen GROUP BY part, filter_order, step, f)
+    SELECT part, filter_order, CAST(step AS INT) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+           CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+    FROM audit""",
+)
+def op12_filter_audit(spark, sf_dir):
+    """Five filters in all 120 orders, for each source."""
+    return filter_interactions.filter_audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
