@@ -12,6 +12,7 @@ from distaff.llm import (
     html_extract,
     lattice_lm,
     mixing,
+    pruned_graph,
     quality,
     simhash,
     source_divergence,
@@ -261,7 +262,8 @@ def op11_divergence(spark, sf_dir):
     sql=r"""
     WITH doc AS (
       SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
-             coalesce(regexp_extract_all(text, '[^ 	-]+'), []) AS w,
+             coalesce(regexp_extract_all(text, '[^ 	-
+]+'), []) AS w,
              min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least
       FROM documents),
     lab AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
@@ -299,3 +301,11 @@ def op11_divergence(spark, sf_dir):
 def op12_filter_audit(spark, sf_dir):
     """Five filters in all 120 orders, for each source."""
     return filter_interactions.filter_audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query("op13_ann")
+def op13_ann(spark, sf_dir):
+    """The five nearest found of every query vector."""
+    vectors = pruned_graph.usable_vectors(read_table(spark, sf_dir, "embeddings"))
+    index = pruned_graph.build_index(vectors, k=5)
+    return pruned_graph.nearest(vectors.filter(F.col("vec_id") % 50 == 0), index, k=5)
