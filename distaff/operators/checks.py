@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from distaff.functions.distributions import bind, log_softmax, total
 from distaff.functions.text import share
 from distaff.operators.losses import counted
+from distaff.operators.ordering import running
 from distaff.operators.tokens import words
 
 PARAMETER_TOKENS = 20
@@ -31,28 +32,17 @@ def token_budget(df: DataFrame, tokens: Column, source: str, parameters: int) ->
     )
 
 
-def shard_tokens(df: DataFrame, key: str, tokens: Column, shard: int, chunk: int = 1024) -> DataFrame:
+def shard_tokens(df: DataFrame, key: str, tokens: Column, shard: int) -> DataFrame:
     """(key, n_tokens, start, shard_id): rows in key order, cut into shards of ``shard`` tokens.
 
-    A row belongs to the shard in which it starts. Starts are two-level prefix
-    sums over chunks of integer keys: inside a chunk, and over the chunks'
-    totals in chunks of their own, so no window holds more than ``chunk`` rows
-    but the last, which has one row for every ``chunk`` squared keys.
+    A row belongs to the shard in which it starts. Keys may be of any sortable
+    type, null (first) or repeated: every row stays, equal keys follow each
+    other by their tokens and no two rows with tokens start at one place. Rows
+    whose tokens are null have none.
     """
-    first = Window.partitionBy("_c").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    second = Window.partitionBy("_d").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
-    third = Window.orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
-    rows = df.select(key, tokens.cast("bigint").alias("n_tokens"), F.floor(F.col(key) / chunk).alias("_c"))
-    low = rows.groupBy("_c").agg(F.sum("n_tokens").alias("_n")).withColumn("_d", F.floor(F.col("_c") / chunk))
-    high = low.groupBy("_d").agg(F.sum("_n").alias("_m"))
-    zero = F.lit(0).cast("bigint")
-    high = high.select("_d", F.coalesce(F.sum("_m").over(third), zero).alias("_base"))
-    low = low.withColumn("_before", F.coalesce(F.sum("_n").over(second), zero)).join(high, "_d")
-    placed = rows.withColumn("_inside", F.coalesce(F.sum("n_tokens").over(first), zero))
-    start = F.col("_inside") + F.col("_before") + F.col("_base")
-    return placed.join(low.select("_c", "_before", "_base"), "_c").select(
-        key, "n_tokens", start.alias("start"), F.floor(start / shard).alias("shard_id")
-    )
+    rows = df.select(key, F.coalesce(tokens.cast("bigint"), F.lit(0).cast("bigint")).alias("n_tokens"))
+    placed = running(rows, [], [key, "n_tokens"], {"start": ("sum", F.col("n_tokens"))})
+    return placed.withColumn("shard_id", F.floor(F.col("start") / shard))
 
 
 def ngrams(df: DataFrame, key: str, text: str, n: int) -> DataFrame:

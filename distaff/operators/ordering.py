@@ -100,6 +100,49 @@ def previous_value(
     )
 
 
+#: How what a group's earlier partitions carry joins what its own has so far.
+CARRY = {
+    "sum": (F.sum, lambda carried, inside: F.coalesce(carried, F.lit(0)) + F.coalesce(inside, F.lit(0))),
+    "max": (F.max, F.greatest),
+}
+
+
+def running(df: DataFrame, by: list[str], order: list, values: dict[str, tuple[str, object]]) -> DataFrame:
+    """Add sums or maxima over the rows before each row of its group.
+
+    ``values`` gives ``name: ("sum" or "max", column)``. ``order`` are any
+    sortable columns, nulls first; rows equal in all of them follow each other
+    as they were read. The rows are range sorted once by group and order, and
+    written, so that retries cannot place them anew. A window then spans one
+    group's rows in one range partition, however large the group, and adds the
+    end values of that group's partitions before it; of those there is one row
+    for each partition a group lies in. Sums of no rows are 0, maxima null.
+    """
+    placed = materialise(
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .orderBy(*by, *order, "_tie")
+        .drop("_tie")
+        .withColumn("_place", F.monotonically_increasing_id()),
+        "running",
+    ).withColumn("_part", F.shiftright("_place", 33))
+    before = lambda *keys: Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    ends = placed.groupBy("_part", *by).agg(*[CARRY[kind][0](c).alias(f"_end_{n}") for n, (kind, c) in values.items()])
+    carried = ends.select(
+        F.col("_part").alias("_p"),
+        *[F.col(c).alias(f"_by_{i}") for i, c in enumerate(by)],
+        *[CARRY[kind][0](f"_end_{n}").over(before(*by).orderBy("_part")).alias(f"_end_{n}") for n, (kind, _) in values.items()],
+    )
+    same = F.col("_part") == F.col("_p")
+    for i, c in enumerate(by):
+        same = same & placed[c].eqNullSafe(F.col(f"_by_{i}"))
+    here = before("_part", *by).orderBy("_place")
+    inside = placed.withColumns({f"_in_{n}": CARRY[kind][0](c).over(here) for n, (kind, c) in values.items()})
+    joined = inside.join(carried, same)
+    return joined.select(
+        *df.columns, *[CARRY[kind][1](F.col(f"_end_{n}"), F.col(f"_in_{n}")).alias(n) for n, (kind, _) in values.items()]
+    )
+
+
 def sorted_rows(df: DataFrame, key: str) -> DataFrame:
     """Deterministic listing by key."""
     return df.orderBy(key)

@@ -49,7 +49,7 @@ select *, start // 10000 as shard_id from placed""",
 )
 def shard_tokens(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return checks.shard_tokens(docs, "doc_id", F.size(tokens.words(F.col("text"))), 10_000, chunk=64)
+    return checks.shard_tokens(docs, "doc_id", F.size(tokens.words(F.col("text"))), 10_000)
 
 
 def _gram_sql(table, key, n):

@@ -4,16 +4,44 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from distaff.operators import checks, examples, misses
+from distaff.operators.ordering import running
 
 
 def test_shards_follow_the_running_sum(spark):
     sizes = [7, 0, 5, 12, 1, 3, 30, 2, 2, 9, 4] * 9
     df = spark.createDataFrame([(i * 3, n) for i, n in enumerate(sizes)], "k bigint, n int").repartition(5)
-    got = {r.k: (r.start, r.shard_id) for r in checks.shard_tokens(df, "k", F.col("n"), 10, chunk=4).collect()}
+    got = {r.k: (r.start, r.shard_id) for r in checks.shard_tokens(df, "k", F.col("n"), 10).collect()}
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).tolist()
     assert got == {i * 3: (s, s // 10) for i, s in enumerate(starts)}
 
 
+def test_shards_keep_null_repeated_and_sparse_keys(spark):
+    keys = [None, None, "b", "a", "b", "zz", "b", "é"] + ["hot"] * 300
+    rows = [(k, None if i == 5 else i % 4) for i, k in enumerate(keys)]
+    df = spark.createDataFrame(rows, "k string, n int").repartition(7)
+    got = checks.shard_tokens(df, "k", F.col("n"), 25).collect()
+    assert sorted((r.k or "", r.n_tokens) for r in got) == sorted((k or "", n or 0) for k, n in rows)
+    at = 0
+    for r in sorted(got, key=lambda r: (r.start, r.n_tokens, (r.k or "").encode())):
+        assert r.start == at and r.shard_id == at // 25
+        at += r.n_tokens
+    order = [(r.k is not None, (r.k or "").encode()) for r in sorted(got, key=lambda r: r.start) if r.n_tokens]
+    assert order == sorted(order)
+    assert checks.shard_tokens(df.limit(0), "k", F.col("n"), 10).count() == 0
+
+
+def test_running_values_of_hot_groups(spark):
+    rng = np.random.default_rng(3)
+    rows = [(["hot", "cold", None][min(int(g), 2)], int(o), float(v)) for g, o, v in zip(rng.integers(0, 9, 400) // 3, rng.permutation(400), rng.normal(size=400))]
+    df = spark.createDataFrame(rows, "g string, o int, v double").repartition(5)
+    got = running(df, ["g"], ["o"], {"total": ("sum", F.col("o")), "top": ("max", F.col("v"))}).collect()
+    assert len(got) == 400
+    for r in got:
+        earlier = [(o, v) for g, o, v in rows if g == r.g and o < r.o]
+        assert r.total == sum(o for o, _ in earlier)
+        assert r.top == (max(v for _, v in earlier) if earlier else None)
+
+
 def test_grams_of_short_null_and_repeated_texts(spark):
     texts = spark.createDataFrame([(1, "a b c a b c"), (2, "a b"), (3, None), (4, "x a b c y")], "k int, t string")
     other = spark.createDataFrame([("z a b c",), ("a b c",), (None,)], "t string")
