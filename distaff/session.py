@@ -1,12 +1,16 @@
 """Session settings and the shared folder for cut points."""
 
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 # Rows a head slice or top-k may ask for: what the rank limit before the shuffle cuts to.
 MAX_SLICE = 1_000_000
 _HOMES: set[str] = set()
+_SCOPE = threading.local()
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -49,7 +53,24 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         files.mkdirs(path)
         files.deleteOnExit(path)
         _HOMES.add(home)
-    return f"{home}/{label}-{uuid.uuid4().hex}"
+    used = f"{home}/{label}-{uuid.uuid4().hex}"
+    for scope in getattr(_SCOPE, "open", []):
+        scope.append(used)
+    return used
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch tables that this thread writes inside, as for each batch of a stream that never ends."""
+    mine: list[str] = []
+    _SCOPE.open = [*getattr(_SCOPE, "open", []), mine]
+    try:
+        yield
+    finally:
+        _SCOPE.open = _SCOPE.open[:-1]
+        for used in mine:
+            path = spark._jvm.org.apache.hadoop.fs.Path(used)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, label: str = "cut") -> DataFrame:

@@ -129,17 +129,6 @@ def test_stream_counts_corrupt_and_unmatched_lines(spark, tmp_path):
     assert got == ["None", "corrupt_line", "no_example"]
 
 
-def test_stream_health_counts_late_rows(spark, tmp_path):
-    source, out, progress = (str(tmp_path / x) for x in ("in", "out", "progress"))
-    schema, late = log_rows(spark, 0, 1).schema, 0
-    for start, stop in ((1000, 1100), (1100, 1101), (0, 7)):
-        log_rows(spark, start, stop).write.mode("append").parquet(source)
-        query = jobs.stream_run_health(spark.readStream.schema(schema).parquet(source), out, progress)
-        query.awaitTermination()
-        late += jobs.late_rows(query)
-    assert late > 0
-
-
 def test_stream_capture_caps_files(spark, tmp_path):
     source, out, progress = (str(tmp_path / x) for x in ("in", "out", "progress"))
     spark.range(0, 100, 1, 1).write.parquet(source)
