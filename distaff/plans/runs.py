@@ -163,7 +163,7 @@ def stream_run_health(spark, sf):
     rows = run_log(spark, sf)
     rows.write.parquet(log)
     arriving = spark.readStream.schema(rows.schema).parquet(log)
-    jobs.stream_run_health(arriving, out, checkpoint).awaitTermination()
+    jobs.stream_run_health(arriving, out, checkpoint, arrival=["step"]).awaitTermination()
     return jobs.latest_health(spark, out).select(
         "run",
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
@@ -173,6 +173,37 @@ def stream_run_health(spark, sf):
     )
 
 
+@query(
+    "stream_late_rows",
+    """with log as (
+  select 'run-' || (event_id % 8) as run, event_id, ts, event_id + (event_id * 7919) % 400 as arrived from events),
+judged as (
+  select run, event_id, ts, max(ts) over (
+    partition by run order by arrived, event_id rows between unbounded preceding and 1 preceding) as newest from log)
+select run, event_id, newest, 'late' as late_reason from judged where ts < newest - interval 2 hours""",
+)
+def stream_late_rows(spark, sf):
+    """Log rows that arrive out of order, in two parts: those more than two hours behind their run."""
+    log, out, checkpoint = (scratch_path(spark, x) for x in ("log", "health", "progress"))
+    i = F.col("event_id")
+    rows = table(spark, sf, "events").select(
+        F.concat(F.lit("run-"), (i % 8).cast("string")).alias("run"),
+        "event_id",
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.col("value").alias("loss"),
+        (i + i * 7919 % 400).alias("arrived"),
+    )
+    half = rows.agg(F.expr("max(arrived) div 2")).scalar()
+    for part in (rows.filter(F.col("arrived") <= half), rows.filter(F.col("arrived") > half)):
+        part.write.mode("append").parquet(log)
+        arriving = spark.readStream.schema(rows.schema).parquet(log)
+        query = jobs.stream_run_health(arriving, out, checkpoint, lateness="2 hours", arrival=["arrived", "event_id"])
+        query.awaitTermination()
+    return jobs.late_rows(spark, out).select(
+        "run", "event_id", F.col("newest").cast("timestamp_ntz").alias("newest"), "late_reason"
+    )
+
+
 # ---- run logs
 
 
@@ -219,14 +250,14 @@ def lr_trajectory_audit(spark, sf):
 
 @query(
     "log_gaps",
-    twins.RUN_LOG_SQL
+    twins.GAPPED_LOG_SQL
     + """, previous as (
   select run, step, lag(step) over (partition by run order by step) as p from run_log)
 select run, p + 1 as missing_from, step - 1 as missing_to, step - p - 1 as n_missing
 from previous where step - p > 1""",
 )
 def log_gaps(spark, sf):
-    return runlog.log_gaps(run_log(spark, sf))
+    return runlog.log_gaps(run_log(spark, sf, gaps=True))
 
 
 @query(
@@ -244,7 +275,7 @@ def common_steps(spark, sf):
 
 @query(
     "checkpoint_plan",
-    twins.RUN_LOG_SQL
+    twins.GAPPED_LOG_SQL
     + """, saved as (
   select run, step from run_log r
   where step % 10 = 0 or step = (select max(step) from run_log s where s.run = r.run)),
@@ -254,7 +285,7 @@ aged as (
 select * from aged where age <= 3""",
 )
 def checkpoint_plan(spark, sf):
-    return runlog.checkpoint_plan(run_log(spark, sf))
+    return runlog.checkpoint_plan(run_log(spark, sf, gaps=True))
 
 
 @query(

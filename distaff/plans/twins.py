@@ -141,7 +141,8 @@ run_log as (
     2e-5 * case when event_id % 8 < 4 and event_id // 8 < 30 then (event_id // 8) / 30e0
       when event_id % 8 < 4 then greatest(0e0, 1e0 - ((event_id // 8) - 30) / 1970e0)
       else greatest(0e0, 1e0 - (event_id // 8) / 2000e0) end as lr
-  from events where event_type <> 'error')"""
+  from events)"""
+GAPPED_LOG = RUN_LOG.rstrip(")") + " where event_type <> 'error')"
 
 
 def with_ctes(*ctes: str) -> str:
@@ -156,3 +157,4 @@ PROMPTS_SQL = with_ctes(EXAMPLES, PROMPTS)
 SPLIT_SQL = with_ctes(EXAMPLES, USABLE, SPLIT)
 POSITIONS_SQL = with_ctes(POSITIONS)
 RUN_LOG_SQL = with_ctes(RUN_LOG)
+GAPPED_LOG_SQL = with_ctes(GAPPED_LOG)

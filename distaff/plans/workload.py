@@ -99,15 +99,15 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return teacher.join(student, "vec_id")
 
 
-def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(run, step, ts, loss, lr); ``error`` events are steps no log kept."""
+def run_log(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
+    """(run, step, ts, loss, lr); with ``gaps``, ``error`` events are steps no log kept."""
     i = F.col("event_id")
     run, step = i % N_RUNS, F.floor(i / N_RUNS)
     warm = linear_rate(F.col("step"), PEAK_RATE, WARMUP, TOTAL_STEPS)
     cold = linear_rate(F.col("step"), PEAK_RATE, 0, TOTAL_STEPS)
     return (
         table(spark, sf_dir, "events")
-        .filter(F.col("event_type") != "error")
+        .filter((F.col("event_type") != "error") | F.lit(not gaps))
         .select(
             F.concat(F.lit("run-"), run.cast("string")).alias("run"),
             step.alias("step"),
