@@ -82,25 +82,72 @@ def regurgitation(outputs: DataFrame, train: DataFrame, key: str, text: str, n:
     )
 
 
+def trailing_slopes(log: DataFrame, run: str, step: str, losses: list[str], span: int) -> DataFrame:
+    """Add ``n_<loss>``, ``off_<loss>`` and ``slope_<loss>`` over the last ``span`` steps of each row.
+
+    A row's stretch is the steps from ``step - span + 1`` to its own, of its
+    run: ``n`` finite values, ``off`` logged ones that are not finite, and the
+    least squares slope of the values by step, null below two different steps.
+    A null loss is one that was not logged there. Rows of one step share their
+    values.
+
+    Steps are cut into chunks of ``span``, so a stretch is the head of its own
+    chunk and the tail of the one before. Both are running sums of moments:
+    forward over the own rows, backward over those that the chunk before hands
+    on, so nothing is subtracted and every window holds two chunks of one run.
+    """
+    chunk = F.floor(F.col(step) / span)
+    moments = {}
+    for i, loss in enumerate(losses):
+        y = F.col(loss).cast("double")
+        finite = y.isNotNull() & ~F.isnan(y) & (F.abs(y) != float("inf"))
+        # The chunk before hands its rows on with places up to -1.
+        x = (F.col(step) - F.col("_chunk") * span).cast("double")
+        for name, value in (("n", F.lit(1.0)), ("x", x), ("y", y), ("xx", x * x), ("xy", x * y)):
+            moments[f"_{name}{i}"] = F.when(finite, value).otherwise(F.lit(0.0))
+        moments[f"_off{i}"] = F.when(y.isNotNull() & ~finite, 1.0).otherwise(F.lit(0.0))
+    offsets = F.explode(F.array(F.lit(0), F.lit(1))).alias("_later")
+    rows = log.select("*", offsets).withColumn("_chunk", chunk + F.col("_later"))
+    rows = rows.withColumns(moments).withColumn("_at", F.col(step) + F.when(F.col("_later") == 1, span - 1).otherwise(0))
+    group = Window.partitionBy(run, "_chunk")
+    head = group.orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    tail = group.orderBy(F.desc("_at")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    own = F.col("_later") == 0
+    sums = {
+        m: F.sum(F.when(own, F.col(m)).otherwise(0.0)).over(head) + F.sum(F.when(own, 0.0).otherwise(F.col(m))).over(tail)
+        for m in moments
+    }
+    summed = rows.select(*log.columns, "_later", *[v.alias(m) for m, v in sums.items()]).filter(own)
+    out = {}
+    for i, loss in enumerate(losses):
+        n, x, y, xx, xy = (F.col(f"_{m}{i}") for m in ("n", "x", "y", "xx", "xy"))
+        spread = n * xx - x * x
+        out[f"n_{loss}"] = n.cast("bigint")
+        out[f"off_{loss}"] = F.col(f"_off{i}").cast("bigint")
+        out[f"slope_{loss}"] = F.when(spread > 0, (n * xy - x * y) / spread)
+    return summed.withColumns(out).drop("_later", *moments)
+
+
 def overfit_check(log: DataFrame, window: int, span: int) -> DataFrame:
-    """Slopes of train and eval loss over stretches of ``span`` steps.
+    """Trailing slopes of train and eval loss at every logged step, and where they part.
 
-    ``log`` has (run, step, train_loss, eval_loss). ``overfits`` where the
-    train loss falls and the eval loss rises; ``window`` is the least number of
-    logged steps a stretch needs.
+    ``log`` has (run, step, train_loss, eval_loss); the eval loss may be logged
+    at few steps. ``overfits`` where, over the last ``span`` steps, the train
+    loss falls and the eval loss rises; null where either has fewer than
+    ``window`` finite values. Losses that are not finite are counted beside.
     """
-    both = F.col("train_loss").isNotNull() & F.col("eval_loss").isNotNull()
-    finite = both & ~F.isnan("train_loss") & ~F.isnan("eval_loss")
-    return (
-        log.filter(finite)
-        .groupBy("run", F.floor(F.col("step") / span).alias("stretch"))
-        .agg(
-            F.count("*").alias("n"),
-            F.regr_slope("train_loss", "step").alias("train_slope"),
-            F.regr_slope("eval_loss", "step").alias("eval_slope"),
-        )
-        .filter(F.col("n") >= window)
-        .withColumn("overfits", (F.col("train_slope") < 0) & (F.col("eval_slope") > 0))
+    found = trailing_slopes(log, "run", "step", ["train_loss", "eval_loss"], span)
+    enough = (F.col("n_train_loss") >= window) & (F.col("n_eval_loss") >= window)
+    falls, rises = F.col("slope_train_loss") < 0, F.col("slope_eval_loss") > 0
+    return found.select(
+        "run",
+        "step",
+        F.col("n_train_loss").alias("n_train"),
+        F.col("n_eval_loss").alias("n_eval"),
+        (F.col("off_train_loss") + F.col("off_eval_loss")).alias("n_not_finite"),
+        F.col("slope_train_loss").alias("train_slope"),
+        F.col("slope_eval_loss").alias("eval_slope"),
+        F.when(enough, falls & rises).alias("overfits"),
     )
 
 

@@ -88,24 +88,30 @@ def regurgitation(spark, sf):
 @query(
     "overfit_check",
     """with log as (
-  select 'run-' || (event_id % 8) as run, event_id // 8 as step, value as train_loss,
-    value * case when event_id % 8 < 4 then 1 else -1 end as eval_loss
+  select 'run-' || (event_id % 8) as run, event_id // 8 as step,
+    case when event_id % 97 = 0 then 'nan'::double else value end as train_loss,
+    case when (event_id // 8) % 3 = 0 then cast(json_extract(props, '$.k') as double) end as eval_loss
   from events),
 slopes as (
-  select run, step // 25 as stretch, count(*) as n, regr_slope(train_loss, step) as train_slope,
-    regr_slope(eval_loss, step) as eval_slope
-  from log group by all)
-select run, stretch, n, round(train_slope, 6) + 0e0 as train_slope, round(eval_slope, 6) + 0e0 as eval_slope,
-  train_slope < 0 and eval_slope > 0 as overfits from slopes where n >= 5""",
+  select run, step,
+    count(*) filter (not isnan(train_loss)) over w as n_train, count(eval_loss) over w as n_eval,
+    count(*) filter (isnan(train_loss)) over w as n_not_finite,
+    regr_slope(train_loss, step) filter (not isnan(train_loss)) over w as train_slope,
+    regr_slope(eval_loss, step) over w as eval_slope
+  from log window w as (partition by run order by step range between 24 preceding and current row))
+select run, step, n_train, n_eval, n_not_finite, round(train_slope, 6) + 0e0 as train_slope,
+  round(eval_slope, 6) + 0e0 as eval_slope,
+  case when n_train >= 5 and n_eval >= 5 then round(train_slope, 9) < 0 and round(eval_slope, 9) > 0 end as overfits
+from slopes""",
 )
 def overfit_check(spark, sf):
-    """Half of the runs have an eval loss that mirrors the train loss: planted faults."""
+    """Train loss from one column, the eval loss of every third step from another, over the last 25 steps."""
     i = F.col("event_id")
     log = table(spark, sf, "events").select(
         F.concat(F.lit("run-"), (i % 8).cast("string")).alias("run"),
         F.floor(i / 8).alias("step"),
-        F.col("value").alias("train_loss"),
-        (F.col("value") * F.when(i % 8 < 4, 1).otherwise(-1)).alias("eval_loss"),
+        F.when(i % 97 == 0, F.lit(float("nan"))).otherwise(F.col("value")).alias("train_loss"),
+        F.when(F.floor(i / 8) % 3 == 0, F.get_json_object("props", "$.k").cast("double")).alias("eval_loss"),
     )
     found = checks.overfit_check(log, 5, 25)
     return found.withColumns({c: F.round(c, 6) + F.lit(0.0) for c in ("train_slope", "eval_slope")})

@@ -50,11 +50,37 @@ def test_grams_of_short_null_and_repeated_texts(spark):
     assert checks.holdout_contamination(texts.limit(0), other, "k", "t", 3).count() == 0
 
 
-def test_overfitting_is_found_and_bad_losses_left_out(spark):
-    rows = [("bad", i, 1.0 - 0.1 * i, 1.0 + 0.1 * i) for i in range(8)] + [("good", i, 1.0 - 0.1 * i, 1.0 - 0.1 * i) for i in range(8)]
-    rows += [("bad", 8, float("nan"), 5.0), ("few", 0, 1.0, 1.0)]
-    log = spark.createDataFrame(rows, "run string, step int, train_loss double, eval_loss double")
-    assert {r.run: r.overfits for r in checks.overfit_check(log, 5, 100).collect()} == {"bad": True, "good": False}
+def test_overfitting_is_found_at_every_step(spark):
+    rng = np.random.default_rng(4)
+    bad = [float("nan"), float("inf"), float("-inf"), None]
+    rows = []
+    for run in ("a", "b", None):
+        for step in sorted(rng.choice(300, 150, replace=False).tolist()) + [5000, 5001, 5003]:
+            train = bad[rng.integers(0, 4)] if rng.random() < 0.1 else 1000 + float(rng.normal())
+            rows.append((run, step, train, float(rng.normal()) if step % 3 == 0 else None))
+    rows.append(("a", 5001, 7.0, 1.0))
+    log = spark.createDataFrame(rows, "run string, step int, train_loss double, eval_loss double").repartition(4)
+    for span in (1, 7, 40):
+        found = checks.overfit_check(log, 3, span).collect()
+        assert len(found) == len(rows)
+        for r in found:
+            near = [x for x in rows if x[0] == r.run and r.step - span < x[1] <= r.step]
+            slopes, ns, off = [], [], 0
+            for i in (2, 3):
+                points = [(x[1], x[i]) for x in near if x[i] is not None and np.isfinite(x[i])]
+                off += sum(x[i] is not None and not np.isfinite(x[i]) for x in near)
+                spread = len({s for s, _ in points}) > 1
+                slopes.append(float(np.polyfit(*zip(*points), 1)[0]) if spread else None)
+                ns.append(len(points))
+            assert (r.n_train, r.n_eval, r.n_not_finite) == (*ns, off)
+            for got, wanted in zip((r.train_slope, r.eval_slope), slopes):
+                assert (got is None) == (wanted is None) and (got is None or abs(got - wanted) < 1e-6)
+            assert (r.overfits is None) == (min(ns) < 3)
+            if r.overfits is not None and None not in slopes:
+                assert r.overfits == (slopes[0] < 0 < slopes[1])
+    planted = [("bad", i, 1.0 - 0.1 * i, 1.0 + 0.1 * i) for i in range(8)] + [("good", i, 1.0 - 0.1 * i, 1.0 - 0.1 * i) for i in range(8)]
+    found = checks.overfit_check(spark.createDataFrame(planted, log.schema), 5, 100).filter("step = 7")
+    assert {r.run: r.overfits for r in found.collect()} == {"bad": True, "good": False}
 
 
 def test_distances_against_numpy(spark):
