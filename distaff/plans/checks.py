@@ -99,8 +99,9 @@ slopes as (
     regr_slope(train_loss, step) filter (not isnan(train_loss)) over w as train_slope,
     regr_slope(eval_loss, step) over w as eval_slope
   from log window w as (partition by run order by step range between 24 preceding and current row))
-select run, step, n_train, n_eval, n_not_finite, round(train_slope, 6) + 0e0 as train_slope,
-  round(eval_slope, 6) + 0e0 as eval_slope,
+select run, step, n_train, n_eval, n_not_finite,
+  case when n_train > 1 then round(train_slope, 6) + 0e0 end as train_slope,
+  case when n_eval > 1 then round(eval_slope, 6) + 0e0 end as eval_slope,
   case when n_train >= 5 and n_eval >= 5 then round(train_slope, 9) < 0 and round(eval_slope, 9) > 0 end as overfits
 from slopes""",
 )
