@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 from distaff.functions.distributions import bind, log_softmax, total
 from distaff.functions.text import share
+from distaff.operators.grams import gram_filter, gram_table
 from distaff.operators.losses import counted
 from distaff.operators.ordering import running
-from distaff.operators.tokens import words
+from distaff.session import materialise
 
 PARAMETER_TOKENS = 20
 
@@ -45,38 +46,45 @@ def shard_tokens(df: DataFrame, key: str, tokens: Column, shard: int) -> DataFra
     return placed.withColumn("shard_id", F.floor(F.col("start") / shard))
 
 
-def ngrams(df: DataFrame, key: str, text: str, n: int) -> DataFrame:
-    """(key, gram): the distinct ``n``-word grams of each text."""
-    split = words(F.col(text))
-    grams = F.transform(
-        F.sequence(F.lit(1), F.size(split) - n + 1), lambda i: F.array_join(F.slice(split, i, n), " ")
-    )
-    long = df.filter(F.size(split) >= n)
-    return long.select(key, F.explode(F.array_distinct(grams)).alias("gram"))
-
-
 def shared_grams(outputs: DataFrame, reference: DataFrame, key: str, text: str, n: int) -> DataFrame:
-    """(key, n_grams, n_shared) of each text of ``outputs`` with a gram.
-
-    The reference's grams are made distinct first, so a gram that is common
-    there meets each of ours once, and a gram that is common here is a skewed
-    key that a join can split. Grams are joined by hash and text.
+    """(key, n_grams, n_shared): distinct ``n``-word grams of every text, and those the reference has.
+
+    Each row of ``outputs`` keeps its row, also where its text is null or has
+    fewer than ``n`` words (no grams) or its key is repeated. The grams asked
+    for make a filter of fixed size, so the reference sends 16 bytes for each
+    of its grams that may be one of them, distinct by block of rows. Two grams
+    are one where two 64-bit hashes agree: for a trillion pairs of different
+    grams the chance that any agree is about 10⁻²⁶.
     """
-    mine = ngrams(outputs, key, text, n).withColumn("_h", F.xxhash64("gram"))
-    theirs = ngrams(reference.select(F.lit(0).alias("_k"), text), "_k", text, n).select("gram").distinct()
-    theirs = theirs.select(F.xxhash64("gram").alias("_h"), "gram", F.lit(1).alias("_there"))
-    return mine.join(theirs, ["_h", "gram"], "left").groupBy(key).agg(
-        F.count("*").alias("n_grams"), F.count("_there").alias("n_shared")
-    )
+    rows = outputs.select(F.col(key), F.col(text)).withColumn("_row", F.monotonically_increasing_id())
+    mine = materialise(gram_table(rows, ["_row", key], text, n, every_row=True), "grams")
+    theirs = gram_table(reference.select(text), [], text, n, kept=gram_filter(mine)).distinct()
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    found = mine.filter("a IS NOT NULL").join(theirs, ["a", "b"], "left_semi")
+    counts = mine.select("_row", key, F.when(F.col("a").isNotNull(), one).otherwise(none).alias("n"), none.alias("m"))
+    counts = counts.union(found.select("_row", key, none, one))
+    summed = counts.groupBy("_row", key).agg(F.sum("n").alias("n_grams"), F.sum("m").alias("n_shared"))
+    return summed.drop("_row")
 
 
 def holdout_contamination(corpus: DataFrame, held_out: DataFrame, key: str, text: str, n: int = 13) -> DataFrame:
-    """Rows of the corpus that hold an ``n``-gram of the held-out texts."""
-    return shared_grams(corpus, held_out, key, text, n).filter("n_shared > 0").select(key, "n_shared")
+    """(key, n_shared) of the corpus rows that hold ``n``-word grams of the held-out texts.
+
+    A filter of fixed size holds the held-out grams; a row of the corpus is
+    asked where it is read and only grams that pass are shuffled, which are
+    the hits and few others. Their words are then compared with the held-out
+    ones, so no hash decides. Rows that share a key stay apart. Held-out
+    texts of fewer than ``n`` words have no gram and are not looked for.
+    """
+    theirs = materialise(gram_table(held_out.select(text), [], text, n, texts=True).distinct(), "held_out")
+    rows = corpus.select(F.col(key), F.col(text)).withColumn("_row", F.monotonically_increasing_id())
+    passed = gram_table(rows, ["_row", key], text, n, kept=gram_filter(theirs), texts=True)
+    found = passed.join(theirs.select("a", "gram"), ["a", "gram"], "left_semi")
+    return found.groupBy("_row", key).agg(F.count("*").alias("n_shared")).drop("_row")
 
 
 def regurgitation(outputs: DataFrame, train: DataFrame, key: str, text: str, n: int = 8) -> DataFrame:
-    """Share of each output's ``n``-grams that stand word for word in the training texts."""
+    """Share of each output's ``n``-grams that stand word for word in the training texts; 0 where it has none."""
     return shared_grams(outputs, train, key, text, n).withColumn(
         "share_verbatim", share(F.col("n_shared"), F.col("n_grams"))
     )

@@ -75,9 +75,9 @@ def holdout_contamination(spark, sf):
     "regurgitation",
     f"""with mine as ({_gram_sql('benchmark', 'item_id', 8)}),
 theirs as (select distinct gram from ({_gram_sql('documents', 'doc_id', 8)}))
-select item_id, count(*) as n_grams, count(t.gram) as n_shared,
-  count(t.gram) / cast(count(*) as double) as share_verbatim
-from mine m left join theirs t on t.gram = m.gram group by item_id""",
+select b.item_id, count(m.gram) as n_grams, count(t.gram) as n_shared,
+  coalesce(count(t.gram) / cast(nullif(count(m.gram), 0) as double), 0) as share_verbatim
+from benchmark b left join mine m on m.item_id = b.item_id left join theirs t on t.gram = m.gram group by b.item_id""",
 )
 def regurgitation(spark, sf):
     """How much of each benchmark text stands word for word in the documents."""

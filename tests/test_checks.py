@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from distaff.operators import checks, examples, misses
+from distaff.operators import checks, examples, grams, misses
 from distaff.operators.ordering import running
 
 
@@ -42,12 +42,42 @@ def test_running_values_of_hot_groups(spark):
         assert r.top == (max(v for _, v in earlier) if earlier else None)
 
 
-def test_grams_of_short_null_and_repeated_texts(spark):
-    texts = spark.createDataFrame([(1, "a b c a b c"), (2, "a b"), (3, None), (4, "x a b c y")], "k int, t string")
+def test_grams_of_short_null_and_repeated_rows(spark):
+    texts = spark.createDataFrame(
+        [(1, "a b c a b c"), (2, "a b"), (3, None), (4, "x a b c y"), (4, "x a b c y"), (None, "a  b\n c"), (5, "")], "k int, t string"
+    ).repartition(3)
     other = spark.createDataFrame([("z a b c",), ("a b c",), (None,)], "t string")
-    got = {r.k: (r.n_grams, r.n_shared) for r in checks.shared_grams(texts, other, "k", "t", 3).collect()}
-    assert got == {1: (3, 1), 4: (3, 1)}
-    assert checks.holdout_contamination(texts.limit(0), other, "k", "t", 3).count() == 0
+    got = sorted((r.k or 0, r.n_grams, r.n_shared) for r in checks.shared_grams(texts, other, "k", "t", 3).collect())
+    assert got == [(0, 1, 1), (1, 3, 1), (2, 0, 0), (3, 0, 0), (4, 3, 1), (4, 3, 1), (5, 0, 0)]
+    held = checks.holdout_contamination(texts, other, "k", "t", 3).collect()
+    assert sorted((r.k or 0, r.n_shared) for r in held) == [(0, 1), (1, 1), (4, 1), (4, 1)]
+    for empty in (texts.limit(0), texts.filter("k = 2")):
+        assert checks.holdout_contamination(empty, other, "k", "t", 3).count() == 0
+    assert {r.share_verbatim for r in checks.regurgitation(texts, other.limit(0), "k", "t", 3).collect()} == {0.0}
+
+
+def test_grams_equal_brute_force(spark):
+    rng = np.random.default_rng(9)
+    text = lambda: " ".join(rng.choice(list("abcde"), rng.integers(0, 30)))
+    rows, other = [(i, text()) for i in range(300)], [text() for _ in range(60)]
+    gram = lambda t, n: {tuple(t.split()[i : i + n]) for i in range(len(t.split()) - n + 1)}
+    mine = spark.createDataFrame(rows, "k int, t string").repartition(4)
+    theirs = spark.createDataFrame([(t,) for t in other], "t string").repartition(3)
+    for n in (1, 4, 7):
+        known = set().union(*(gram(t, n) for t in other))
+        wanted = {k: (len(gram(t, n)), len(gram(t, n) & known)) for k, t in rows}
+        assert {r.k: (r.n_grams, r.n_shared) for r in checks.shared_grams(mine, theirs, "k", "t", n).collect()} == wanted
+        held = {r.k: r.n_shared for r in checks.holdout_contamination(mine, theirs, "k", "t", n).collect()}
+        assert held == {k: m for k, (_, m) in wanted.items() if m}
+
+
+def test_few_grams_pass_the_filter(spark):
+    """What is shuffled follows the hits, not the corpus."""
+    corpus = spark.range(4000).selectExpr("id AS k", "concat_ws(' ', transform(sequence(1, 60), i -> hash(id, i))) AS t")
+    held = corpus.filter("k < 5").union(spark.createDataFrame([(0, "a b c d e f g")], "k bigint, t string"))
+    passed = grams.gram_table(corpus, ["k"], "t", 7, kept=grams.gram_filter(grams.gram_table(held, ["k"], "t", 7)))
+    assert 5 * 54 <= passed.count() <= 5 * 54 + 40
+    assert checks.holdout_contamination(corpus, held, "k", "t", 7).agg(F.sum("n_shared")).first()[0] == 5 * 54
 
 
 def test_overfitting_is_found_at_every_step(spark):
