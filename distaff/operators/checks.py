@@ -1,12 +1,15 @@
 """Checks of corpora, vocabularies, outputs and logs around a training run."""
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from distaff.constants import MAX_VOCABULARY
 from distaff.functions.distributions import bind, log_softmax, total
 from distaff.functions.text import share
 from distaff.operators.grams import gram_filter, gram_table
-from distaff.operators.losses import counted
+from distaff.operators.losses import counted, or_fail
 from distaff.operators.ordering import running
 from distaff.session import materialise
 
@@ -160,14 +163,18 @@ def overfit_check(log: DataFrame, window: int, span: int) -> DataFrame:
 
 
 def tvd_value(temperature: float = 1.0) -> Column:
-    """Half the summed difference of teacher's and student's probabilities."""
-    return bind(
+    """Half the summed difference of teacher's and student's probabilities.
+
+    Missing distributions and unequal widths fail the query.
+    """
+    value = bind(
         log_softmax(F.col("teacher"), temperature),
         lambda t: bind(
             log_softmax(F.col("student"), temperature),
             lambda s: total(F.zip_with(t, s, lambda p, q: F.abs(F.exp(p) - F.exp(q)))) / 2,
         ),
     )
+    return or_fail(F.when(F.size("teacher") == F.size("student"), value), "teacher and student differ in width")
 
 
 def tvd(df: DataFrame, temperature: float = 1.0) -> DataFrame:
@@ -176,14 +183,21 @@ def tvd(df: DataFrame, temperature: float = 1.0) -> DataFrame:
 
 
 def cosine_value(a: Column, b: Column) -> Column:
-    """One minus the cosine of two hidden states; null where one has no length."""
+    """One minus the cosine of two hidden states; null where one has no length.
+
+    Missing states and unequal widths fail the query.
+    """
     dot = lambda x, y: total(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")))
-    return 1 - F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
+    lengths = or_fail(F.when(F.size(a) == F.size(b), dot(a, a) * dot(b, b)), "hidden states differ in width")
+    return 1 - F.try_divide(dot(a, b), F.when(lengths > 0, F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))))
 
 
 def hidden_cosine(df: DataFrame, a: str = "teacher", b: str = "student") -> DataFrame:
-    """Masked mean distance of hidden states."""
-    return df.filter(counted()).agg(F.avg(cosine_value(F.col(a), F.col(b))).alias("hidden_cosine"))
+    """Masked mean distance of hidden states; ``n_without_direction`` positions have none and stay out of it."""
+    value = cosine_value(F.col(a), F.col(b))
+    return df.filter(counted()).agg(
+        F.avg(value).alias("hidden_cosine"), F.count_if(value.isNull()).alias("n_without_direction")
+    )
 
 
 def uld_value(shared: int) -> Column:
@@ -207,6 +221,71 @@ def uld(df: DataFrame, shared: int) -> DataFrame:
     return df.filter(counted()).agg(F.avg(uld_value(shared)).alias("uld"))
 
 
+def align_vocabularies(teacher: DataFrame, student: DataFrame) -> DataFrame:
+    """(token, teacher_id, student_id) of two vocabularies (token, id), matched by the tokens' text.
+
+    Tokens of one side only have a null on the other. Where a vocabulary names
+    a token twice, its smallest id is matched and the others stand alone.
+    """
+    first = lambda v, name: v.select(
+        "token", F.col("id").cast("bigint").alias(name), F.row_number().over(Window.partitionBy("token").orderBy("id")).alias("nth")
+    )
+    return first(teacher, "teacher_id").join(first(student, "student_id"), ["token", "nth"], "full").drop("nth")
+
+
+def vocabulary_overlap(alignment: DataFrame) -> DataFrame:
+    """Sizes of both vocabularies and of what they share."""
+    t, s = F.col("teacher_id").isNotNull(), F.col("student_id").isNotNull()
+    return alignment.agg(
+        F.count_if(t).alias("n_teacher"), F.count_if(s).alias("n_student"), F.count_if(t & s).alias("n_shared")
+    ).withColumn("share_of_teacher", share(F.col("n_shared"), F.col("n_teacher")))
+
+
+def aligned_probabilities(logits: np.ndarray, shared: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities of the shared ids in their order, and of the others, largest first."""
+    x = np.asarray(logits, dtype=np.float64)[np.concatenate([shared, rest])]
+    p = np.exp(x - x.max(initial=-np.inf))
+    p /= p.sum()
+    return p[: len(shared)], np.sort(p[len(shared) :])[::-1]
+
+
+def uld_aligned(df: DataFrame, alignment: DataFrame, max_vocab: int = MAX_VOCABULARY) -> DataFrame:
+    """Masked mean of the distance across tokenizers, entries matched by ``align_vocabularies``.
+
+    Both rows of logits are gathered by one index array each: the shared
+    tokens in one order, compared directly, and each side's others, compared
+    by sorted probability with the shorter rest ending in zeros. Ids that no
+    vocabulary names, as in padded heads, have no probability. The arrays are
+    as long as the vocabularies, which the models bound; more than
+    ``max_vocab`` tokens are refused. A null or a row too short for its ids
+    fails the query.
+    """
+    size = alignment.count()
+    if size > max_vocab:
+        raise ValueError(f"{size} tokens; a vocabulary has at most {max_vocab}")
+    ids = alignment.select("teacher_id", "student_id").toPandas()
+    both = ids.dropna().sort_values(["teacher_id", "student_id"])
+    alone = ids[ids.isna().any(axis=1)]
+    index = {
+        c: (both[c].to_numpy(np.int64), np.sort(alone[c].dropna().to_numpy(np.int64))) for c in ("teacher_id", "student_id")
+    }
+    sent = df.sparkSession.sparkContext.broadcast(index)
+
+    @F.pandas_udf("double")
+    def distance(teacher: pd.Series, student: pd.Series) -> pd.Series:
+        out = []
+        for t, s in zip(teacher, student):
+            if t is None or s is None:
+                raise ValueError("a distribution is missing")
+            (p, more), (q, others) = (aligned_probabilities(x, *sent.value[c]) for x, c in ((t, "teacher_id"), (s, "student_id")))
+            width = max(len(more), len(others))
+            rest = np.pad(more, (0, width - len(more))) - np.pad(others, (0, width - len(others)))
+            out.append(np.abs(p - q).sum() + np.abs(rest).sum())
+        return pd.Series(out, dtype="float64")
+
+    return df.filter(counted()).agg(F.avg(distance("teacher", "student")).alias("uld"))
+
+
 def format_compliance(shaped: DataFrame, text: str, short: int = 40) -> DataFrame:
     """By model: replies that are nothing but a call or nothing but prose, and short ones that equal their target."""
     bare = F.col("has_name") & F.startswith(F.trim(text), F.lit("{")) & F.endswith(F.trim(text), F.lit("}"))

@@ -49,7 +49,7 @@ def truncate_vocab(df: DataFrame, width: int, *columns: str) -> DataFrame:
     return df.withColumns({c: F.slice(F.col(c), 1, width) for c in columns})
 
 
-def _or_fail(value: Column, problem: str) -> Column:
+def or_fail(value: Column, problem: str) -> Column:
     """``value``, or a failing query where it is null: a mean would leave it out."""
     return F.coalesce(value, F.raise_error(F.lit(problem)).cast("double"))
 
@@ -67,7 +67,7 @@ def divergence(temperature: float, beta: float = 0.0) -> Column:
         ),
     )
     same = F.size("teacher") == F.size("student")
-    return _or_fail(F.when(same, value), "teacher and student differ in width")
+    return or_fail(F.when(same, value), "teacher and student differ in width")
 
 
 def counted() -> Column:
@@ -85,7 +85,7 @@ def label_nll() -> Column:
     A label outside the student's width fails the query.
     """
     value = bind(log_softmax(F.col("student")), lambda q: -F.get(q, F.col("label")))
-    return F.when(counted(), _or_fail(value, "label outside the student's vocabulary"))
+    return F.when(counted(), or_fail(value, "label outside the student's vocabulary"))
 
 
 def kl_forward(df: DataFrame, temperature: float, *by: str) -> DataFrame:
@@ -205,7 +205,7 @@ def sparse_kl_value(top: Column, student_logprobs: Column) -> Column:
         lambda acc, e: acc
         + F.exp(e["logprob"]) * (e["logprob"] - F.get(student_logprobs, e["token_id"])),
     )
-    return _or_fail(value, "stored entry outside the student's vocabulary")
+    return or_fail(value, "stored entry outside the student's vocabulary")
 
 
 def sparse_kl(teacher: DataFrame, student: DataFrame, *position: str) -> DataFrame:

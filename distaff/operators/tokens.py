@@ -4,11 +4,14 @@ import re
 from collections.abc import Callable
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from distaff.constants import IGNORE_LABEL, MAX_SEQUENCE, MAX_TRAIN_TOKENS, MAX_VOCABULARY
-from distaff.operators.ordering import dense_index
+from distaff.operators.ordering import dense_index, head_slice
+from distaff.session import materialise
 
 SEPARATOR = r"[ \t\n\r]+"
 BETWEEN = re.compile(r"[^ \t\n\r]+")
@@ -39,18 +42,21 @@ def tokenize(
     name: str = "token_ids",
     unknown_id: int = -1,
     max_vocab: int = MAX_VOCABULARY,
+    block_bytes: int = 1 << 23,
 ) -> DataFrame:
     """Add each text's tokens looked up in a vocabulary table (token, id).
 
-    A vocabulary is bounded by the model that uses it, so it is counted, then
-    sent to every task, and texts are looked up where they are: no row moves
-    and repeated keys stay apart. More than ``max_vocab`` tokens are refused.
-    Null texts give null ids. Tokens lie between blanks, tabs and line ends.
+    A vocabulary is counted first. Up to ``max_vocab`` tokens it is sent to
+    every task and texts are looked up where they are: no row moves. A larger
+    one is joined with the distinct words of each block of rows, with the same
+    ids. Null texts give null ids, repeated keys stay apart, a token that the
+    vocabulary names twice has its smallest id. Tokens lie between blanks,
+    tabs and line ends.
     """
-    size = vocab.count()
-    if size > max_vocab:
-        raise ValueError(f"{size} tokens; a vocabulary has at most {max_vocab}")
-    pairs = vocab.select(F.col("token").cast("string"), F.col("id").cast("bigint")).toPandas()
+    vocab = vocab.groupBy(F.col("token").cast("string").alias("token")).agg(F.min("id").cast("bigint").alias("id"))
+    if vocab.count() > max_vocab:
+        return _tokenize_joined(df, vocab, text, name, unknown_id, block_bytes)
+    pairs = vocab.toPandas()
     ids = dict(zip(pairs["token"], pairs["id"].tolist()))
     known = df.sparkSession.sparkContext.broadcast(ids)
 
@@ -64,6 +70,40 @@ def tokenize(
     return df.withColumn(name, looked_up(F.col(text)))
 
 
+def _tokenize_joined(
+    df: DataFrame, vocab: DataFrame, text: str, name: str, unknown_id: int, block_bytes: int
+) -> DataFrame:
+    """``tokenize`` by a join of distinct (block, word) pairs.
+
+    Rows are dealt into blocks of about ``block_bytes`` of text, equal ones
+    apart, and written once. A word is joined once for each block that has it,
+    so one that every text has is no hot key, and a block's rows meet the ids
+    of their own words only.
+    """
+    total = df.agg(F.sum(F.octet_length(F.col(text)).cast("bigint"))).first()[0] or 0
+    block = F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.col(text)), F.lit(total // block_bytes + 1))
+    rows = materialise(df.select(F.struct("*").alias("row"), F.col(text).alias("said"), block.alias("block")), "blocks")
+    pairs = rows.select(F.col("block").alias("word_block"), F.explode(F.array_distinct(words(F.col("said")))).alias("token")).distinct()
+    known = pairs.join(vocab, "token").select("word_block", "token", "id")
+
+    def look_up(left: pa.Table, right: pa.Table) -> pa.Table:
+        ids = dict(zip(right["token"].to_pylist(), right["id"].to_pylist()))
+        found = [[ids.get(w, unknown_id) for w in BETWEEN.findall(t)] if t is not None else None for t in left["said"].to_pylist()]
+        return pa.table({"row": left["row"], "found": pa.array(found, pa.list_(pa.int64()))})
+
+    schema = T.StructType([T.StructField("row", df.schema), T.StructField("found", T.ArrayType(T.LongType()))])
+    joined = rows.groupBy("block").cogroup(known.groupBy("word_block")).applyInArrow(look_up, schema)
+    return joined.select(*[F.col("row")[c].alias(c) for c in df.columns if c != name], F.col("found").alias(name))
+
+
+def frequent_vocab(df: DataFrame, size: int, text: str = "text", separator: str = SEPARATOR) -> DataFrame:
+    """(token, id): the ``size`` most frequent tokens of a corpus, the first having id 0; ties in token order."""
+    tokens = df.select(F.explode(words(F.col(text), separator)).alias("token"))
+    counts = tokens.groupBy("token").agg(F.count("*").alias("n"))
+    order = (F.desc("n"), F.asc("token"))
+    return dense_index(head_slice(counts, size, *order), *order, name="id").select("token", "id")
+
+
 def tokenize_with(
     df: DataFrame, encode: Callable[[list[str]], list[list[int]]], text: str, name: str
 ) -> DataFrame:

@@ -131,8 +131,8 @@ def tvd(spark, sf):
 @query(
     "hidden_cosine",
     twins.POSITIONS_SQL
-    + """select round(avg(d), 6) as hidden_cosine from (
-  select 1 - sum(t * s) / (sqrt(sum(t * t)) * sqrt(sum(s * s))) as d
+    + """select round(avg(d), 6) as hidden_cosine, count(*) - count(d) as n_without_direction from (
+  select 1 - sum(t * s) / nullif(sqrt(sum(t * t)) * sqrt(sum(s * s)), 0) as d
   from entries where label <> -100 group by vec_id)""",
 )
 def hidden_cosine(spark, sf):
@@ -213,22 +213,47 @@ def truth_skip_counts(spark, sf):
     return filters.with_skip_counts(examples.with_truth_reason(damaged), F.col("truth_reason"))
 
 
+_POSITIONS = 128
+
+
 @query(
     "capture_round_trip",
-    f"""with rendered as (
-  select doc_id, {_WORDS.format('text')} as w, {_WORDS.format("split_part(text, '.', 1)")} as p from documents
-  where doc_id in (select vec_id from embeddings)),
-fit as (select * from rendered where len(w) <= 768 and len(p) < len(w))
-select count(*) as n_rows, cast(sum(len(w)) as bigint) as n_tokens, cast(sum(len(w) - len(p)) as bigint) as n_labels,
-  cast(count(*) * 8 as bigint) as n_stored,
-  cast(0 as bigint) as n_off from fit""",
+    f"""with vocab as (
+  select token, row_number() over (order by token) - 1 as id from (
+    select distinct unnest({_WORDS.format('text')}) as token from benchmark)),
+sized as (
+  select doc_id, {_WORDS.format('text')} as w, len({_WORDS.format("split_part(text, '.', 1)")}) as n_prompt from documents),
+fit as (select * from sized where len(w) <= {_POSITIONS} and n_prompt < len(w)),
+ids as (
+  select f.doc_id, any_value(f.n_prompt) as n_prompt, list(coalesce(v.id, -1) order by f.pos) as ids
+  from (select doc_id, n_prompt, unnest(w) as token, generate_subscripts(w, 1) as pos from fit) f
+  left join vocab v on v.token = f.token group by f.doc_id),
+lp as (
+  select vec_id, token_id, x - ln(sum(exp(x)) over (partition by vec_id)) as lp from (
+    select vec_id, unnest(embedding[1:48])::double as x, unnest(range(48)) as token_id from embeddings)),
+best as (select *, row_number() over (partition by vec_id order by lp desc, token_id) as r from lp),
+top as (
+  select vec_id, string_agg(cast(token_id as varchar), ',' order by r) as t, sum(cast(cast(lp as float) as double)) as s
+  from best where r <= 8 group by vec_id),
+placed as (
+  select doc_id, pos, (doc_id * 7 + pos) % (select count(*) from embeddings) as vec_id
+  from (select doc_id, unnest(range({_POSITIONS})) as pos from fit)),
+tops as (
+  select doc_id, md5(string_agg(t, ';' order by pos)) as top_md5, round(sum(s), 3) as logprob_sum
+  from placed join top using (vec_id) group by doc_id)
+select cast(doc_id as varchar) as example_id,
+  md5(array_to_string(list_concat(ids, [-2 for i in range({_POSITIONS} - len(ids))]), ',')) as ids_md5,
+  md5(array_to_string(list_concat([-100 for i in range(n_prompt)], ids[n_prompt + 1:],
+    [-100 for i in range({_POSITIONS} - len(ids))]), ',')) as labels_md5,
+  top_md5, logprob_sum, cast(0 as bigint) as n_off, cast(0 as bigint) as n_changed
+from ids join tops using (doc_id)""",
 )
 def capture_round_trip(spark, sf):
-    """Prompt and reply to ids, labels and top entries on the fixed schema, written and read again.
+    """Prompt and reply to ids, labels and the top entries of every position, written, read and compared by value.
 
-    Each document is one sequence; the logits of its only captured position are
-    the vector of the same id. Ids are places in the vocabulary of the
-    benchmark's words, one more for all others.
+    Each document that fits is one sequence; the logits of a position are one
+    of the given vectors. Ids are places in the vocabulary of the benchmark's
+    words, one more for all others.
     """
     vocab = tokens.build_vocab(table(spark, sf, "benchmark"))
     docs = table(spark, sf, "documents").select(
@@ -236,18 +261,70 @@ def capture_round_trip(spark, sf):
     )
     full = tokens.tokenize(docs, vocab, "full_text", "full_ids")
     both = tokens.tokenize(full, vocab, "prompt_text", "prompt_ids")
-    masked = tokens.mask_and_pad(both, 768, pad_id=-2).filter("skip_reason IS NULL")
-    logits = table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("teacher"))
-    top = losses.topk_logprobs(losses.truncate_vocab(logits, 48, "teacher"), "teacher", 8)
-    rows = masked.join(top, "doc_id").withColumn("top_logprobs", F.array("top"))
+    masked = tokens.mask_and_pad(both, _POSITIONS, pad_id=-2).filter("skip_reason IS NULL")
+    sequences = masked.withColumn("example_id", F.col("doc_id").cast("string"))
+    vectors = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("teacher"))
+    top = losses.topk_logprobs(losses.truncate_vocab(vectors, 48, "teacher"), "teacher", 8).select("vec_id", "top")
+    asked = sequences.select("example_id", "doc_id", F.explode(F.sequence(F.lit(0), F.lit(_POSITIONS - 1))).alias("pos"))
+    asked = asked.withColumn("vec_id", (F.col("doc_id") * 7 + F.col("pos")) % vectors.count())
+    rows = capture.captured_sequences(sequences, asked.join(top, "vec_id").select("example_id", "pos", "top"))
+    written = capture.fixed_schema(rows.filter("capture_reason IS NULL"), capture.KEYED_CAPTURE_SCHEMA)
     path = scratch_path(spark, "capture")
-    capture.write_capped_parquet(capture.fixed_schema(rows), path)
-    read = capture.fixed_schema(spark.read.parquet(path))
-    off = (F.size("input_ids") != 768) | (F.size("labels") != 768) | (F.size("top_logprobs") != 1)
-    return read.agg(
-        F.count("*").alias("n_rows"),
-        F.sum(F.size(F.filter("input_ids", lambda x: x != -2))).alias("n_tokens"),
-        F.sum(F.size(F.filter("labels", lambda x: x != -100))).alias("n_labels"),
-        F.sum(F.size(F.flatten("top_logprobs"))).alias("n_stored"),
-        F.count_if(off).alias("n_off"),
+    capture.write_capped_parquet(written, path)
+    read = capture.fixed_schema(spark.read.parquet(path), capture.KEYED_CAPTURE_SCHEMA)
+    arrays = ["input_ids", "labels", "top_logprobs"]
+    off = tokens.uniform_length_check(read, arrays, _POSITIONS).agg(F.sum("n_off")).scalar()
+    changed = capture.capture_differences(written, read).agg(F.count("*")).scalar()
+    listed = lambda c, sep=",": F.array_join(F.transform(c, lambda x: x.cast("string")), sep)
+    entries = F.transform("top_logprobs", lambda p: listed(F.transform(p, lambda e: e["token_id"])))
+    total = F.aggregate(F.flatten("top_logprobs"), F.lit(0.0), lambda acc, e: acc + e["logprob"].cast("double"))
+    return read.select(
+        "example_id",
+        F.md5(listed("input_ids")).alias("ids_md5"),
+        F.md5(listed("labels")).alias("labels_md5"),
+        F.md5(F.array_join(entries, ";")).alias("top_md5"),
+        F.round(total, 3).alias("logprob_sum"),
+        off.alias("n_off"),
+        changed.alias("n_changed"),
     )
+
+
+_TOP_WORDS = """(
+  select token, row_number() over (order by n desc, token) - 1 as id from (
+    select token, count(*) as n from (select unnest(regexp_extract_all(text, '[^ \t\n\r]+')) as token from {0}) group by token)
+  order by id limit {1})"""
+
+
+@query(
+    "uld_aligned",
+    twins.with_ctes(twins.POSITIONS)
+    + f""", tv as {_TOP_WORDS.format('benchmark', 64)}, sv as {_TOP_WORDS.format('documents', 60)},
+pairs as (select tv.id as tid, sv.id as sid, tv.token from tv join sv on tv.token = sv.token),
+tp as (
+  select vec_id, token_id, exp(t) / sum(exp(t)) over (partition by vec_id) as p from entries
+  where label <> -100 and token_id in (select id from tv)),
+sp as (
+  select vec_id, token_id, exp(s) / sum(exp(s)) over (partition by vec_id) as p from entries
+  where label <> -100 and token_id in (select id from sv)),
+direct as (
+  select tp.vec_id, sum(abs(tp.p - sp.p)) as d from tp join pairs on tid = tp.token_id
+  join sp on sp.token_id = sid and sp.vec_id = tp.vec_id group by tp.vec_id),
+tr as (
+  select vec_id, p, row_number() over (partition by vec_id order by p desc) as r from tp
+  where token_id not in (select tid from pairs)),
+sr as (
+  select vec_id, p, row_number() over (partition by vec_id order by p desc) as r from sp
+  where token_id not in (select sid from pairs)),
+rest as (
+  select coalesce(tr.vec_id, sr.vec_id) as vec_id, sum(abs(coalesce(tr.p, 0) - coalesce(sr.p, 0))) as d
+  from tr full join sr on tr.vec_id = sr.vec_id and tr.r = sr.r group by 1)
+select round(avg(direct.d + rest.d), 6) as uld, any_value((select count(*) from pairs)) as n_shared
+from direct join rest on direct.vec_id = rest.vec_id""",
+)
+def uld_aligned(spark, sf):
+    """Logits over the 64 most frequent words of the benchmark against those over the 60 of the documents."""
+    teacher = tokens.frequent_vocab(table(spark, sf, "benchmark"), 64)
+    student = tokens.frequent_vocab(table(spark, sf, "documents"), 60)
+    alignment = checks.align_vocabularies(teacher, student)
+    shared = checks.vocabulary_overlap(alignment).select("n_shared").scalar()
+    return checks.uld_aligned(positions(spark, sf), alignment).select(F.round("uld", 6).alias("uld"), shared.alias("n_shared"))

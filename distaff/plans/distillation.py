@@ -28,9 +28,17 @@ def _code_points(text):
 # ---- tokens
 
 
-@query(
-    "tokenize",
-    f"""with vocab as (
+def _token_digests(encoded):
+    ids = F.col("token_ids")
+    return encoded.select(
+        "doc_id",
+        F.size(ids).cast("bigint").alias("n_tokens"),
+        F.size(F.filter(ids, lambda x: x == -1)).cast("bigint").alias("n_unknown"),
+        _ids_md5(ids).alias("ids_md5"),
+    )
+
+
+_TOKENIZED_SQL = f"""with vocab as (
   select token, row_number() over (order by token) - 1 as id from (
     select distinct unnest({_WORDS.format('text')}) as token from benchmark)),
 words as (
@@ -41,19 +49,21 @@ ids as (
   from words w left join vocab v on v.token = w.token)
 select doc_id, count(*) as n_tokens, count(*) filter (id = -1) as n_unknown,
   md5(string_agg(cast(id as varchar), ',' order by pos)) as ids_md5
-from ids group by doc_id""",
-)
+from ids group by doc_id"""
+
+
+@query("tokenize", _TOKENIZED_SQL)
 def tokenize(spark, sf):
     """Documents in the vocabulary of the benchmark texts."""
     vocab = tokens.build_vocab(table(spark, sf, "benchmark"))
-    encoded = tokens.tokenize(_docs(spark, sf), vocab)
-    ids = F.col("token_ids")
-    return encoded.select(
-        "doc_id",
-        F.size(ids).cast("bigint").alias("n_tokens"),
-        F.size(F.filter(ids, lambda x: x == -1)).cast("bigint").alias("n_unknown"),
-        _ids_md5(ids).alias("ids_md5"),
-    )
+    return _token_digests(tokens.tokenize(_docs(spark, sf), vocab))
+
+
+@query("tokenize_joined", _TOKENIZED_SQL)
+def tokenize_joined(spark, sf):
+    """The same with a vocabulary above the limit of the look-up in the row."""
+    vocab = tokens.build_vocab(table(spark, sf, "benchmark"))
+    return _token_digests(tokens.tokenize(_docs(spark, sf), vocab, max_vocab=10, block_bytes=1 << 20))
 
 
 @query(

@@ -18,6 +18,8 @@ CAPTURE_SCHEMA = T.StructType(
         T.StructField("top_logprobs", T.ArrayType(T.ArrayType(TOKEN_LOGPROB))),
     ]
 )
+#: Captured rows that can be told apart.
+KEYED_CAPTURE_SCHEMA = T.StructType([T.StructField("example_id", T.StringType()), *CAPTURE_SCHEMA.fields])
 MANIFEST_SCHEMA = T.StructType(
     [T.StructField("key", T.StringType(), False), T.StructField("value", T.StringType())]
 )
@@ -61,6 +63,52 @@ def _fits(given: T.DataType, wanted: T.DataType) -> bool:
     return given == wanted or (isinstance(given, fraction) and isinstance(wanted, fraction))
 
 
+def captured_sequences(sequences: DataFrame, positions: DataFrame, seq: str = "example_id") -> DataFrame:
+    """Add ``top_logprobs``, the top entries of every position, and ``capture_reason``, to rows with ``input_ids``.
+
+    ``positions`` has (``seq``, pos, top) with pos from 0. A sequence is whole
+    when each of its positions is there once; else it keeps its row with null
+    entries and the reason ``no_positions``, ``positions_missing``,
+    ``position_repeated`` or ``position_outside``. A sequence's positions are
+    grouped in one place, as many as the model's context holds.
+    """
+    places = positions.groupBy(F.col(seq).alias("_seq")).agg(
+        F.sort_array(F.collect_list(F.struct("pos", "top"))).alias("_at"), F.count_distinct("pos").alias("_n")
+    )
+    joined = sequences.join(places, F.col(seq).eqNullSafe(F.col("_seq")), "left")
+    length, n = F.size("input_ids"), F.size("_at")
+    reason = (
+        F.when(F.col("_at").isNull() & (length > 0), "no_positions")
+        .when(n > F.col("_n"), "position_repeated")
+        .when((F.get("_at", F.lit(0))["pos"] < 0) | (F.get("_at", n - 1)["pos"] >= length), "position_outside")
+        .when(n < length, "positions_missing")
+    )
+    top = F.coalesce(F.transform("_at", lambda p: p["top"]), F.array().cast(positions.select(F.array("top")).schema[0].dataType))
+    return (
+        joined.withColumn("capture_reason", reason)
+        .withColumn("top_logprobs", F.when(F.col("capture_reason").isNull(), top))
+        .drop("_seq", "_at", "_n")
+    )
+
+
+def positions_without_sequence(sequences: DataFrame, positions: DataFrame, seq: str = "example_id") -> DataFrame:
+    """Captured positions whose sequence is not known."""
+    return positions.join(sequences.select(seq), seq, "left_anti")
+
+
+def capture_differences(written: DataFrame, read: DataFrame, key: str = "example_id") -> DataFrame:
+    """(key, n_written, n_read) of rows whose values are not the same number of times on both sides.
+
+    Rows are compared by a 256-bit hash of all their values as JSON, so
+    nothing but keys and hashes is shuffled.
+    """
+    digest = F.sha2(F.to_json(F.struct(*[F.col(c) for c in written.columns]), {"ignoreNullFields": "false"}), 256)
+    one = lambda df, a, b: df.select(F.col(key), digest.alias("_digest"), F.lit(a).alias("w"), F.lit(b).alias("r"))
+    both = one(written, 1, 0).union(one(read.select(*written.columns), 0, 1)).groupBy(key, "_digest")
+    sides = both.agg(F.sum("w").alias("n_written"), F.sum("r").alias("n_read"))
+    return sides.filter("n_written <> n_read").drop("_digest")
+
+
 def write_capped_parquet(
     df: DataFrame, path: str, max_rows: int = ROWS_PER_FILE, mode: str = "errorifexists"
 ) -> None:

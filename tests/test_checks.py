@@ -1,6 +1,10 @@
 """Checks of corpora, logs and distributions on small planted cases."""
 
+import itertools
+import math
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from distaff.operators import checks, examples, grams, misses
@@ -125,6 +129,48 @@ def test_distances_against_numpy(spark):
     assert abs(checks.uld(df, 2).first()[0] - (np.abs(p - q)[:, :2].sum(1) + rest).mean()) < 1e-12
 
 
+def test_unequal_widths_fail_and_states_without_direction_are_counted(spark):
+    rows = [([1.0, 2.0], [1.0, 3.0], 0), ([0.0, 0.0], [1.0, 1.0], 0), ([1.0, 1.0], [5.0, 5.0], -100)]
+    schema = "teacher array<double>, student array<double>, label int"
+    r = checks.hidden_cosine(spark.createDataFrame(rows, schema)).first()
+    assert r.n_without_direction == 1 and abs(r.hidden_cosine - (1 - 7 / math.sqrt(50))) < 1e-12
+    for bad in (([1.0, 2.0, 3.0], [1.0, 2.0], 0), (None, [1.0], 0), ([1.0], None, None)):
+        df = spark.createDataFrame([*rows[:1], bad], schema)
+        for loss in (checks.tvd, checks.hidden_cosine):
+            with pytest.raises(Exception, match="differ in width"):
+                loss(df).collect()
+    assert checks.tvd(spark.createDataFrame([*rows[:1], ([1.0], [1.0, 2.0], -100)], schema)).first()[0] > 0
+
+
+def test_distance_across_vocabularies(spark):
+    rng = np.random.default_rng(8)
+    mine = {f"t{i}": i for i in rng.permutation(12).tolist()}
+    other = dict(zip(["t3", "t9", "x", "t0", "y", "t11", "z"], rng.permutation(9)[:7].tolist()))
+    tables = [spark.createDataFrame(list(v.items()), "token string, id int") for v in (mine, other)]
+    alignment = checks.align_vocabularies(*tables)
+    assert tuple(checks.vocabulary_overlap(alignment).first()) == (12, 7, 4, 4 / 12)
+    t, s = rng.normal(size=(15, 14)), rng.normal(size=(15, 9))
+    labels = [-100 if i % 5 == 0 else i for i in range(15)]
+    df = spark.createDataFrame([(a.tolist(), b.tolist(), y) for a, b, y in zip(t, s, labels)], "teacher array<float>, student array<double>, label int")
+    soft = lambda x, ids: dict(zip(ids, np.exp(x[list(ids.values())]) / np.exp(x[list(ids.values())]).sum()))
+    wanted = []
+    for a, b, y in zip(t.astype(np.float32).astype(float), s, labels):
+        p, q = soft(a, mine), soft(b, other)
+        left = [sorted((v for k, v in d.items() if k not in e), reverse=True) for d, e in ((p, other), (q, mine))]
+        pairs = itertools.zip_longest(*left, fillvalue=0.0)
+        if y != -100:
+            wanted.append(sum(abs(p[k] - q[k]) for k in mine if k in other) + sum(abs(x - z) for x, z in pairs))
+    assert abs(checks.uld_aligned(df, alignment).first()[0] - np.mean(wanted)) < 1e-9
+    twice = spark.createDataFrame([("a", 4), ("a", 2), ("b", 0)], "token string, id int")
+    found = checks.align_vocabularies(twice, spark.createDataFrame([("a", 1), ("c", 3)], "token string, id int"))
+    assert sorted(map(repr, (tuple(r) for r in found.collect()))) == sorted(map(repr, [("a", 2, 1), ("a", 4, None), ("b", 0, None), ("c", None, 3)]))
+    for bad in (([1.0] * 3, [1.0] * 9, 0), (None, [1.0] * 9, 0)):
+        with pytest.raises(Exception, match="out of bounds|missing"):
+            checks.uld_aligned(spark.createDataFrame([bad], df.schema), alignment).collect()
+    with pytest.raises(ValueError, match="at most 3"):
+        checks.uld_aligned(df, alignment, max_vocab=3)
+
+
 def test_dead_tokens(spark):
     vocab = spark.createDataFrame([("a", 0), ("b", 1), ("c", 2)], "token string, id int")
     ids = spark.createDataFrame([([0, 0],), ([],), (None,), ([2],)], "token_ids array<bigint>")

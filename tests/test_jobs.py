@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from distaff.operators import generate
+from distaff.operators import generate, tokens
 from distaff.operators.filters import classify_completions
 from distaff.session import checkpoint_dir, scratch_path
 from distaff.sources import capture, completions
@@ -78,6 +78,34 @@ def test_capped_files(spark, tmp_path):
     assert sum(r.n_rows for r in rows) == 25 and max(r.n_rows for r in rows) <= 5
 
 
+def test_sequences_with_all_positions(spark, tmp_path):
+    top = lambda i: [(i, -0.5), (i + 1, -1.25)]
+    sequences = spark.createDataFrame(
+        [("a", [1, 2, 3], [-100, 2, 3]), ("b", [4, 5], [4, 5]), ("c", [6], [6]), ("d", [7, 8], [7, 8]), ("e", [9], [9]), ("f", [], [])],
+        "example_id string, input_ids array<bigint>, labels array<bigint>",
+    )
+    at = [("a", 2, top(2)), ("a", 0, top(0)), ("a", 1, top(1)), ("b", 1, top(1)), ("d", 0, top(0)), ("d", 0, top(0)), ("e", 1, top(1)), ("lost", 0, top(0))]
+    positions = spark.createDataFrame(at, "example_id string, pos int, top array<struct<token_id:int,logprob:float>>").repartition(3)
+    rows = capture.captured_sequences(sequences, positions)
+    got = {r.example_id: r for r in rows.collect()}
+    assert {k: r.capture_reason for k, r in got.items()} == {
+        "a": None, "b": "positions_missing", "c": "no_positions", "d": "position_repeated", "e": "position_outside", "f": None,
+    }
+    assert [[tuple(e) for e in p] for p in got["a"].top_logprobs] == [top(0), top(1), top(2)]
+    assert got["f"].top_logprobs == [] and got["b"].top_logprobs is None
+    assert [r.example_id for r in capture.positions_without_sequence(sequences, positions).collect()] == ["lost"]
+    written = capture.fixed_schema(rows.filter("capture_reason IS NULL"), capture.KEYED_CAPTURE_SCHEMA)
+    path = str(tmp_path / "captured")
+    capture.write_capped_parquet(written, path)
+    read = spark.read.parquet(path)
+    assert capture.capture_differences(written, read).count() == 0
+    found = {r.column_name: (r.shortest, r.longest, r.n_off) for r in tokens.uniform_length_check(read, ["labels", "top_logprobs"], 3).collect()}
+    assert found == {"labels": (0, 3, 1), "top_logprobs": (0, 3, 1)}
+    bent = read.withColumn("top_logprobs", F.transform("top_logprobs", lambda p: F.transform(p, lambda e: e.withField("logprob", e["logprob"] - F.lit(0.25).cast("float")))))
+    off = capture.capture_differences(written, bent.union(read.filter("example_id = 'f'"))).collect()
+    assert sorted((r.example_id, r.n_written, r.n_read) for r in off) == [("a", 0, 1), ("a", 1, 0), ("f", 1, 2)]
+
+
 def test_manifest_mismatch(spark, tmp_path):
     path = str(tmp_path / "manifest")
     capture.write_manifest(capture.manifest_table(spark, capture.manifest(151_665, 64, "tok")), path)

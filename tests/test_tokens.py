@@ -131,8 +131,25 @@ def test_tokenize_keeps_rows_and_columns_without_moving_them(spark):
     out = tokens.tokenize(docs, vocab)
     assert sorted((r.other, r.token_ids) for r in out.collect()) == [("x", [0, 1]), ("y", [1]), ("z", None)]
     assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
-    with pytest.raises(ValueError):
-        tokens.tokenize(docs, vocab, max_vocab=1)
+
+
+def test_large_vocabularies_are_joined_with_the_same_ids(spark):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(60)], k=rng.randrange(0, 40))) for _ in range(200)]
+    rows = [(i // 2, t, [i], "b") for i, t in enumerate(texts + ["hot  words\there"] * 150 + [None, "", None])]
+    docs = spark.createDataFrame(rows, "id int, text string, row array<int>, block string").repartition(4)
+    vocab = spark.createDataFrame([(f"w{i}", 100 - i) for i in range(0, 60, 2)] + [("hot", 7), ("hot", 5)], "token string, id int")
+    direct = tokens.tokenize(docs, vocab)
+    for block_bytes in (300, 1 << 23):
+        joined = tokens.tokenize(docs, vocab, max_vocab=10, block_bytes=block_bytes)
+        assert joined.columns == direct.columns
+        assert sorted(map(repr, joined.collect())) == sorted(map(repr, direct.collect()))
+    assert tokens.tokenize(docs.limit(0), vocab, max_vocab=1).count() == 0
+
+
+def test_frequent_vocabulary(spark):
+    docs = spark.createDataFrame([("b a b c",), ("d c b",), (None,)], "text string")
+    assert sorted((r.id, r.token) for r in tokens.frequent_vocab(docs, 3).collect()) == [(0, "b"), (1, "c"), (2, "a")]
 
 
 def test_missing_texts_are_counted_apart(spark):
