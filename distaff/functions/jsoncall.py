@@ -69,12 +69,21 @@ def extract_json(text: Column) -> Column:
     return parse_document(json_block(text))
 
 
-def _with_fields(df: DataFrame, text: Column, name: str) -> DataFrame:
-    # One projection per level: each text is searched and parsed once, however
-    # many fields are read from it.
+def fence(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are worked out once a row, whatever reads or filters them later.
+
+    Spark puts an expression in place of its name when it merges projections
+    or pushes a filter below them, once for every use. A generator of one row
+    is not merged and no filter on its output passes it.
+    """
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(F.struct(*[v.alias(c) for c, v in columns.items()]))))
+
+
+def _with_fields(df: DataFrame, block: Column, name: str) -> DataFrame:
     kept = [f"`{c}`" for c in df.columns if c != name]
-    return (
-        df.withColumn("_marked", _marked(text))
+    read = (
+        df.withColumn("_marked", _marked(block))
         .selectExpr(
             *kept,
             f"coalesce(try_variant_get(_marked, '$[1]', 'string') = '{END_MARKER}', false)"
@@ -82,17 +91,17 @@ def _with_fields(df: DataFrame, text: Column, name: str) -> DataFrame:
             "try_variant_get(_marked, '$[0].name', 'variant') AS _name",
             "try_variant_get(_marked, '$[0].arguments', 'variant') AS _args",
         )
-        .selectExpr(
-            *kept,
-            f"""named_struct(
-              'any_json', _closed,
-              'has_name', _closed AND _name IS NOT NULL,
-              'name', CASE WHEN _closed THEN to_json(_name) END,
-              'arguments', CASE WHEN _closed THEN to_json(_args) END,
-              'arguments_is_object',
-                _closed AND try_cast(_args AS map<string,variant>) IS NOT NULL) AS `{name}`""",
-        )
     )
+    fields = F.expr(
+        """named_struct(
+             'any_json', _closed,
+             'has_name', _closed AND _name IS NOT NULL,
+             'name', CASE WHEN _closed THEN to_json(_name) END,
+             'arguments', CASE WHEN _closed THEN to_json(_args) END,
+             'arguments_is_object',
+               _closed AND try_cast(_args AS map<string,variant>) IS NOT NULL)"""
+    )
+    return fence(read, **{name: fields}).selectExpr(*kept, f"`{name}`")
 
 
 def with_call_fields(df: DataFrame, text: str, name: str = "call", exact: bool = False) -> DataFrame:
@@ -103,10 +112,10 @@ def with_call_fields(df: DataFrame, text: str, name: str = "call", exact: bool =
     is deep equality. Absent keys are null, JSON nulls are the text ``null``.
     ``exact`` reads with Python's ``json``.
     """
-    block = json_block(F.col(text))
     if exact:
-        return df.withColumn(name, _exact_fields(block))
-    return _with_fields(df, block, name)
+        return df.withColumn(name, _exact_fields(json_block(F.col(text))))
+    block = json_block(F.col("_text"))
+    return _with_fields(fence(df, _text=F.col(text)), block, name).drop("_text")
 
 
 def with_document_fields(
