@@ -21,8 +21,8 @@ from distaff.session import materialise
 #: Letters A-Z become a-z, letters a-z and bytes from 0x80 stay, all else is a blank.
 TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 PIECE = 1 << 20
-ENTRIES = 1 << 17
-CELLS = 1 << 20
+ENTRIES = 1 << 16
+CELLS = 1 << 18
 LEAST_DOCUMENTS = 3
 PARTS = 1_000_000_000
 
