@@ -155,20 +155,35 @@ def length_filter(df: DataFrame, ids: str, max_len: int = MAX_SEQUENCE) -> DataF
     return df.filter(F.size(ids) <= max_len)
 
 
+def batch_widths(batches: DataFrame, length: str, max_len: int = MAX_TRAIN_TOKENS) -> DataFrame:
+    """Add ``width``, the longest kept length of each batch, to rows of (batch_id, ``length``, …).
+
+    Keys and lengths are all this needs, so that ids are joined once, at last.
+    """
+    longest = F.max(F.col(length)).over(Window.partitionBy("batch_id"))
+    return batches.withColumn("width", F.least(longest, F.lit(max_len)))
+
+
 def truncate_and_pad_batch(
     df: DataFrame,
     ids: str = "token_ids",
     max_len: int = MAX_TRAIN_TOKENS,
     pad_id: int = 0,
     mask: str = "none",
+    width: str | None = None,
 ) -> DataFrame:
     """Cut rows to ``max_len`` and pad to the longest row of their batch.
 
-    Labels copy the ids; ``mask='pad'`` ignores the padding in them.
+    ``width`` names a column that holds that length (``batch_widths``);
+    without it the rows of a ``batch_id`` are brought together. Labels copy
+    the ids; ``mask='pad'`` ignores the padding in them.
     """
-    batch = Window.partitionBy("batch_id")
     kept = F.slice(F.col(ids), 1, max_len)
-    cut = df.withColumn("_kept", kept).withColumn("width", F.max(F.size("_kept")).over(batch))
+    cut = df.withColumn("_kept", kept)
+    if width is None:
+        cut = batch_widths(cut.withColumn("_size", F.size("_kept")), "_size", max_len).drop("_size")
+    elif width != "width":
+        cut = cut.withColumn("width", F.col(width))
     padding = F.col("width") - F.size("_kept")
     fill = {"none": pad_id, "pad": IGNORE_LABEL}[mask]
     return (

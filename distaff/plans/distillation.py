@@ -20,9 +20,9 @@ def _docs(spark, sf, *columns):
     return table(spark, sf, "documents").select("doc_id", "text", *columns)
 
 
-def _code_points(text):
-    """Stand-in tokenizer over whole texts: a number from every character of each word."""
-    return F.transform(tokens.words(text), lambda w: F.conv(F.substring(F.md5(w), 1, 7), 16, 10).cast("bigint"))
+def _stand_in_ids(text):
+    """Stand-in tokenizer over whole texts: a number for each word, from its first character and length."""
+    return F.transform(tokens.words(text), lambda w: (F.ascii(w) * 4096 + F.length(w)).cast("bigint"))
 
 
 # ---- tokens
@@ -98,8 +98,8 @@ def _masked(spark, sf):
     )
     encoded = rendered.select(
         "*",
-        _code_points(F.col("full_text")).alias("full_ids"),
-        _code_points(F.col("prompt_text")).alias("prompt_ids"),
+        _stand_in_ids(F.col("full_text")).alias("full_ids"),
+        _stand_in_ids(F.col("prompt_text")).alias("prompt_ids"),
     )
     return tokens.mask_and_pad(encoded)
 
@@ -110,8 +110,8 @@ _MASKED_SQL = f"""with rendered as (
       as prompt_text
   from documents),
 encoded as (
-  select *, list_transform({_WORDS.format('full_text')}, lambda w: ('0x' || substr(md5(w), 1, 7))::bigint) as full_ids,
-    list_transform({_WORDS.format('prompt_text')}, lambda w: ('0x' || substr(md5(w), 1, 7))::bigint) as prompt_ids from rendered),
+  select *, list_transform({_WORDS.format('full_text')}, lambda w: unicode(w)::bigint * 4096 + length(w)) as full_ids,
+    list_transform({_WORDS.format('prompt_text')}, lambda w: unicode(w)::bigint * 4096 + length(w)) as prompt_ids from rendered),
 reasons as (
   select *, case when not starts_with(full_text, prompt_text) then 'prompt_not_prefix'
     when len(full_ids) > 768 then 'too_long'
@@ -181,7 +181,7 @@ def length_filter(spark, sf):
 
 
 _BATCHES_SQL = f"""with numbered as (
-  select doc_id, list_transform({_WORDS.format('text')}, lambda w: ('0x' || substr(md5(w), 1, 7))::bigint)[:512] as ids,
+  select doc_id, list_transform({_WORDS.format('text')}, lambda w: unicode(w)::bigint * 4096 + length(w))[:512] as ids,
     row_number() over (order by doc_id) - 1 as position from documents),
 batched as (select *, position // 8 as batch_id, position % 8 as slot from numbered),
 sized as (select *, max(len(ids)) over (partition by batch_id) as width from batched)
@@ -199,9 +199,12 @@ sized as (select *, max(len(ids)) over (partition by batch_id) as width from bat
 from sized""",
 )
 def truncate_and_pad_batch(spark, sf):
-    encoded = _docs(spark, sf).select("doc_id", _code_points(F.col("text")).alias("token_ids"))
-    batched = ordering.micro_batches(encoded, 8, False, "doc_id")
-    padded = tokens.truncate_and_pad_batch(batched, mask="pad")
+    """Only keys and lengths are numbered and put into batches; texts meet their batch once."""
+    docs = _docs(spark, sf)
+    sizes = docs.select("doc_id", F.size(tokens.words(F.col("text"))).alias("n_tokens"))
+    batches = tokens.batch_widths(ordering.micro_batches(sizes, 8, False, "doc_id"), "n_tokens")
+    batched = docs.join(batches, "doc_id").withColumn("token_ids", _stand_in_ids(F.col("text")))
+    padded = tokens.truncate_and_pad_batch(batched, mask="pad", width="width")
     return padded.select(
         "doc_id",
         "batch_id",

@@ -58,3 +58,12 @@ def test_tables_are_read_no_more_often_than_needed(spark, name, scans):
 def test_tokens_are_looked_up_where_the_row_is(spark):
     text = plan(QUERIES["tokenize"].build(spark, SF))
     assert "Exchange" not in text and "Join" not in text
+
+
+@pytest.mark.parametrize("name", ["fp_overlap", "collect_misses", "multi_model_overlap", "score_calls_v1", "completion_quality"])
+def test_a_text_is_parsed_once_and_nothing_filters_below(spark, name):
+    optimized = QUERIES[name].build(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    truth = name != "completion_quality"
+    assert optimized.count("parseJson") == 1 + truth  # the completion, and the truth it is compared with
+    filters = [line for line in optimized.splitlines() if "Filter " in line]
+    assert not any("parseJson" in line or "_marked" in line or "_text" in line for line in filters)

@@ -109,6 +109,17 @@ def test_tokenize_equals_python(spark):
     assert tokens.vocab_size(vocab.limit(0)).first().vocab_size == 0
 
 
+def test_batch_widths_from_lengths_alone(spark):
+    rng = random.Random(6)
+    rows = [(i, rng.randrange(4), [1] * rng.randrange(0, 9)) for i in range(60)]
+    df = spark.createDataFrame(rows, "k int, batch_id int, token_ids array<bigint>")
+    sizes = tokens.batch_widths(df.select("k", "batch_id", F.size("token_ids").alias("n")), "n", 6).drop("n")
+    joined = tokens.truncate_and_pad_batch(df.drop("batch_id").join(sizes, "k"), max_len=6, width="width")
+    plain = tokens.truncate_and_pad_batch(df, max_len=6)
+    columns = ["k", "width", "input_ids", "labels"]
+    assert sorted(joined.select(columns).collect()) == sorted(plain.select(columns).collect())
+
+
 def test_vocab_is_dense(spark):
     docs = spark.createDataFrame([("b a",), ("c a",)], "text string")
     rows = tokens.build_vocab(docs).collect()
