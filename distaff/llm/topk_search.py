@@ -4,7 +4,10 @@ Queries meet the candidates in blocks: every block of candidates keeps one
 sorted list of its vectors per dimension. A query reads all lists from the end
 that its sign favours, scores each vector when any list first shows it, and
 stops when even a vector standing at the read depth of every list at once
-could not beat its k-th score.
+could not beat its k-th score. The longest vectors of all give every query a
+k-th score to begin with, so that a block whose lists begin below it is not
+read at all. A query that would be shown more than a small share of a block
+has the rest of it scored by one matrix product with the other such queries.
 """
 
 import numpy as np
@@ -13,6 +16,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 FIRST_DEPTH = 16
+#: A block is read through its lists while they can have shown one row of this many.
+READ_SHARE = 16
+#: Longest candidates that are sent to every task.
+SEEDS = 1024
+#: Numbers in a block of candidates and of queries: the wider the vectors, the fewer.
+BLOCK_CELLS = 1 << 20
+QUERY_CELLS = 1 << 21
+SCORES = 1 << 22
 EXACT_IN_DOUBLE = 2**53
 
 
@@ -44,55 +55,100 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return out
 
 
+def _lowest(dtype: np.dtype):
+    return -np.inf if dtype.kind == "f" else np.iinfo(dtype).min
+
+
+def _best(query: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
+    """Places of the ``k`` best entries of each query; equal scores go to smaller ids."""
+    order = np.lexsort((ids, -scores, query))
+    sorted_query = query[order]
+    return order[np.arange(len(order)) - np.searchsorted(sorted_query, sorted_query) < k]
+
+
+def first_floor(own: np.ndarray, asked: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
+    """The k-th best score of each query among some candidates; the lowest number where they are fewer."""
+    floor = np.full(len(asked), _lowest(asked.dtype), dtype=asked.dtype)
+    if len(ids) >= k:
+        step = max(1, SCORES // len(ids))
+        for at in range(0, len(asked), step):
+            scores = asked[at : at + step] @ rows.T
+            scores[own[at : at + step, None] == ids] = _lowest(asked.dtype)
+            floor[at : at + step] = np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k]
+    return floor
+
+
 def threshold_search(
-    query: np.ndarray, own_id: int, ids: np.ndarray, rows: np.ndarray, lists: np.ndarray, k: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and scores of the k best rows; equal scores go to smaller ids.
+    own: np.ndarray, asked: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int, floor: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(query, vec_id, score) of the ``k`` best rows of each query that reach its ``floor``, and the rows read.
 
-    ``ids`` ascend. ``lists[d]`` orders the rows by component ``d``, ascending.
+    ``query`` counts in ``asked``. Rows with the query's ``own`` id take no part.
     """
-    n = len(ids)
-    dims = np.flatnonzero(query)
-    ends = query[dims] > 0
-    seen = ids == own_id
-    best = np.empty(0, dtype=np.int64)
-    scores = np.zeros(n, dtype=rows.dtype)
-    depth, start = FIRST_DEPTH, 0
-    while True:
-        stop = min(depth, n)
-        if len(dims) and stop < n:
-            shown = np.concatenate([lists[dims[ends], n - stop : n - start].ravel(), lists[dims[~ends], start:stop].ravel()])
-            fresh = np.unique(shown[~seen[shown]])
-        else:
-            fresh = np.flatnonzero(~seen)
-        seen[fresh] = True
-        scores[fresh] = rows[fresh] @ query
-        best = np.concatenate([best, fresh])
-        best = best[np.lexsort((best, -scores[best]))[:k]]
-        if stop == n or not len(dims):
-            break
-        at = np.where(ends, lists[dims, n - stop], lists[dims, stop - 1])
-        bound = (query[dims] * rows[at, dims]).sum()
-        if len(best) == k and scores[best[-1]] > bound:
-            break
-        depth, start = depth * 4, stop
-    return ids[best], scores[best].astype(np.int64)
-
-
-def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20, query_block: int = 512, block: int = 8192) -> DataFrame:
+    n, width = rows.shape
+    lists = np.ascontiguousarray(np.argsort(rows, axis=0, kind="stable").T.astype(np.int32))
+    dims = np.arange(width)
+    up, down = np.maximum(asked, 0), np.minimum(asked, 0)
+    # What a vector could score that stands at this depth of every list.
+    bound = lambda depth: up @ rows[lists[:, n - depth], dims] + down @ rows[lists[:, depth - 1], dims]
+    floor = floor.copy()
+    out, read = [], 0
+    going = np.flatnonzero(bound(1) >= floor)
+    depth = FIRST_DEPTH
+    while len(going) and depth * width * READ_SHARE <= n:
+        found = {}
+        for q in going:
+            favoured = np.concatenate([lists[asked[q] > 0, n - depth :].ravel(), lists[asked[q] < 0, :depth].ravel()])
+            shown = np.unique(favoured)
+            shown = shown[ids[shown] != own[q]]
+            scores = rows[shown] @ asked[q]
+            read += len(shown)
+            best = _best(np.zeros(len(shown), np.int64), ids[shown], scores, k)
+            found[q] = (ids[shown[best]], scores[best])
+            if len(best) == k:
+                floor[q] = max(floor[q], scores[best[-1]])
+        # Nothing unseen reaches the floor any more; what ties with it has been seen.
+        stopped = bound(depth)[going] < floor[going]
+        out += [(np.full(len(found[q][0]), q), *found[q]) for q in going[stopped]]
+        going, depth = going[~stopped], depth * 4
+    step = max(1, SCORES // max(1, n))
+    for at in range(0, len(going), step):
+        part = going[at : at + step]
+        scores = asked[part] @ rows.T
+        read += scores.size
+        query, row = np.nonzero((scores >= floor[part, None]) & (own[part, None] != ids))
+        reached = scores[query, row]
+        best = _best(query, ids[row], reached, k)
+        out.append((part[query[best]], ids[row[best]], reached[best]))
+    query, vec_id, score = (np.concatenate([np.empty(0, t), *x]) for t, x in zip((np.int64, np.int64, rows.dtype), zip(*out) if out else ((),) * 3))
+    reaches = score >= floor[query.astype(np.int64)]
+    return query[reaches].astype(np.int64), vec_id[reaches], score[reaches].astype(np.int64), read
+
+
+def top_k(
+    queries: DataFrame, candidates: DataFrame, k: int = 20, query_block: int | None = None, block: int | None = None
+) -> DataFrame:
     """(query_id, rank, vec_id, score) for every query.
 
     Both sides have (vec_id, ints). A row is never a candidate of a query with
     its own ``vec_id``; repeated query rows count once, different ones that
     share an id share one ranking, and repeated candidates count as often as
     they occur. Fewer candidates than ``k``: all. Vectors of unequal
-    length are compared as if the shorter one ended in zeros. Block counts
-    grow with the rows, so each (query block, candidate block) is a task of
-    bounded size whatever the table; each sends ``k`` rows per query onward.
+    length are compared as if the shorter one ended in zeros. Blocks hold so
+    many numbers and grow in number with the rows, so each (query block,
+    candidate block) is a task of bounded size whatever the table; it sends at
+    most ``k`` rows per query onward, and only those that reach the k-th score
+    among the ``SEEDS`` longest candidates, which every task has.
     """
     queries = queries.distinct()
-    n_q = -(-queries.count() // query_block) or 1
-    n_c = -(-candidates.count() // block) or 1
+    asked_rows, asked_width = queries.agg(F.count("*"), F.coalesce(F.max(F.size("ints")), F.lit(1))).first()
+    rows, width = candidates.agg(F.count("*"), F.coalesce(F.max(F.size("ints")), F.lit(1))).first()
+    width = max(1, width, asked_width)
+    n_q = -(-asked_rows // (query_block or max(1, QUERY_CELLS // width))) or 1
+    n_c = -(-rows // (block or max(1, BLOCK_CELLS // width))) or 1
+    length = F.aggregate("ints", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
+    longest = candidates.orderBy(length.desc(), "vec_id", "ints").limit(SEEDS).toArrow()
+    seeds = candidates.sparkSession.sparkContext.broadcast((longest["vec_id"].to_numpy(), _matrix(longest["ints"])))
     key = F.xxhash64("vec_id", "ints")
     left = queries.select(
         F.col("vec_id").alias("query_id"),
@@ -100,31 +156,27 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20, query_block: i
         F.pmod(key, F.lit(n_q)).cast("int").alias("qb"),
         F.explode(F.sequence(F.lit(0), F.lit(n_c - 1))).alias("cb"),
     )
+    # Equal vectors of one id may repeat without bound, so their number in the scan deals them too.
     right = candidates.select(
         "vec_id",
         "ints",
-        F.pmod(F.xxhash64("vec_id"), F.lit(n_c)).cast("int").alias("cb"),
+        F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(n_c)).cast("int").alias("cb"),
         F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))).alias("qb"),
     )
 
     def search(q: pa.Table, c: pa.Table) -> pa.Table:
-        out: list[list[np.ndarray]] = [[], [], []]
+        found = (np.empty(0, np.int64),) * 3
         if q.num_rows and c.num_rows:
-            c = c.sort_by("vec_id")
-            ids, rows = c["vec_id"].to_numpy(), _matrix(c["ints"])
-            asked = _matrix(q["q"])
-            width = max(rows.shape[1], asked.shape[1])
-            rows = np.pad(rows, ((0, 0), (0, width - rows.shape[1])))
-            asked = np.pad(asked, ((0, 0), (0, width - asked.shape[1])))
-            if float(np.abs(rows).max()) * float(np.abs(asked).max()) * width < EXACT_IN_DOUBLE:
-                rows, asked = rows.astype(np.float64), asked.astype(np.float64)
-            lists = np.ascontiguousarray(np.argsort(rows, axis=0, kind="stable").T)
-            for own, query in zip(q["query_id"].to_numpy(), asked, strict=True):
-                found, score = threshold_search(query, own, ids, rows, lists, k)
-                for column, values in zip(out, (np.full(len(found), own), found, score), strict=True):
-                    column.append(values)
-        names = ("query_id", "vec_id", "score")
-        return pa.table({n: np.concatenate([np.empty(0, np.int64), *x]).astype(np.int64) for n, x in zip(names, out)})
+            ids, rows, asked, own = c["vec_id"].to_numpy(), _matrix(c["ints"]), _matrix(q["q"]), q["query_id"].to_numpy()
+            first_ids, first = seeds.value
+            width = max(x.shape[1] for x in (rows, asked, first))
+            rows, asked, first = (np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (rows, asked, first))
+            largest = max(float(np.abs(rows).max()), float(np.abs(first).max(initial=0)))
+            if largest * float(np.abs(asked).max()) * width < EXACT_IN_DOUBLE:
+                rows, asked, first = (x.astype(np.float64) for x in (rows, asked, first))
+            query, *best, _ = threshold_search(own, asked, ids, rows, k, first_floor(own, asked, first_ids, first, k))
+            found = (own[query], *best)
+        return pa.table(dict(zip(("query_id", "vec_id", "score"), found, strict=True)))
 
     found = (
         left.groupBy("qb", "cb")
