@@ -10,6 +10,8 @@ best, so no choice contradicts one above or below it.
 
 import html
 import re
+import uuid
+from bisect import bisect_right
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -26,6 +28,8 @@ from distaff.llm.common import distinct_sample
 FIT_PAGES, LAYOUTS = 250, 3
 #: What leaving a node to its children costs, in characters times nats.
 DESCENT = 1.0
+#: Attribute that marks the truth in pages made for training, unless another is drawn.
+MARK = "data-truth"
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|</?[a-zA-Z!?][^>]*\Z", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
@@ -78,13 +82,13 @@ class Page(NamedTuple):
     blocks: list[tuple[str, int, int]]  # text, characters in links, node
 
 
-def _mask(tag: str, attributes: str) -> tuple[int, int]:
-    """Groups of a tag, and its mark of truth in training pages (-1: none)."""
+def _mask(tag: str, attributes: str, mark: str | None) -> tuple[int, int]:
+    """Groups of a tag, and the truth that the attribute ``mark`` of training pages tells (-1: none)."""
     mask, gold = BY_TAG.get(tag, 0), -1
     if "=" in attributes:
         for name, *values in ATTRIBUTE.findall(attributes):
             value = "".join(values)
-            if name == "data-truth":
+            if name == mark:
                 gold = int(value)
             elif name.lower() in ("class", "id", "role"):
                 for token in TOKEN.findall(CAMEL.sub(" ", value).lower()):
@@ -115,11 +119,14 @@ def _unclosed(source: str) -> set[int]:
     return lost.union(*open_tags.values())
 
 
-def read_page(text: str | None) -> Page:
+def read_page(text: str | None, mark: str | None = None) -> Page:
     """Tolerant reading: implied end tags, unclosed and stray tags, comments, raw text.
 
     A head ends at what can't stand in it; another hidden element without an
-    end tag ends at the next block.
+    end tag ends at the next block. ``mark`` names the attribute that tells
+    the truth in training pages; others have none, whatever their attributes
+    are. Open elements are found by name, so time follows the page's length,
+    also with deep nesting and many stray tags.
     """
     source = text or ""
     nodes: list[tuple] = [(-1, -1, 0, 0, 0, -1)]
@@ -129,6 +136,15 @@ def read_page(text: str | None) -> Page:
     linked, in_link, hidden, at = 0, False, 0, 0
     begun: list[tuple[int, int]] = []  # hidden elements that are open: place in the stack, end of the start tag
     lost: set[int] | None = None
+    unended: list[int] = []  # those of ``begun`` that nothing closes, by place in the stack
+    opened: dict[str, list[int]] = {}  # places in the stack of the open elements of each name
+
+    def innermost(names) -> int:
+        return max((opened[name][-1] for name in names if opened.get(name)), default=0)
+
+    def outermost_above(names, floor: int) -> int:
+        places = (opened.get(name, ()) for name in names)
+        return min((x[i] for x in places if (i := bisect_right(x, floor)) < len(x)), default=len(stack))
 
     def flush() -> None:
         nonlocal linked
@@ -144,9 +160,13 @@ def read_page(text: str | None) -> Page:
         while len(stack) > to:
             node, tag = stack.pop()
             spans[node][1:] = len(blocks), len(nodes)
+            if tag:
+                opened[tag].pop()
             if tag in HIDDEN:
                 hidden -= 1
                 begun.pop()
+                if unended and unended[-1] == len(stack):
+                    unended.pop()
 
     def end_head() -> None:
         if stack[-1][1] == stack[begun[0][0]][1] == "head":
@@ -170,8 +190,10 @@ def read_page(text: str | None) -> Page:
         tag = tag.lower()
         if hidden and not ends:
             if tag in BLOCK and stack[begun[-1][0]][1] != "head":
-                lost = _unclosed(source) if lost is None else lost
-                close(next((depth for depth, place in begun if place in lost and stack[depth][1] != "head"), len(stack)))
+                if lost is None:
+                    lost = _unclosed(source)
+                    unended = [depth for depth, place in begun if place in lost and stack[depth][1] != "head"]
+                close(unended[0] if unended else len(stack))
             if hidden and tag not in IN_HEAD:
                 end_head()
         if tag in RAW:
@@ -187,37 +209,33 @@ def read_page(text: str | None) -> Page:
             continue
         in_link = False
         if ends:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][1] == tag), 0)
+            depth = innermost((tag,))
             if depth:
                 close(depth)
             else:
                 flush()
             continue
         if tag in CLOSES_P:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][1] == "p" or stack[i][1] in CONTAINERS), 0)
-            if depth and stack[depth][1] == "p":
+            depth = innermost(("p",))
+            if depth > innermost(CONTAINERS):
                 close(depth)
         elif tag in SAME_LEVEL:
-            stops = CONTAINERS - SAME_LEVEL[tag]
-            depth = len(stack)
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][1] in stops:
-                    break
-                if stack[i][1] in SAME_LEVEL[tag]:
-                    depth = i
-            close(depth)
+            close(outermost_above(SAME_LEVEL[tag], innermost(CONTAINERS - SAME_LEVEL[tag])))
         flush()
         if tag in VOID:
             continue
         parent = stack[-1][0]
-        mask, gold = _mask(tag, attributes)
+        mask, gold = _mask(tag, attributes, mark)
         above = nodes[parent]
         nodes.append((parent, KIND.get(tag, -1), mask, above[3] | mask, above[4] + 1, gold if gold >= 0 else above[5]))
         spans.append([len(blocks), 0, 0])
         stack.append((len(nodes) - 1, tag))
+        opened.setdefault(tag, []).append(len(stack) - 1)
         if tag in HIDDEN:
             hidden += 1
             begun.append((len(stack) - 1, at))
+            if lost and at in lost and tag != "head":
+                unended.append(len(stack) - 1)
     close(0)
     return Page(nodes, spans, blocks)
 
@@ -364,8 +382,8 @@ def article_of(page: str) -> str | None:
     return "".join(f"<p>{p}</p>" for p in paragraphs) or None
 
 
-def rearranged(content: str, phrases: list[str], rng: np.random.Generator) -> str:
-    """A page around the article ``content`` with marked boilerplate of all kinds in random places."""
+def rearranged(content: str, phrases: list[str], rng: np.random.Generator, mark: str = MARK) -> str:
+    """A page around the article ``content`` with boilerplate of all kinds in random places; ``mark`` tells them apart."""
 
     def pick(forms: tuple[str, ...]) -> str:
         return forms[rng.integers(len(forms))]
@@ -385,7 +403,7 @@ def rearranged(content: str, phrases: list[str], rng: np.random.Generator) -> st
 
     def fill(forms: tuple[str, ...], inner: str) -> str:
         form = pick(forms)
-        return form.format(*['data-truth="0"', inner] * (form.count("{}") // 2))
+        return form.format(*[f'{mark}="0"', inner] * (form.count("{}") // 2))
 
     def maybe(chance: float, forms: tuple[str, ...], inner) -> str:
         return fill(forms, inner()) if rng.random() < chance else ""
@@ -405,7 +423,7 @@ def rearranged(content: str, phrases: list[str], rng: np.random.Generator) -> st
     if rng.random() < 0.25:
         parts.append(fill(COMMENTS, comments()))
     form = pick(ARTICLES)
-    body = form.format('data-truth="1"', "".join(parts))
+    body = form.format(f'{mark}="1"', "".join(parts))
     before = [
         maybe(0.8, MENUS, links), maybe(0.5, HEADS, lambda: words(1, 12)), maybe(0.5, ADVERTS, lambda: words(3, 50)),
         maybe(0.3, NOTICES, lambda: words(5, 50)), maybe(0.3, SIDES, links), maybe(0.2, FORMS, lambda: f"<label>{words(1, 4)}</label><input>"),
@@ -418,7 +436,7 @@ def rearranged(content: str, phrases: list[str], rng: np.random.Generator) -> st
     inner = "".join(before) + body + "".join(after)
     if rng.random() < 0.4:
         inner = f'<div class="wrapper">{inner}</div>'
-    return f'<html><head><title>{words(2, 8)}</title></head><body data-truth="0">{inner}</body></html>'
+    return f'<html><head><title>{words(2, 8)}</title></head><body {mark}="0">{inner}</body></html>'
 
 
 def fit_extractor(pages: DataFrame, fit_pages: int = FIT_PAGES, layouts: int = LAYOUTS, seed: int = 0) -> boosted_trees.Trees:
@@ -433,10 +451,11 @@ def fit_extractor(pages: DataFrame, fit_pages: int = FIT_PAGES, layouts: int = L
     contents = [c for c in map(article_of, texts) if c]
     phrases = [MARKUP.sub(" ", p)[:2000] for c in contents for p in PARAGRAPH.findall(c)[:5]] or ["x"]
     rng = np.random.default_rng(seed)
-    made = [rearranged(c, phrases, rng) for c in contents for _ in range(layouts)]
+    mark = "truth-" + re.sub("[0-9]", "", uuid.uuid4().hex)  # of this run, so that no page holds it on purpose
+    made = [rearranged(c, phrases, rng, mark) for c in contents for _ in range(layouts)]
     if not made:
-        made = [rearranged("<p>" + "x " * 50 + "</p>", phrases, rng) for _ in range(20)]
-    batch = measure([read_page(p) for p in made])
+        made = [rearranged("<p>" + "x " * 50 + "</p>", phrases, rng, mark) for _ in range(20)]
+    batch = measure([read_page(p, mark) for p in made])
     known = ~np.isnan(batch.share)
     return boosted_trees.fit(batch.features[known], batch.share[known], rounds=40, leaves=12, rate=0.25)
 
@@ -445,8 +464,10 @@ def extract(pages: DataFrame, trees: boosted_trees.Trees) -> DataFrame:
     """(row, text) for every row of ``pages`` (html): blocks of the article joined by empty lines.
 
     Null and empty pages, and those without article text, have an empty text;
-    repeated rows are extracted alike. ``row`` is the whole input row, its
-    other columns having any names.
+    repeated rows are extracted alike. Pages of any length are read whole, in
+    time that follows it; attributes may hold anything. An empty table gives
+    no rows, and the extractor is then fitted on made pages alone. ``row`` is
+    the whole input row, its other columns having any names.
     """
     shared = pages.sparkSession.sparkContext.broadcast(trees)
     rows = pages.select(F.struct("*").alias("row"))

@@ -1,5 +1,8 @@
 """Main text extraction on planted pages."""
 
+import itertools
+import time
+
 import numpy as np
 import pytest
 
@@ -42,7 +45,7 @@ def trees():
     rng = np.random.default_rng(1)
     contents = [h.article_of(given(rng, i)[0]) for i in range(120)]
     made = [h.rearranged(c, [sentence(rng, 40) for _ in range(30)], rng) for c in contents for _ in range(3)]
-    batch = h.measure([h.read_page(p) for p in made])
+    batch = h.measure([h.read_page(p, h.MARK) for p in made])
     known = ~np.isnan(batch.share)
     return h.boosted_trees.fit(batch.features[known], batch.share[known], rounds=40, leaves=12, rate=0.25)
 
@@ -76,6 +79,59 @@ def test_decoding_never_contradicts(trees):
         assert kept == [t for t, *_ in page.blocks if t in kept]
 
 
+def labelings(page, p, chars, node):
+    """(value, kept nodes) of every way to decide a node and what is below it."""
+    take, drop = chars[node] * np.log(p[node]), chars[node] * np.log(1 - p[node])
+    yield take, {node: True}
+    yield drop, {node: False}
+    children = [i for i, x in enumerate(page.nodes) if x[0] == node]
+    if children:
+        own = max(0.0, chars[node] - sum(chars[c] for c in children))
+        outside = own * max(take, drop) / chars[node] if chars[node] else 0.0
+        for parts in itertools.product(*[list(labelings(page, p, chars, c)) for c in children]):
+            kept = {k: v for _, x in parts for k, v in x.items()}
+            yield sum(v for v, _ in parts) + outside - h.DESCENT, kept | {node: bool(take >= drop)}
+
+
+def test_decoding_finds_the_best_of_all_choices():
+    page = h.read_page("<div>one two<div>three four<p>five six</p>x</div><p>seven</p><ul><li>eight nine ten</ul></div><p>eleven</p>")
+    chars = h.measure([page]).chars
+    rng = np.random.default_rng(2)
+    for sharpness in (1, 4):
+        for _ in range(40):
+            p = 1 / (1 + np.exp(-sharpness * rng.normal(size=len(page.nodes))))
+            _, kept = max(labelings(page, p, chars, 0), key=lambda x: x[0])
+
+            def decided(node, kept=kept):
+                return kept[node] if node in kept else decided(page.nodes[node][0])
+
+            assert h.decode(page, p, chars) == [t for t, _, node in page.blocks if decided(node)]
+
+
+def test_any_attributes_and_the_mark_of_training(spark, trees):
+    page, text = given(np.random.default_rng(9), 1)
+    for value in ("yes", "1", "0", "", "\u0661", "9" * 5000):
+        assert decoded(page.replace("<article>", f'<article data-truth="{value}" class="{value}">'), trees) == text.split("\n\n")
+    pages = spark.createDataFrame([(1, page.replace("<p>", '<p data-truth="yes">'), "x", 1)] * 3, SCHEMA)
+    assert {r.text for r in h.extract(pages, h.fit_extractor(pages)).collect()} == {text}
+    empty = pages.limit(0)
+    assert h.extract(empty, h.fit_extractor(empty)).count() == 0
+
+
+def test_time_follows_the_length_of_a_page():
+    n = 50_000
+    for page in (
+        "<div>" * 3000 + "</section>" * 2 * n + "x",
+        "<blockquote>" * 3000 + "<li>a" * n,
+        "<blockquote>" * 3000 + "<p>a<i>" * n,
+        "<object>" * 3000 + "<p>a" * n + "</object>" * 3000,
+        "<div><p>" * n + "</div>" * n,
+    ):
+        start = time.process_time()
+        h.read_page(page)
+        assert time.process_time() - start < 2.5
+
+
 def test_reading_is_tolerant():
     blocks = lambda t: [b[0] for b in h.read_page(t).blocks]
     assert blocks("<p>a<p>b<div>c</p>d</div>e<br>f &amp; g&nbsp;h<!-- x --><i>i</i>j") == ["a", "b", "c", "d", "e f & g hij"]
