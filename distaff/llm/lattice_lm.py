@@ -12,7 +12,7 @@ are estimated anew from the distinct words of the whole corpus.
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -35,8 +35,9 @@ CLASSES, CLASS_SAMPLE, CLASS_WORDS, CLASS_ROUNDS = 6, 2_000, 1_000, 30
 #: Distinct words of each class on which the piece weights warm up, and the
 #: rounds; the weights used come from one more round over all distinct words.
 WARM_WORDS, WARM_ROUNDS = 20_000, 4
-#: Words of one length are recursed together up to so many characters.
-BATCH_CHARS = 400_000
+#: Words of one length are recursed together up to so many characters, and
+#: looked for among so many rows of the word table at once.
+BATCH_CHARS, BATCH_WORDS = 400_000, 100_000
 ROLL, SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -218,6 +219,17 @@ def expected_counts(pieces: Pieces, weights: np.ndarray, words: list[str]) -> np
     return counts
 
 
+def _joined(batches: Iterator[pa.RecordBatch], rows: int = BATCH_WORDS) -> Iterator[pa.RecordBatch]:
+    """Batches put together to about ``rows`` rows, so that words of one length and class are many."""
+    kept: list[pa.RecordBatch] = []
+    for batch in chain(batches, [None]):
+        if batch is not None:
+            kept.append(batch)
+        if kept and (batch is None or sum(b.num_rows for b in kept) >= rows):
+            yield from pa.Table.from_batches(kept).combine_chunks().to_batches()
+            kept = []
+
+
 def _tokens(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
@@ -287,8 +299,9 @@ def common_words(texts: DataFrame, n_words: int = CLASS_WORDS) -> dict[bytes, in
 def refine_classes(texts: DataFrame, start: Classes, rounds: int = CLASS_ROUNDS) -> Classes:
     """Rounds of hard assignments over all ``texts`` (text), from ``start`` until no word changes its class.
 
-    The places of common words are written once; in each round the tasks send
-    the word sums of every class, and their sum makes the new centres.
+    The places of common words are written once, as the bytes of one array
+    for many texts; in each round the tasks send the word sums of every class,
+    and their sum makes the new centres.
     """
     n_words, classes = len(start.words), start.logs.shape[1]
     if not n_words:
@@ -299,27 +312,31 @@ def refine_classes(texts: DataFrame, start: Classes, rounds: int = CLASS_ROUNDS)
         for batch in in_slices(batches):
             get = words.value.get
             found = [[i for w in _tokens(t) if (i := get(w)) is not None] for t in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int16()))], ["places"])
+            sizes = np.fromiter(map(len, found), dtype=np.int32, count=len(found))
+            at = np.fromiter(chain.from_iterable(found), dtype=np.int16, count=int(sizes.sum()))
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (at, sizes)], ["places", "sizes"])
 
-    placed = materialise(texts.mapInArrow(place, "places array<smallint>"), "class-words")
+    placed = materialise(texts.mapInArrow(place, "places binary, sizes binary"), "class-words")
     logs, before = start.logs[:-1], None
     for _ in range(rounds):
         known = texts.sparkSession.sparkContext.broadcast(logs)
 
         def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums = np.zeros((classes, n_words), dtype=np.int64)
-            for batch in in_slices(batches):
-                sizes = np.diff(batch["places"].offsets.to_numpy())
-                at = batch["places"].flatten().to_numpy().astype(np.int64)
-                row = np.repeat(np.arange(len(sizes)), sizes)
-                fit = np.stack([np.bincount(row, each[at], len(sizes)) for each in known.value.T])
-                sums += np.bincount(fit.argmax(axis=0)[row] * n_words + at, minlength=sums.size).reshape(sums.shape)
+            for batch in batches:
+                for places, sizes in zip(batch["places"], batch["sizes"], strict=True):
+                    sizes = np.frombuffer(sizes.as_py(), dtype=np.int32)
+                    at = np.frombuffer(places.as_py(), dtype=np.int16).astype(np.int64)
+                    row = np.repeat(np.arange(len(sizes)), sizes)
+                    fit = np.stack([np.bincount(row, each[at], len(sizes)) for each in known.value.T])
+                    sums += np.bincount(fit.argmax(axis=0)[row] * n_words + at, minlength=sums.size).reshape(sums.shape)
             k, at = np.nonzero(sums)
             yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(at), pa.array(sums[k, at])], ["class", "place", "n"])
 
         got = placed.mapInArrow(assign, "class bigint, place bigint, n bigint").groupBy("class", "place").agg(F.sum("n").alias("n")).toPandas()
         centres = np.zeros((classes, n_words))
         centres[got["class"].to_numpy(np.int64), got["place"].to_numpy(np.int64)] = got["n"].to_numpy(np.float64)
+        known.unpersist()
         if before is not None and (centres == before).all():
             break
         before, logs = centres, _class_logs(centres)
@@ -400,7 +417,7 @@ def train(texts: DataFrame, vocabulary: str = VOCABULARY, classes: int = CLASSES
 
     def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uses = np.zeros(warmed.value.shape)
-        for batch in batches:
+        for batch in _joined(batches):
             for k, _, mine in by_class(batch):
                 uses[k] += expected_counts(table.value, warmed.value[k], mine)
         k, at = np.nonzero(uses)
@@ -413,7 +430,7 @@ def train(texts: DataFrame, vocabulary: str = VOCABULARY, classes: int = CLASSES
     fitted = spark.sparkContext.broadcast(weights)
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _joined(batches):
             logs = np.full((len(batch), classes), np.nan)
             for k, at, mine in by_class(batch):
                 logs[at, k] = spelling(table.value, fitted.value[k], mine)

@@ -59,17 +59,18 @@ def filter_report(classified: DataFrame) -> DataFrame:
     )
 
 
-def class_balance(df: DataFrame, split: str, kept: str, behaviour: str) -> DataFrame:
-    """Class counts per split before and after a filter, with the shift.
+def class_balance(df: DataFrame, split: str, kept: str, behaviour: str, *by: str) -> DataFrame:
+    """Class counts per split (and ``by``) before and after a filter, with the shift.
 
     ``kept`` is a boolean column; counts of all rows and of kept rows come
     from one grouped pass, shares from the small result.
     """
-    within = Window.partitionBy(split)
-    counts = df.groupBy(split, behaviour).agg(
+    within = Window.partitionBy(*by, split)
+    counts = df.groupBy(*by, split, behaviour).agg(
         F.count("*").alias("n_all"), F.count_if(kept).alias("n_kept")
     )
     return counts.select(
+        *by,
         split,
         behaviour,
         "n_all",

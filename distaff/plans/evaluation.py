@@ -207,22 +207,24 @@ def call_shape(spark, sf):
 @query(
     "class_balance",
     twins.with_ctes(twins.EXAMPLES, twins.PREDICTIONS, twins.PARSED, twins.PAIRED, """
-usable as (select * from classified where model = 'sft')""", twins.SPLIT)
+usable as (select distinct example_id from classified)""", twins.SPLIT)
     + """, counts as (
-  select split, case when expects_call then 'function_call' else 'clarify_or_decline' end
+  select model, split, case when expects_call then 'function_call' else 'clarify_or_decline' end
       as behaviour, count(*) as n_all,
     count(*) filter (expected_behavior is not null) as n_kept
-  from split group by all),
+  from split join classified using (example_id) group by all),
 shares as (
-  select *, round(100e0 * n_all / sum(n_all) over (partition by split), 1) as share_all_pct,
-    round(100e0 * n_kept / sum(n_kept) over (partition by split), 1) as share_kept_pct
+  select *, round(100e0 * n_all / sum(n_all) over (partition by model, split), 1) as share_all_pct,
+    round(100e0 * n_kept / sum(n_kept) over (partition by model, split), 1) as share_kept_pct
   from counts)
 select *, round(share_kept_pct - share_all_pct, 1) as shift_pct from shares""",
 )
 def class_balance(spark, sf):
-    rows = filters.classify_completions(paired(spark, sf).filter(F.col("model") == "sft"))
+    """Each model's filter, and how it shifts the classes of both splits."""
+    rows = filters.classify_completions(paired(spark, sf))
     labelled = rows.select(
         "example_id",
+        "model",
         F.col("expected_behavior").isNotNull().alias("kept"),
         F.when(F.col("expects_call"), "function_call")
         .otherwise("clarify_or_decline")
@@ -231,7 +233,7 @@ def class_balance(spark, sf):
     # The base rows are split, not the join, whose histograms would each run it again.
     split = exact_split(_human(spark, sf).select("example_id"), "example_id")
     return quality.class_balance(
-        labelled.join(split, "example_id"), "split", "kept", "behaviour"
+        labelled.join(split, "example_id"), "split", "kept", "behaviour", "model"
     )
 
 

@@ -32,13 +32,19 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for cut points: ``spark.checkpoint.dir``, else a folder of the warehouse.
 
-    One rule for every master: both are folders that the driver and all
-    executors see, and neither is a temporary folder of one machine.
+    Neither is a temporary folder of one machine. A warehouse in the file
+    system of one machine is taken only where driver and executors are one
+    process; on a cluster it is refused, as each executor would write to its
+    own disk.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    local = spark.sparkContext.master.split("[")[0] == "local"
+    if not local and warehouse.startswith(("file:", "/")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return warehouse + "/checkpoints"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -1,5 +1,7 @@
 """Sources, sinks, batch inference and streams."""
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -191,6 +193,22 @@ def test_checkpoint_folder_is_the_configured_one(spark):
     assert scratch_path(spark, "x").startswith(checkpoint_dir(spark))
 
 
+def test_a_machine_local_warehouse_is_refused_on_a_cluster():
+    class Session:
+        def __init__(self, master, warehouse):
+            self.sparkContext, self.conf = SimpleNamespace(master=master), self
+            self.settings = {"spark.sql.warehouse.dir": warehouse}
+
+        def get(self, key, default=None):
+            return self.settings.get(key, default)
+
+    assert checkpoint_dir(Session("local[4]", "file:/tmp/w/")) == "file:/tmp/w/checkpoints"
+    assert checkpoint_dir(Session("yarn", "hdfs://store/w")) == "hdfs://store/w/checkpoints"
+    for master, warehouse in (("yarn", "file:/tmp/w"), ("spark://host:1", "/tmp/w"), ("local-cluster[2,1,1024]", "file:/w")):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            checkpoint_dir(Session(master, warehouse))
+
+
 def test_filtered_completions_keep_their_label(spark, tmp_path):
     path = str(tmp_path / "kept")
     rows = lines(spark, 0, 6).withColumn("expects_call", F.col("example_id").cast("int") % 2 == 0)
