@@ -1,16 +1,15 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained on labelled texts: one on ordinary
-text, one on what toxic texts have and ordinary ones lack, laid before the
-same ordinary content, so that ordinary words compress alike with both and
-only toxic ones compress better with the second. The difference of the two
+Two zstandard dictionaries are trained on labelled texts: one on windows of
+ordinary text, one on those windows of toxic text that hold what ordinary text
+lacks, laid before the same ordinary content, so that ordinary words compress
+alike with both and only toxic ones compress better with the second. The difference of the two
 lengths of a window is its gain. Windows of eight words are compared with a
 small ordinary dictionary first; those that gain anything are cut into windows
 of three and compared again, strictly, with a large one. How much gain makes a
 text toxic is calibrated on labelled texts the dictionaries have not seen.
 """
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import cached_property
@@ -31,13 +30,13 @@ from distaff.llm.common import fold, hashed_sample, in_slices
 FIT_ROWS, TRAINING_SHARE = 6_000, 0.6
 THRESHOLD = 0.3
 WIDE, NARROW = 8, 3
-SMALL, LARGE, TOXIC_SEGMENTS = 16 << 10, 64 << 10, 500
+SMALL, LARGE, TOXIC = 16 << 10, 64 << 10, 1 << 10
 #: Closes every window and both dictionaries. The compressor looks for no match
 #: in the last eight bytes, and keeps as it is what would hardly get shorter.
 TAIL = bytes(range(1, 9)) + bytes(range(14, 32))
 #: Bytes of the grams that are compared.
 GRAMS = (5, 7, 9)
-#: A segment is distinctive in this many toxic texts, at this log ratio of
+#: A gram is distinctive in this many toxic texts, at this log ratio of
 #: document frequencies and this many standard deviations.
 LEAST_TEXTS, LEAST_RATIO, LEAST_DEVIATIONS = 3, 2.0, 5.0
 #: Share of a text's four-word shingles that earlier texts may have; beyond it
@@ -45,7 +44,6 @@ LEAST_TEXTS, LEAST_RATIO, LEAST_DEVIATIONS = 3, 2.0, 5.0
 COPIED, SHINGLE_SAMPLE = 0.1, 8
 #: Windows of ordinary text, about, that its dictionaries are trained on.
 DICTIONARY_SAMPLES = 40_000
-WORD = re.compile(rb" ?[^ ]+ ?")
 ROLL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -156,11 +154,11 @@ def _known(grams: np.ndarray, asked: np.ndarray) -> np.ndarray:
     return np.where(grams[at] == asked, at, -1)
 
 
-def distinctive_segments(toxic: list[bytes], ordinary: list[bytes], most: int = TOXIC_SEGMENTS) -> list[bytes]:
-    """Parts of words covered by grams that toxic texts have and ordinary ones lack, the commonest last.
+def toxic_windows(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
+    """Windows of one word, with the blanks around it, that hold grams which toxic texts have and ordinary ones lack.
 
-    Grams are counted by hash, text after text, so that memory holds those of
-    the toxic texts only.
+    Every occurrence is a window. Grams are counted by hash, text after text,
+    so that memory holds those of the toxic texts only.
     """
     if not toxic:
         return []
@@ -175,25 +173,23 @@ def distinctive_segments(toxic: list[bytes], ordinary: list[bytes], most: int =
     p = (there + elsewhere) / (n + m)
     spread = np.sqrt(np.maximum(p * (1 - p) * (1 / n + 1 / m), 1e-12))
     telling = grams[(ratio > LEAST_RATIO) & ((there / n - elsewhere / m) / spread > LEAST_DEVIATIONS)]
-    segments: Counter[bytes] = Counter()
+    found = []
     for text in toxic:
-        data = b" " + text + b" "
-        covered = np.zeros(len(data) + 2, dtype=np.int8)
-        for size, places, hashes in _grams(text):
-            for at in places[_known(telling, hashes) >= 0].tolist():
-                covered[at + 1 : at + 1 + size] = 1
-        for first, last in np.flatnonzero(np.diff(covered)).reshape(-1, 2).tolist():
-            segments.update(WORD.findall(data[first:last]))
-    ranked = sorted(segments.items(), key=lambda x: (x[1], x[0]))
-    return [s for s, _ in ranked[-most:]]
-
-
-def _ordinary_dictionary(samples: list[bytes], size: int) -> bytes:
-    """Trained content; the samples themselves where they are too few to train on."""
+        blanks = np.flatnonzero(np.frombuffer(b" " + text, dtype=np.uint8) == 32)
+        words = text.split(b" ")
+        # A gram lies in one word, the second of its bytes surely.
+        held = [np.searchsorted(blanks, places[_known(telling, hashes) >= 0] + 1) - 1 for _, places, hashes in _grams(text)]
+        found += [b" " + words[i] + b" " for i in np.unique(np.concatenate([np.empty(0, np.int64), *held])).tolist()]
+    return found
+
+
+def _dictionary(samples: list[bytes], size: int) -> bytes:
+    """Trained content; the distinct samples themselves, the commonest last, where they are too few to train on."""
     try:
-        return zstandard.train_dictionary(size, samples).as_bytes()
+        return zstandard.train_dictionary(size, samples, level=9).as_bytes()
     except zstandard.ZstdError:
-        return b"".join(samples)[:size]
+        counts = Counter(samples)
+        return b"".join(sorted(counts, key=lambda x: (counts[x], x)))[-size:]
 
 
 class Classifier(NamedTuple):
@@ -231,7 +227,7 @@ def train(texts: list[str | None], toxic: np.ndarray, seed: int = 0) -> Classifi
     plain = [b" ".join(words_of(t)) for t in texts[:cut]]
     bad = _originals([x for x, t in zip(plain, toxic, strict=False) if t])
     good = _originals([x for x, t in zip(plain, toxic, strict=False) if not t])
-    segments = b"".join(distinctive_segments(bad, good))
+    toxic_content = _dictionary(toxic_windows(bad, good), TOXIC)
     rate = min(1.0, DICTIONARY_SAMPLES * WIDE / max(1, sum(x.count(b" ") + 1 for x in good)))
     rng = np.random.default_rng(seed)
     samples = []
@@ -239,8 +235,8 @@ def train(texts: list[str | None], toxic: np.ndarray, seed: int = 0) -> Classifi
         words = text.split()
         starts = np.arange(0, len(words), WIDE)
         samples += [b" ".join(words[i : i + WIDE]) + b" " for i in starts[rng.random(len(starts)) < rate].tolist()]
-    small, large = (_ordinary_dictionary(samples, size) + TAIL for size in (SMALL, LARGE))
-    meter = Meter(Pair(small, segments, 5), Pair(large, segments, 9))
+    small, large = (_dictionary(samples, size) + TAIL for size in (SMALL, LARGE))
+    meter = Meter(Pair(small, toxic_content, 5), Pair(large, toxic_content, 9))
     x = np.array([meter.measure(t) for t in texts[cut:]], dtype=np.float64).reshape(-1, 3)
     return Classifier(meter, _calibrate(x, toxic[cut:].astype(np.float64)))
 
@@ -255,7 +251,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -
     known = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
     chosen = hashed_sample(known.filter(fold(4) != 2), fit_rows, "doc_id")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows: pd.DataFrame = texts.join(chosen, "doc_id").withColumn("place", F.xxhash64("doc_id")).toPandas()
+    # One row of each id, however many share it: that of the smallest text hash, found before anything is sent.
+    one = texts.join(chosen, "doc_id").groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    rows: pd.DataFrame = one.withColumn("place", F.xxhash64("doc_id")).toPandas()
     rows = rows.sort_values(["place", "doc_id"], kind="stable")
     return train(rows["text"].tolist(), rows["toxic"].to_numpy() == 1)
 
