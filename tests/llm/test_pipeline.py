@@ -93,6 +93,22 @@ def test_stages_equal_brute_force(spark, folder):
         assert abs(mine[0] - mine[1]) <= 30  # the shortest text has 30 words
 
 
+def test_equal_rows_are_kept_as_often_as_the_mix_takes_them(spark, folder):
+    rng = random.Random(3)
+    text = lambda n: " ".join(rng.choices(["an", "be", "chi"], k=n))
+    rows = [(7, "hot words " * 20, "s1", "en", i, "x") for i in range(900)] + [(7, "hot words " * 20, "s2", "en", 0, "x")] * 3
+    rows += [(i, text(40), f"s{i % 3}", "en", 0, "y") for i in range(100, 400)] + [(None, None, None, "en", 0, None), (8, "", "s1", "en", 0, "z")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string, n_chars bigint, copies string").repartition(5)
+    got = corpus_pipeline.mix_sources(spark, docs, folder)
+    mixed = mixing.mix(docs).filter("copies > 0")
+    count = lambda df: sorted(map(str, df.groupBy("doc_id", "source", "copies").count().collect()))
+    assert count(got) == count(mixed)
+    assert 0 < mixed.filter("source = 's1' AND doc_id = 7").agg(F.count_if(F.col("copies") == 1)).first()[0] < 900
+    assert got.columns == ["doc_id", "text", "source", "lang", "n_chars", "copies"]
+    hot = got.filter("source = 's1' AND doc_id = 7").collect()
+    assert len({r.n_chars for r in hot}) == len(hot)
+
+
 def test_run_writes_every_stage(spark, folder):
     out = corpus_pipeline.run(spark, folder)
     assert out.count() > 50 and corpus_pipeline.ORACLE_SQL is None
