@@ -13,6 +13,10 @@ occur there, and taking those away again restores them.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from distaff.functions.distributions import bind
+
+#: Neighbours that are summed or cut out together.
+BLOCK = 256
 RUN_OPEN, ROLE_END, TURN_END, RUN_CLOSE = "<s>", "[INST]", "[/INST]", "</s>"
 
 
@@ -75,28 +79,52 @@ def format_conversations(turns: DataFrame, loss_role: str = "assistant") -> Data
         return F.concat(F.array(head), F.flatten(texts), F.array(tail))
 
     cut = runs.withColumn("pieces", F.flatten(F.transform("runs", pieces)))
-    no_spans = F.expr("CAST(array() AS array<struct<start:int,chars:int>>)")
-    spans = F.aggregate(
-        "pieces",
-        F.struct(F.lit(0).alias("at"), no_spans.alias("spans")),
-        lambda acc, p: F.struct(
-            (acc["at"] + F.length(p["piece"])).alias("at"),
-            F.when(
-                p["loss"],
-                F.array_append(
-                    acc["spans"], F.struct(acc["at"].alias("start"), F.length(p["piece"]).alias("chars"))
-                ),
-            )
-            .otherwise(acc["spans"])
-            .alias("spans"),
-        ),
-        lambda acc: acc["spans"],
-    )
     return cut.select(
-        "conv_id", F.array_join(F.col("pieces.piece"), "").alias("formatted"), spans.alias("loss_spans")
+        "conv_id", F.array_join(F.col("pieces.piece"), "").alias("formatted"), _loss_spans(F.col("pieces")).alias("loss_spans")
+    )
+
+
+def _blocks(items: Column) -> Column:
+    """An array as arrays of up to ``BLOCK`` neighbours; the last of them may be empty."""
+
+    def cut(x: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor(F.size(x) / BLOCK).cast("int")), lambda b: F.slice(x, b * BLOCK + 1, F.lit(BLOCK)))
+
+    return bind(items, cut)
+
+
+def _starts(lengths: Column) -> Column:
+    """Sums of the lengths before each."""
+    nothing = F.expr("CAST(array() AS array<int>)")
+    return F.aggregate(
+        lengths,
+        F.struct(F.lit(0).alias("at"), nothing.alias("starts")),
+        lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.array_append(acc["starts"], acc["at"]).alias("starts")),
+        lambda acc: acc["starts"],
     )
 
 
+def _loss_spans(pieces: Column) -> Column:
+    """(start, chars) of the pieces under the mask.
+
+    An array that grows is copied with every entry, so starts are summed in
+    blocks of neighbours and then over the blocks.
+    """
+    lengths = F.transform(pieces, lambda p: F.length(p["piece"]))
+    total = lambda block: F.aggregate(block, F.lit(0), lambda acc, n: acc + n)
+
+    def flat(blocks: Column) -> Column:
+        starts = F.zip_with(
+            _starts(F.transform(blocks, total)), blocks, lambda base, block: F.transform(_starts(block), lambda at: base + at)
+        )
+        return F.flatten(starts)
+
+    starts = bind(_blocks(lengths), flat)
+    spans = F.arrays_zip(starts.alias("start"), lengths.alias("chars"), F.transform(pieces, lambda p: p["loss"]).alias("loss"))
+    kept = F.filter(spans, lambda x: x["loss"])
+    return F.transform(kept, lambda x: F.struct(x["start"].alias("start"), x["chars"].alias("chars")))
+
+
 def read_back(formatted: Column) -> Column:
     """Turns, array of (role, text), of a formatted conversation."""
     runs = F.filter(F.split(formatted, RUN_CLOSE), lambda run: run != "")
@@ -116,7 +144,18 @@ def read_back(formatted: Column) -> Column:
 
 
 def under_mask(formatted: Column, spans: Column) -> Column:
-    """All text below the loss mask, unescaped, nothing between."""
-    return F.array_join(
-        F.transform(spans, lambda s: unescape(F.substring(formatted, s["start"] + 1, s["chars"]))), ""
-    )
+    """All text below the loss mask, unescaped, nothing between.
+
+    A substring is counted off from the beginning of its string, so a stretch
+    that holds many neighbouring spans is cut out first.
+    """
+
+    def within(text: Column, block: Column) -> Column:
+        first, last = F.get(block, F.lit(0)), F.try_element_at(block, F.lit(-1))
+        stretch = F.substring(text, first["start"] + 1, last["start"] + last["chars"] - first["start"])
+        return bind(
+            stretch,
+            lambda cut: F.array_join(F.transform(block, lambda s: unescape(F.substring(cut, s["start"] - first["start"] + 1, s["chars"]))), ""),
+        )
+
+    return bind(formatted, lambda text: F.array_join(F.transform(_blocks(spans), lambda block: within(text, block)), ""))

@@ -1,5 +1,8 @@
 """Chat formatting: exact round trips."""
 
+import hashlib
+import time
+
 from pyspark.sql import functions as F
 
 from distaff.llm.chat_format import format_conversations, read_back, under_mask
@@ -32,5 +35,20 @@ def test_adjacent_turns_of_a_role_merge_into_a_run(spark):
     assert turns == [(r, t) for _, _, r, t in rows] and loss == "c"
 
 
+def test_time_follows_the_number_of_turns(spark):
+    def seconds(n):
+        turns = spark.range(n).selectExpr("1L AS conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role", "concat('é<', id, repeat(' word', 12)) AS text")
+        start = time.perf_counter()
+        out = format_conversations(turns).withColumn("loss", under_mask(F.col("formatted"), F.col("loss_spans")))
+        r = out.select(F.length("loss").alias("n"), F.size("loss_spans").alias("spans"), F.sha2("loss", 256).alias("h")).first()
+        wanted = "".join(f"é<{i}" + " word" * 12 for i in range(1, n, 2))
+        assert (r.n, r.spans, r.h) == (len(wanted), n // 2, hashlib.sha256(wanted.encode()).hexdigest())
+        return time.perf_counter() - start
+
+    seconds(1000)
+    few = min(seconds(10_000) for _ in range(2))
+    assert seconds(40_000) < 8 * few + 2
+
+
 def test_no_turns(spark):
     assert formatted(spark, []) == {}
