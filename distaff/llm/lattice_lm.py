@@ -32,6 +32,10 @@ BLOCK_BYTES = 8 << 20
 #: Classes of documents, the bounded sample of training documents that starts
 #: them, the most common words of all training documents, and rounds of fitting.
 CLASSES, CLASS_SAMPLE, CLASS_WORDS, CLASS_ROUNDS = 6, 2_000, 1_000, 30
+#: Share of the words that may still change their class when the rounds end.
+SETTLED = 1e-4
+#: Bytes of word places that a task of such a round reads.
+ROUND_BYTES = 16 << 20
 #: Distinct words of each class on which the piece weights warm up, and the
 #: rounds; the weights used come from one more round over all distinct words.
 WARM_WORDS, WARM_ROUNDS = 20_000, 4
@@ -238,6 +242,22 @@ def _text(words: list[bytes]) -> list[str]:
     return [w.decode("utf-8", "surrogatepass") for w in words]
 
 
+def _binary(words: list[bytes]) -> pa.Array:
+    """Binary column of many short words, from one buffer."""
+    offsets = np.zeros(len(words) + 1, dtype=np.int32)
+    np.cumsum(np.fromiter(map(len, words), dtype=np.int32, count=len(words)), out=offsets[1:])
+    return pa.Array.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(offsets), pa.py_buffer(b"".join(words))])
+
+
+def _closed_words(column: pa.ChunkedArray) -> list[bytes]:
+    """Words of a binary column that each end with one blank, the only one they have."""
+    array = column.combine_chunks()
+    if not len(array):
+        return []
+    offsets = np.frombuffer(array.buffers()[1], dtype=np.int32)[array.offset : array.offset + len(array) + 1]
+    return array.buffers()[2][int(offsets[0]) : int(offsets[-1])].to_pybytes().split(b" ")[:-1]
+
+
 class Classes(NamedTuple):
     """Multinomials over common words; the last row of ``logs`` is for all others."""
 
@@ -289,7 +309,8 @@ def common_words(texts: DataFrame, n_words: int = CLASS_WORDS) -> dict[bytes, in
             for part in in_slices([batch]):
                 for text in part["text"].to_pylist():
                     seen.update(set(_tokens(text)))
-            yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())], ["word", "n"])
+            n = np.fromiter(seen.values(), dtype=np.int64, count=len(seen))
+            yield pa.RecordBatch.from_arrays([_binary(list(seen)), pa.array(n)], ["word", "n"])
 
     counted = texts.mapInArrow(held, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     top = counted.orderBy(F.desc("n"), "word").limit(n_words).collect()
@@ -297,7 +318,10 @@ def common_words(texts: DataFrame, n_words: int = CLASS_WORDS) -> dict[bytes, in
 
 
 def refine_classes(texts: DataFrame, start: Classes, rounds: int = CLASS_ROUNDS) -> Classes:
-    """Rounds of hard assignments over all ``texts`` (text), from ``start`` until no word changes its class.
+    """Rounds of hard assignments over all ``texts`` (text), from ``start`` until the classes are settled.
+
+    They are when at most ``SETTLED`` of all common words still change their
+    class, net of those that change places.
 
     The places of common words are written once, as the bytes of one array
     for many texts; in each round the tasks send the word sums of every class,
@@ -317,6 +341,8 @@ def refine_classes(texts: DataFrame, start: Classes, rounds: int = CLASS_ROUNDS)
             yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (at, sizes)], ["places", "sizes"])
 
     placed = materialise(texts.mapInArrow(place, "places binary, sizes binary"), "class-words")
+    size = placed.agg(F.sum(F.octet_length("places").cast("bigint"))).first()[0] or 0
+    placed = placed.coalesce(size // ROUND_BYTES + 1)
     logs, before = start.logs[:-1], None
     for _ in range(rounds):
         known = texts.sparkSession.sparkContext.broadcast(logs)
@@ -337,7 +363,8 @@ def refine_classes(texts: DataFrame, start: Classes, rounds: int = CLASS_ROUNDS)
         centres = np.zeros((classes, n_words))
         centres[got["class"].to_numpy(np.int64), got["place"].to_numpy(np.int64)] = got["n"].to_numpy(np.float64)
         known.unpersist()
-        if before is not None and (centres == before).all():
+        # Of every word that changes its class one sum falls and one rises.
+        if before is not None and np.abs(centres - before).sum() <= 2 * SETTLED * centres.sum():
             break
         before, logs = centres, _class_logs(centres)
     return Classes(start.words, _with_others(logs))
@@ -380,11 +407,9 @@ def train(texts: DataFrame, vocabulary: str = VOCABULARY, classes: int = CLASSES
                     mine = seen[known.value.of(tokens)]
                     mine.update(tokens)
                     mine[END] += 1
-            rows = [(w, k, n) for k, each in enumerate(seen) for w, n in each.items()]
-            columns = zip(*rows, strict=True) if rows else ([], [], [])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, kind) for c, kind in zip(columns, (pa.binary(), pa.int32(), pa.int64()), strict=True)], ["word", "class", "n"]
-            )
+            kinds = np.repeat(np.arange(classes, dtype=np.int32), [len(each) for each in seen])
+            n = np.fromiter(chain.from_iterable(each.values() for each in seen), dtype=np.int64, count=len(kinds))
+            yield pa.RecordBatch.from_arrays([_binary(list(chain.from_iterable(seen))), pa.array(kinds), pa.array(n)], ["word", "class", "n"])
 
     counted = texts.mapInArrow(count, "word binary, class int, n bigint").groupBy("word").agg(
         F.array(*[F.sum(F.when(F.col("class") == k, F.col("n")).otherwise(0)) for k in range(classes)]).alias("n")
@@ -462,7 +487,7 @@ def score(docs: DataFrame, model: Model, block_bytes: int = BLOCK_BYTES) -> Data
             found[m.classes.of(tokens)].update(tokens)
         words = [w for each in found for w in each]
         kinds = np.repeat(np.arange(len(found), dtype=np.int32), [len(f) for f in found])
-        return pa.table({"block": np.full(len(words), key[0].as_py(), dtype=np.int64), "class": kinds, "word": pa.array(words, pa.binary())})
+        return pa.table({"block": np.full(len(words), key[0].as_py(), dtype=np.int64), "class": kinds, "word": _binary(words)})
 
     def apply(table: pa.Table, told: pa.Table) -> pa.Table:
         m = shared.value
@@ -473,7 +498,7 @@ def score(docs: DataFrame, model: Model, block_bytes: int = BLOCK_BYTES) -> Data
         models = []
         for k in range(len(m.docs)):
             mine = told.filter(pa.compute.equal(told["class"], k))
-            words = mine["word"].to_pylist()
+            words = _closed_words(mine["word"])
             total, counts, spelled = (mine[c].to_numpy().astype(np.float64) for c in ("total", "n", "spelled"))
             new = np.flatnonzero(np.isnan(spelled))
             spelled = spelled.copy()
@@ -501,7 +526,7 @@ def score(docs: DataFrame, model: Model, block_bytes: int = BLOCK_BYTES) -> Data
     told = asked.join(model.words, "word", "left").select(
         "block",
         "class",
-        "word",
+        F.concat("word", F.lit(bytearray(b" "))).alias("word"),
         F.coalesce(F.aggregate("n", F.lit(0).cast("bigint"), lambda a, x: a + x), F.lit(0)).alias("total"),
         F.coalesce(F.get("n", here), F.lit(0)).alias("n"),
         F.coalesce(F.get("spelled", here), F.lit(float("nan"))).alias("spelled"),
