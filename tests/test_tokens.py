@@ -173,3 +173,20 @@ def test_missing_texts_are_counted_apart(spark):
 def test_too_long_head_slices_are_refused(spark):
     with pytest.raises(ValueError):
         ordering.head_slice(spark.range(3), 1_000_001, "id")
+
+
+def test_stand_in_ids_see_every_character(spark, tmp_path):
+    """Words alike in first character and length are different tokens."""
+    import hashlib
+
+    from distaff.plans.registry import QUERIES
+
+    rows = [(i, "aa bb. cd ef " + word, "de") for i, word in enumerate(["stone", "store"] * 5)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    digest = lambda ids: hashlib.md5(",".join(map(str, ids)).encode()).hexdigest()
+    ids = {i: [int(hashlib.md5(w.encode()).hexdigest()[:7], 16) for w in text.split()] for i, text, _ in rows}
+    masked = {r.doc_id: r for r in QUERIES["mask_and_pad"].build(spark, str(tmp_path)).collect()}
+    for i, mine in ids.items():
+        assert masked[i].input_md5 == digest(mine + [0] * (768 - len(mine)))
+        assert masked[i].labels_md5 == digest([-100] * 2 + mine[2:] + [-100] * (768 - len(mine)))
+    assert len({r.input_md5 for r in masked.values()}) == 2
