@@ -186,7 +186,9 @@ def test_stand_in_ids_see_every_character(spark, tmp_path):
     digest = lambda ids: hashlib.md5(",".join(map(str, ids)).encode()).hexdigest()
     ids = {i: [int(hashlib.md5(w.encode()).hexdigest()[:7], 16) for w in text.split()] for i, text, _ in rows}
     masked = {r.doc_id: r for r in QUERIES["mask_and_pad"].build(spark, str(tmp_path)).collect()}
+    batched = {r.doc_id: r for r in QUERIES["truncate_and_pad_batch"].build(spark, str(tmp_path)).collect()}
     for i, mine in ids.items():
         assert masked[i].input_md5 == digest(mine + [0] * (768 - len(mine)))
         assert masked[i].labels_md5 == digest([-100] * 2 + mine[2:] + [-100] * (768 - len(mine)))
-    assert len({r.input_md5 for r in masked.values()}) == 2
+        assert batched[i].input_md5 == batched[i].labels_md5 == digest(mine)
+    assert len({r.input_md5 for r in masked.values()}) == len({r.input_md5 for r in batched.values()}) == 2
