@@ -192,3 +192,19 @@ def test_stand_in_ids_see_every_character(spark, tmp_path):
         assert masked[i].labels_md5 == digest([-100] * 2 + mine[2:] + [-100] * (768 - len(mine)))
         assert batched[i].input_md5 == batched[i].labels_md5 == digest(mine)
     assert len({r.input_md5 for r in masked.values()}) == len({r.input_md5 for r in batched.values()}) == 2
+
+
+def test_tokenizers_get_batches_in_parts(spark):
+    """However many rows a batch has, few texts at a time become lists; order and empty texts stay."""
+
+    def encode(texts):
+        assert sum(map(len, texts)) <= (1 << 20) + 5000
+        return [[len(texts), *map(len, t.split(" "))] for t in texts]
+
+    size = F.when(F.col("id") % 7 == 0, 0).otherwise(F.col("id") % 5 + 1).cast("int")
+    text = F.when(F.col("id") % 11 != 0, F.repeat(F.lit("abc " * 250), size))
+    docs = spark.range(0, 3000, 1, 1).select("id", text.alias("text"))
+    got = tokens.tokenize_with(docs, encode, "text", "ids").collect()
+    assert [r.id for r in got] == list(range(3000))
+    for r in got:
+        assert r.ids[1:] == [len(w) for w in (r.text or "").split(" ")] and r.ids[0] < 3000
