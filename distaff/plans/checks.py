@@ -7,7 +7,7 @@ from distaff.operators.prompts import turn
 from distaff.plans import twins
 from distaff.plans.registry import query
 from distaff.plans.workload import chat_corpus, paired, positions, scored, table
-from distaff.session import scratch_path
+from distaff.session import materialise, scratch_path
 from distaff.sources import capture
 
 _WORDS = "regexp_extract_all({0}, '[^ \t\n\r]+')"
@@ -253,7 +253,8 @@ def capture_round_trip(spark, sf):
 
     Each document that fits is one sequence; the logits of a position are one
     of the given vectors. Ids are places in the vocabulary of the benchmark's
-    words, one more for all others.
+    words, one more for all others. Sequences and captured rows are worked out
+    once and cut there, as both are read more than once.
     """
     vocab = tokens.build_vocab(table(spark, sf, "benchmark"))
     docs = table(spark, sf, "documents").select(
@@ -262,12 +263,17 @@ def capture_round_trip(spark, sf):
     full = tokens.tokenize(docs, vocab, "full_text", "full_ids")
     both = tokens.tokenize(full, vocab, "prompt_text", "prompt_ids")
     masked = tokens.mask_and_pad(both, _POSITIONS, pad_id=-2).filter("skip_reason IS NULL")
-    sequences = masked.withColumn("example_id", F.col("doc_id").cast("string"))
+    sequences = materialise(
+        masked.select(F.col("doc_id").cast("string").alias("example_id"), "doc_id", "input_ids", "labels"), "sequences"
+    )
     vectors = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("teacher"))
-    top = losses.topk_logprobs(losses.truncate_vocab(vectors, 48, "teacher"), "teacher", 8).select("vec_id", "top")
+    top = losses.topk_logprobs(losses.truncate_vocab(vectors, 48, "teacher"), "teacher", 8)
+    entry = capture.KEYED_CAPTURE_SCHEMA["top_logprobs"].dataType.elementType  # cast once a vector, not once a position
+    top = top.select("vec_id", F.col("top").cast(entry).alias("top"))
     asked = sequences.select("example_id", "doc_id", F.explode(F.sequence(F.lit(0), F.lit(_POSITIONS - 1))).alias("pos"))
     asked = asked.withColumn("vec_id", (F.col("doc_id") * 7 + F.col("pos")) % vectors.count())
-    rows = capture.captured_sequences(sequences, asked.join(top, "vec_id").select("example_id", "pos", "top"))
+    captured = capture.captured_sequences(sequences, asked.join(top, "vec_id").select("example_id", "pos", "top"))
+    rows = materialise(captured, "captured")
     written = capture.fixed_schema(rows.filter("capture_reason IS NULL"), capture.KEYED_CAPTURE_SCHEMA)
     path = scratch_path(spark, "capture")
     capture.write_capped_parquet(written, path)

@@ -228,3 +228,38 @@ def test_conversations_keep_every_turn(spark):
         2: ([("b", "z")], False),
         3: ([("a", "p"), ("a", "p")], False),
     }
+
+
+def test_positions_of_a_capture_are_shuffled_once_to_their_sequence(spark):
+    """Distinct positions are counted in the list; null ones are no positions."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sequences = spark.createDataFrame([(k, [1, 2]) for k in "abcde"], "example_id string, input_ids array<bigint>")
+        at = {"a": [0, 1], "b": [1], "c": [0, 1, 1], "d": [0, 2], "e": [None, 0, 1]}
+        rows = [(k, p, [p]) for k, places in at.items() for p in places]
+        positions = spark.createDataFrame(rows, "example_id string, pos int, top array<int>")
+        out = capture.captured_sequences(sequences, positions)
+        got = {r.example_id: (r.capture_reason, r.top_logprobs) for r in out.collect()}
+        text = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert got["a"] == (None, [[0], [1]])
+    assert [got[k][0] for k in "bcde"] == ["positions_missing", "position_repeated", "position_outside", "position_repeated"]
+    assert "Expand" not in text and text.count("ObjectHashAggregate") == 2
+
+
+def test_round_trip_reads_documents_only_to_cut_sequences(spark):
+    """What is compared with the written capture is not tokenized anew."""
+    from distaff.plans.registry import QUERIES
+
+    started = []
+    kept = tokens.tokenize
+    tokens.tokenize = lambda *a, **k: started.append(a[2:]) or kept(*a, **k)
+    compared, differences = [], capture.capture_differences
+    capture.capture_differences = lambda written, read, *a: compared.append(written) or differences(written, read, *a)
+    try:
+        QUERIES["capture_round_trip"].build(spark, "/root/testdata/sf0.001")
+    finally:
+        tokens.tokenize, capture.capture_differences = kept, differences
+    assert started == [("full_text", "full_ids"), ("prompt_text", "prompt_ids")]
+    assert "documents.parquet" not in "".join(compared[0].inputFiles())

@@ -208,3 +208,13 @@ def test_tokenizers_get_batches_in_parts(spark):
     assert [r.id for r in got] == list(range(3000))
     for r in got:
         assert r.ids[1:] == [len(w) for w in (r.text or "").split(" ")] and r.ids[0] < 3000
+
+
+def test_tokens_lie_between_four_separators_only(spark):
+    texts = ["a\u00a0b a\x0bb\x0ca", "\r\na\t\tb \n", "\n", "", None]
+    vocab = spark.createDataFrame([("a", 0), ("b", 1), ("a\u00a0b", 2)], "token string, id int")
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, text string").coalesce(1)
+    expected = {0: [2, -1], 1: [0, 1], 2: [], 3: [], 4: None}
+    for max_vocab in (10, 1):
+        got = tokens.tokenize(docs, vocab, max_vocab=max_vocab).collect()
+        assert {r.id: r.token_ids for r in got} == expected
