@@ -42,6 +42,8 @@ WARM_WORDS, WARM_ROUNDS = 20_000, 4
 #: Words of one length are recursed together up to so many characters, and
 #: looked for among so many rows of the word table at once.
 BATCH_CHARS, BATCH_WORDS = 400_000, 100_000
+#: Distinct words that a task counts before it passes the counts on.
+COUNTED_WORDS = 100_000
 ROLL, SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -238,6 +240,12 @@ def _tokens(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+def _texts(batch: pa.RecordBatch) -> Iterator[str]:
+    """Texts of a batch, null ones empty; few at a time are Python strings."""
+    for part in in_slices([batch]):
+        yield from (text or "" for text in part["text"].to_pylist())
+
+
 def _text(words: list[bytes]) -> list[str]:
     return [w.decode("utf-8", "surrogatepass") for w in words]
 
@@ -306,11 +314,13 @@ def common_words(texts: DataFrame, n_words: int = CLASS_WORDS) -> dict[bytes, in
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: Counter[bytes] = Counter()
-            for part in in_slices([batch]):
-                for text in part["text"].to_pylist():
+            for text in chain(_texts(batch), [None]):
+                if text is not None:
                     seen.update(set(_tokens(text)))
-            n = np.fromiter(seen.values(), dtype=np.int64, count=len(seen))
-            yield pa.RecordBatch.from_arrays([_binary(list(seen)), pa.array(n)], ["word", "n"])
+                if seen and (text is None or len(seen) >= COUNTED_WORDS):
+                    n = np.fromiter(seen.values(), dtype=np.int64, count=len(seen))
+                    yield pa.RecordBatch.from_arrays([_binary(list(seen)), pa.array(n)], ["word", "n"])
+                    seen.clear()
 
     counted = texts.mapInArrow(held, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     top = counted.orderBy(F.desc("n"), "word").limit(n_words).collect()
@@ -401,15 +411,19 @@ def train(texts: DataFrame, vocabulary: str = VOCABULARY, classes: int = CLASSES
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: list[Counter[bytes]] = [Counter() for _ in range(classes)]
-            for part in in_slices([batch]):
-                for text in part["text"].to_pylist():
+            for text in chain(_texts(batch), [None]):
+                if text is not None:
                     tokens = _tokens(text)
                     mine = seen[known.value.of(tokens)]
                     mine.update(tokens)
                     mine[END] += 1
-            kinds = np.repeat(np.arange(classes, dtype=np.int32), [len(each) for each in seen])
-            n = np.fromiter(chain.from_iterable(each.values() for each in seen), dtype=np.int64, count=len(kinds))
-            yield pa.RecordBatch.from_arrays([_binary(list(chain.from_iterable(seen))), pa.array(kinds), pa.array(n)], ["word", "class", "n"])
+                size = sum(map(len, seen))
+                if size and (text is None or size >= COUNTED_WORDS):
+                    kinds = np.repeat(np.arange(classes, dtype=np.int32), [len(each) for each in seen])
+                    n = np.fromiter(chain.from_iterable(each.values() for each in seen), dtype=np.int64, count=size)
+                    yield pa.RecordBatch.from_arrays([_binary(list(chain.from_iterable(seen))), pa.array(kinds), pa.array(n)], ["word", "class", "n"])
+                    for each in seen:
+                        each.clear()
 
     counted = texts.mapInArrow(count, "word binary, class int, n bigint").groupBy("word").agg(
         F.array(*[F.sum(F.when(F.col("class") == k, F.col("n")).otherwise(0)) for k in range(classes)]).alias("n")

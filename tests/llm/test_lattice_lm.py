@@ -137,3 +137,14 @@ def test_all_texts_decide_the_classes(spark, monkeypatch):
     assert np.allclose(lm.refine_classes(docs, start).logs[:-1], logs)
     empty = lm.common_words(docs.limit(0))
     assert empty == {} and lm.refine_classes(docs, lm.fit_classes([], empty)).words == {}
+
+
+def test_counts_passed_on_in_parts_add_up(spark):
+    """Far more distinct words in one batch than a task keeps."""
+    from distaff.llm import lattice_lm
+
+    texts = spark.range(0, 250, 1, 1).selectExpr(
+        "concat_ws(' ', 'all all', if(id % 2 = 0, 'half', null), transform(sequence(0, 999), x -> concat('w', id * 1000 + x))) AS text"
+    )
+    assert 250 * 1000 > 2 * lattice_lm.COUNTED_WORDS
+    assert list(lattice_lm.common_words(texts, 3)) == [b"all", b"half", b"w0"]
