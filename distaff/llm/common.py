@@ -58,17 +58,22 @@ def in_blocks(docs: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
     return rows.select(F.struct("*").alias("row"), block.alias("block")), total
 
 
-def hashed_sample(rows: DataFrame, limit: int, *key: str) -> DataFrame:
+def drawn_by_hash(count: int, limit: int, *key: str) -> Column:
+    """Whether a row is among about twice ``limit`` of ``count`` rows, by the hash of ``key``."""
+    rate = min(1.0, 2 * limit / max(1, count))
+    return F.pmod(F.xxhash64(*key), F.lit(1 << 30)) <= int(rate * (1 << 30))
+
+
+def hashed_sample(rows: DataFrame, limit: int, *key: str, count: int | None = None) -> DataFrame:
     """At most ``limit`` rows: those of the smallest hashes of ``key`` among about twice as many.
 
     The rate follows the number of rows, so what all tasks send together stays
-    bounded as the table grows. ``key`` must be distinct, as copies are drawn
-    together; ``distinct_sample`` takes rows with copies.
+    bounded as the table grows; ``count`` is that number where it is known.
+    ``key`` must be distinct, as copies are drawn together; ``distinct_sample``
+    takes rows with copies.
     """
-    hashed = F.xxhash64(*key)
-    rate = min(1.0, 2 * limit / max(1, rows.count()))
-    drawn = rows.filter(F.pmod(hashed, F.lit(1 << 30)) <= int(rate * (1 << 30)))
-    return drawn.orderBy(hashed, *key).limit(limit)
+    drawn = rows.filter(drawn_by_hash(rows.count() if count is None else count, limit, *key))
+    return drawn.orderBy(F.xxhash64(*key), *key).limit(limit)
 
 
 def distinct_sample(rows: DataFrame, limit: int, key: str) -> DataFrame:

@@ -10,17 +10,19 @@ to one in each class. Piece weights begin at the vocabulary's own scores and
 are estimated anew from the distinct words of the whole corpus.
 """
 
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain, repeat
+from functools import reduce
+from itertools import chain, pairwise
+from operator import or_
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from distaff.llm.common import distinct_sample, fold, hashed_sample, in_blocks, in_slices
+from distaff.llm.common import distinct_sample, drawn_by_hash, fold, hashed_sample, in_blocks
 from distaff.session import materialise
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -34,16 +36,17 @@ BLOCK_BYTES = 8 << 20
 CLASSES, CLASS_SAMPLE, CLASS_WORDS, CLASS_ROUNDS = 6, 2_000, 1_000, 30
 #: Share of the words that may still change their class when the rounds end.
 SETTLED = 1e-4
-#: Bytes of word places that a task of such a round reads.
-ROUND_BYTES = 16 << 20
+#: Bytes of word places that a task of such a round reads, and of the texts in one array of them.
+ROUND_BYTES, PLACED_BYTES = 16 << 20, 1 << 20
 #: Distinct words of each class on which the piece weights warm up, and the
 #: rounds; the weights used come from one more round over all distinct words.
 WARM_WORDS, WARM_ROUNDS = 20_000, 4
 #: Words of one length are recursed together up to so many characters, and
 #: looked for among so many rows of the word table at once.
-BATCH_CHARS, BATCH_WORDS = 400_000, 100_000
-#: Distinct words that a task counts before it passes the counts on.
-COUNTED_WORDS = 100_000
+BATCH_CHARS, BATCH_WORDS = 100_000, 100_000
+#: Distinct words, about, that a task counts before it passes the counts on: texts
+#: of so many times ``WORD_BYTES`` are split together.
+COUNTED_WORDS, WORD_BYTES = 100_000, 64
 ROLL, SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -167,12 +170,13 @@ def _bytes_of(codes: np.ndarray) -> np.ndarray:
     return 1 + (codes > 0x7F).astype(int) + (codes > 0x7FF) + (codes > 0xFFFF)
 
 
-def _forward(pieces: Pieces, weights: np.ndarray, codes: np.ndarray, edges: list) -> np.ndarray:
-    """Log of the summed weight of all ways to reach each place of each word."""
+def _forward(pieces: Pieces, weights: np.ndarray, kinds: np.ndarray, codes: np.ndarray, edges: list) -> np.ndarray:
+    """Log of the summed weight of all ways to reach each place of each word, by the word's row of the weights."""
     rows, n = codes.shape
     alpha = np.full((n + 1, rows), -np.inf)
     alpha[0] = 0.0
-    spelled = _bytes_of(codes) * (weights[pieces.byte] - np.log(256))
+    spelled = _bytes_of(codes) * (weights[kinds, pieces.byte] - np.log(256))[:, None]
+    flat, base = weights.ravel(), kinds * weights.shape[1]
     ends = iter([*edges, (0, n + 1, None, None)])
     edge = next(ends)
     for end in range(1, n + 1):
@@ -180,30 +184,41 @@ def _forward(pieces: Pieces, weights: np.ndarray, codes: np.ndarray, edges: list
             alpha[end] = alpha[end - 1] + spelled[:, end - 1]
         while edge[1] == end:
             begin, _, at, places = edge
-            alpha[end, at] = np.logaddexp(alpha[end, at], alpha[begin, at] + weights[places])
+            alpha[end, at] = np.logaddexp(alpha[end, at], alpha[begin, at] + flat[base[at] + places])
             edge = next(ends)
     return alpha
 
 
-def spelling(pieces: Pieces, weights: np.ndarray, words: list[str]) -> np.ndarray:
-    """Natural log probability of spelling each word, over all segmentations."""
+def spelling(pieces: Pieces, weights: np.ndarray, words: list[str], kinds: np.ndarray | None = None) -> np.ndarray:
+    """Natural log probability of spelling each word, over all segmentations.
+
+    With ``kinds`` every word has its own row of ``weights``.
+    """
+    weights, kinds = np.atleast_2d(weights), np.zeros(len(words), dtype=np.int64) if kinds is None else kinds
     out = np.zeros(len(words))
     for at, codes in _by_length(words):
-        out[at] = _forward(pieces, weights, codes, list(_edges(pieces, codes)))[-1] + weights[pieces.end_of_word]
+        out[at] = _forward(pieces, weights, kinds[at], codes, list(_edges(pieces, codes)))[-1] + weights[kinds[at], pieces.end_of_word]
     return out
 
 
-def expected_counts(pieces: Pieces, weights: np.ndarray, words: list[str]) -> np.ndarray:
-    """Expected uses of every piece, of the end of word and of bytes in the spellings of the words."""
-    counts = np.zeros(len(weights))
-    for _, codes in _by_length(words):
+def expected_counts(pieces: Pieces, weights: np.ndarray, words: list[str], kinds: np.ndarray | None = None) -> np.ndarray:
+    """Expected uses of every piece, of the end of word and of bytes in the spellings of the words.
+
+    With ``kinds`` every word has its own row of ``weights`` and of the counts.
+    """
+    shape = weights.shape
+    weights, kinds = np.atleast_2d(weights), np.zeros(len(words), dtype=np.int64) if kinds is None else kinds
+    counts = np.zeros(weights.shape)
+    for mine, codes in _by_length(words):
         rows, n = codes.shape
+        kind = kinds[mine]
         edges = list(_edges(pieces, codes))
-        alpha = _forward(pieces, weights, codes, edges)
+        alpha = _forward(pieces, weights, kind, codes, edges)
         beta = np.full((n + 1, rows), -np.inf)
         beta[n] = 0.0
         size = _bytes_of(codes)
-        spelled = size * (weights[pieces.byte] - np.log(256))
+        spelled = size * (weights[kind, pieces.byte] - np.log(256))[:, None]
+        flat, base = weights.ravel(), kind * weights.shape[1]
         total = alpha[n]
         ends = iter([*reversed(edges), (0, 0, None, None)])
         edge = next(ends)
@@ -211,18 +226,19 @@ def expected_counts(pieces: Pieces, weights: np.ndarray, words: list[str]) -> np
         for end in range(n, 0, -1):
             while edge[1] == end:
                 begin, _, at, places = edge
-                step = weights[places] + beta[end, at]
+                places = base[at] + places
+                step = flat[places] + beta[end, at]
                 used.append(places)
                 shares.append(np.exp(alpha[begin, at] + step - total[at]))
                 beta[begin, at] = np.logaddexp(beta[begin, at], step)
                 edge = next(ends)
             if end > 1:
                 step = spelled[:, end - 1] + beta[end]
-                counts[pieces.byte] += (size[:, end - 1] * np.exp(alpha[end - 1] + step - total)).sum()
+                counts[:, pieces.byte] += np.bincount(kind, size[:, end - 1] * np.exp(alpha[end - 1] + step - total), len(counts))
                 beta[end - 1] = np.logaddexp(beta[end - 1], step)
-        counts += np.bincount(np.concatenate(used), np.concatenate(shares), len(counts))
-        counts[pieces.end_of_word] += rows
-    return counts
+        counts += np.bincount(np.concatenate(used), np.concatenate(shares), counts.size).reshape(counts.shape)
+        counts[:, pieces.end_of_word] += np.bincount(kind, minlength=len(counts))
+    return counts.reshape(shape)
 
 
 def _joined(batches: Iterator[pa.RecordBatch], rows: int = BATCH_WORDS) -> Iterator[pa.RecordBatch]:
@@ -240,30 +256,54 @@ def _tokens(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def _texts(batch: pa.RecordBatch) -> Iterator[str]:
-    """Texts of a batch, null ones empty; few at a time are Python strings."""
-    for part in in_slices([batch]):
-        yield from (text or "" for text in part["text"].to_pylist())
+def _parts(batches: Iterator[pa.RecordBatch], n_bytes: int = COUNTED_WORDS * WORD_BYTES) -> Iterator[pa.Array]:
+    """Texts of the batches, about ``n_bytes`` of them at a time."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(), dtype=np.int64)
+        cuts = np.flatnonzero(np.diff(ends // n_bytes)) + 1
+        for start, end in pairwise([0, *cuts.tolist(), batch.num_rows]):
+            if start < end:
+                yield batch["text"].slice(start, end - start)
 
 
-def _text(words: list[bytes]) -> list[str]:
-    return [w.decode("utf-8", "surrogatepass") for w in words]
+def _words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Number of words of each text, and the words of all, as ``_tokens`` has them but without Python objects."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words = split.flatten().cast(pa.binary())
+    # blanks at either end of a text leave an empty word there
+    filled = pc.binary_length(words).to_numpy() > 0
+    sizes = np.diff(split.offsets.to_numpy())
+    return _sums(filled.astype(np.int32), sizes).astype(np.int64), words if filled.all() else words.filter(pa.array(filled))
 
 
-def _binary(words: list[bytes]) -> pa.Array:
-    """Binary column of many short words, from one buffer."""
-    offsets = np.zeros(len(words) + 1, dtype=np.int32)
-    np.cumsum(np.fromiter(map(len, words), dtype=np.int32, count=len(words)), out=offsets[1:])
-    return pa.Array.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(offsets), pa.py_buffer(b"".join(words))])
+def _places(words: pa.Array, among: pa.Array) -> np.ndarray:
+    """Place of each word in ``among``, -1 where it is not there."""
+    return pc.fill_null(pc.index_in(words, value_set=among), -1).to_numpy()
+
+
+def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of as many values in turn as each size says."""
+    out = np.zeros(len(sizes), dtype=values.dtype)
+    some = sizes > 0
+    if some.any():
+        out[some] = np.add.reduceat(values, (np.cumsum(sizes) - sizes)[some])
+    return out
+
+
+def _text(words: list[bytes]) -> list[str]:
+    return [w.decode("utf-8", "surrogatepass") for w in words]
 
 
-def _closed_words(column: pa.ChunkedArray) -> list[bytes]:
-    """Words of a binary column that each end with one blank, the only one they have."""
-    array = column.combine_chunks()
-    if not len(array):
-        return []
-    offsets = np.frombuffer(array.buffers()[1], dtype=np.int32)[array.offset : array.offset + len(array) + 1]
-    return array.buffers()[2][int(offsets[0]) : int(offsets[-1])].to_pybytes().split(b" ")[:-1]
+def _holders(sizes: np.ndarray, at: np.ndarray, n_words: int, texts: int = 250) -> np.ndarray:
+    """How many texts hold each word, from the places of the words of each text; few texts at a time."""
+    out = np.zeros(n_words, dtype=np.int64)
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    for start in range(0, len(sizes), texts):
+        some = sizes[start : start + texts]
+        row = np.repeat(np.arange(len(some)), some)
+        pairs = pc.unique(pa.array(row * n_words + at[ends[start] : ends[start + len(some)]])).to_numpy()
+        out += np.bincount(pairs % max(n_words, 1), minlength=n_words)
+    return out
 
 
 class Classes(NamedTuple):
@@ -272,10 +312,24 @@ class Classes(NamedTuple):
     words: dict[bytes, int]
     logs: np.ndarray  # (words + 1, classes)
 
-    def of(self, tokens: list[bytes]) -> int:
-        """Likeliest class; texts without a common word are in the first."""
-        at = np.fromiter(map(self.words.get, tokens, repeat(len(self.words))), dtype=np.int64, count=len(tokens))
-        return int(np.argmax(np.bincount(at, minlength=len(self.logs)) @ self.logs))
+    @property
+    def listed(self) -> pa.Array:
+        return pa.array(sorted(self.words, key=self.words.get), pa.binary())
+
+    def of(self, places: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Likeliest class of each text, from the places of its words in ``listed`` (-1: others).
+
+        Texts without a common word are in the first class. What a text gets
+        does not depend on the texts beside it.
+        """
+        common = places >= 0
+        ends = np.concatenate([[0], np.cumsum(common)])
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        return _likeliest(self.logs, places[common], np.diff(ends[bounds]))
+
+
+def _likeliest(logs: np.ndarray, places: np.ndarray, sizes: np.ndarray, counts: int | np.ndarray = 1) -> np.ndarray:
+    return np.stack([_sums(each[places] * counts, sizes) for each in np.ascontiguousarray(logs.T)]).argmax(axis=0)
 
 
 def fit_classes(texts: list[str], words: dict[bytes, int], classes: int = CLASSES, seed: int = 0) -> Classes:
@@ -312,21 +366,32 @@ def common_words(texts: DataFrame, n_words: int = CLASS_WORDS) -> dict[bytes, in
     """The words that most of all ``texts`` (text) hold, ties in word order."""
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen: Counter[bytes] = Counter()
-            for text in chain(_texts(batch), [None]):
-                if text is not None:
-                    seen.update(set(_tokens(text)))
-                if seen and (text is None or len(seen) >= COUNTED_WORDS):
-                    n = np.fromiter(seen.values(), dtype=np.int64, count=len(seen))
-                    yield pa.RecordBatch.from_arrays([_binary(list(seen)), pa.array(n)], ["word", "n"])
-                    seen.clear()
+        for part in _parts(batches):
+            sizes, words = _words(part)
+            coded = words.dictionary_encode()
+            n = _holders(sizes, coded.indices.to_numpy(), len(coded.dictionary))
+            yield pa.RecordBatch.from_arrays([coded.dictionary, pa.array(n)], ["word", "n"])
 
     counted = texts.mapInArrow(held, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     top = counted.orderBy(F.desc("n"), "word").limit(n_words).collect()
     return {bytes(r.word): i for i, r in enumerate(top)}
 
 
+#: Kinds of the arrays of ``common_counts``.
+PLACED = np.int16, np.int32, np.int32
+
+
+def common_counts(texts: pa.Array, listed: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in ``listed`` of the common words of each text, every one once, their counts, and how many each text has."""
+    sizes, words = _words(texts)
+    at = _places(words, listed)
+    row = np.repeat(np.arange(len(sizes)), sizes)[at >= 0]
+    pairs = pc.value_counts(pa.array(row * len(listed) + at[at >= 0]))  # in the order of the texts
+    row, at = np.divmod(pairs.field("values").to_numpy(), max(len(listed), 1))
+    found = at, pairs.field("counts").to_numpy(), np.bincount(row, minlength=len(sizes))
+    return tuple(x.astype(kind) for x, kind in zip(found, PLACED, strict=True))
+
+
 def refine_classes(texts: DataFrame, start: Classes, rounds: int = CLASS_ROUNDS) -> Classes:
     """Rounds of hard assignments over all ``texts`` (text), from ``start`` until the classes are settled.
 
@@ -334,23 +399,20 @@ def refine_classes(texts: DataFrame, start: Classes, rounds: int = CLASS_ROUNDS)
     class, net of those that change places.
 
     The places of common words are written once, as the bytes of one array
-    for many texts; in each round the tasks send the word sums of every class,
-    and their sum makes the new centres.
+    for many texts, with how often each text has them; in each round the tasks
+    send the word sums of every class, and their sum makes the new centres.
     """
     n_words, classes = len(start.words), start.logs.shape[1]
     if not n_words:
         return start
-    words = texts.sparkSession.sparkContext.broadcast(start.words)
+    listed = texts.sparkSession.sparkContext.broadcast(start.listed)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_slices(batches):
-            get = words.value.get
-            found = [[i for w in _tokens(t) if (i := get(w)) is not None] for t in batch["text"].to_pylist()]
-            sizes = np.fromiter(map(len, found), dtype=np.int32, count=len(found))
-            at = np.fromiter(chain.from_iterable(found), dtype=np.int16, count=int(sizes.sum()))
-            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (at, sizes)], ["places", "sizes"])
-
-    placed = materialise(texts.mapInArrow(place, "places binary, sizes binary"), "class-words")
+        for part in _parts(batches, PLACED_BYTES):
+            found = common_counts(part, listed.value)
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in found], ["places", "counts", "sizes"])
+
+    placed = materialise(texts.mapInArrow(place, "places binary, counts binary, sizes binary"), "class-words")
     size = placed.agg(F.sum(F.octet_length("places").cast("bigint"))).first()[0] or 0
     placed = placed.coalesce(size // ROUND_BYTES + 1)
     logs, before = start.logs[:-1], None
@@ -360,12 +422,10 @@ def refine_classes(texts: DataFrame, start: Classes, rounds: int = CLASS_ROUNDS)
         def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums = np.zeros((classes, n_words), dtype=np.int64)
             for batch in batches:
-                for places, sizes in zip(batch["places"], batch["sizes"], strict=True):
-                    sizes = np.frombuffer(sizes.as_py(), dtype=np.int32)
-                    at = np.frombuffer(places.as_py(), dtype=np.int16).astype(np.int64)
-                    row = np.repeat(np.arange(len(sizes)), sizes)
-                    fit = np.stack([np.bincount(row, each[at], len(sizes)) for each in known.value.T])
-                    sums += np.bincount(fit.argmax(axis=0)[row] * n_words + at, minlength=sums.size).reshape(sums.shape)
+                for each in zip(*batch.columns, strict=True):
+                    at, n, sizes = (np.frombuffer(x.as_py(), kind) for x, kind in zip(each, PLACED, strict=True))
+                    chosen = np.repeat(_likeliest(known.value, at, sizes, n), sizes)
+                    sums += np.bincount(chosen * n_words + at, n, sums.size).astype(np.int64).reshape(sums.shape)
             k, at = np.nonzero(sums)
             yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(at), pa.array(sums[k, at])], ["class", "place", "n"])
 
@@ -383,7 +443,7 @@ def refine_classes(texts: DataFrame, start: Classes, rounds: int = CLASS_ROUNDS)
 class Model(NamedTuple):
     """What training leaves: word counts by class as a table, the rest as numbers."""
 
-    words: DataFrame  # (word, n, spelled): counts, and log spellings where a count is positive
+    words: DataFrame  # (word, total, n, spelled): counts in all and by class, and log spellings where a count is positive
     pieces: Pieces
     classes: Classes
     tokens: np.ndarray  # by class, ends included
@@ -406,24 +466,23 @@ def train(texts: DataFrame, vocabulary: str = VOCABULARY, classes: int = CLASSES
     texts = texts.select(F.coalesce("text", F.lit("")).alias("text"))
     sample = distinct_sample(texts, CLASS_SAMPLE, "text").toPandas()["text"].tolist()
     fitted_classes = refine_classes(texts, fit_classes(sample, common_words(texts), classes))
-    known = spark.sparkContext.broadcast(fitted_classes)
+    known = spark.sparkContext.broadcast((fitted_classes, fitted_classes.listed))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen: list[Counter[bytes]] = [Counter() for _ in range(classes)]
-            for text in chain(_texts(batch), [None]):
-                if text is not None:
-                    tokens = _tokens(text)
-                    mine = seen[known.value.of(tokens)]
-                    mine.update(tokens)
-                    mine[END] += 1
-                size = sum(map(len, seen))
-                if size and (text is None or size >= COUNTED_WORDS):
-                    kinds = np.repeat(np.arange(classes, dtype=np.int32), [len(each) for each in seen])
-                    n = np.fromiter(chain.from_iterable(each.values() for each in seen), dtype=np.int64, count=size)
-                    yield pa.RecordBatch.from_arrays([_binary(list(chain.from_iterable(seen))), pa.array(kinds), pa.array(n)], ["word", "class", "n"])
-                    for each in seen:
-                        each.clear()
+        for part in _parts(batches):
+            sizes, words = _words(part)
+            coded, (fitted, listed) = words.dictionary_encode(), known.value
+            at = coded.indices.to_numpy()
+            kind = fitted.of(_places(coded.dictionary, listed)[at], sizes)
+            n = np.bincount(np.repeat(kind, sizes) * len(coded.dictionary) + at, minlength=classes * len(coded.dictionary))
+            k, at = np.nonzero(n.reshape(classes, -1))
+            ends = pa.array([END] * classes, pa.binary())
+            made = [
+                pa.concat_arrays([coded.dictionary.take(pa.array(at)), ends]),
+                pa.array(np.concatenate([k, np.arange(classes)]).astype(np.int32)),
+                pa.array(np.concatenate([n[n > 0], np.bincount(kind, minlength=classes)])),
+            ]
+            yield pa.RecordBatch.from_arrays(made, ["word", "class", "n"])
 
     counted = texts.mapInArrow(count, "word binary, class int, n bigint").groupBy("word").agg(
         F.array(*[F.sum(F.when(F.col("class") == k, F.col("n")).otherwise(0)) for k in range(classes)]).alias("n")
@@ -441,24 +500,23 @@ def train(texts: DataFrame, vocabulary: str = VOCABULARY, classes: int = CLASSES
     discount = np.where((once > 0) & (twice > 0), once / np.maximum(once + 2 * twice, 1), 0.5)
     pieces = load_pieces(vocabulary)
     weights = np.stack([first_weights(pieces)] * classes)
+    drawn = [(each[k] > 0) & drawn_by_hash(int(n_words[k]), WARM_WORDS, "word") for k in range(classes)]
+    drawn = materialise(words.filter(reduce(or_, drawn)).select("word", "n"), "warm-words")
     for k in range(classes):
-        warm = hashed_sample(words.filter(each[k] > 0).select("word"), WARM_WORDS, "word").toPandas()["word"]
+        warm = hashed_sample(drawn.filter(each[k] > 0).select("word"), WARM_WORDS, "word", count=int(n_words[k])).toPandas()["word"]
         for _ in range(WARM_ROUNDS if len(warm) else 0):
             weights[k] = log_weights(pieces, expected_counts(pieces, weights[k], _text(warm.tolist())))
     table, warmed = spark.sparkContext.broadcast(pieces), spark.sparkContext.broadcast(weights)
 
-    def by_class(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, list[str]]]:
-        n = batch["n"].flatten().to_numpy().reshape(-1, classes)
-        spelt = np.array(_text(batch["word"].to_pylist()), dtype=object)
-        for k in range(classes):
-            at = np.flatnonzero(n[:, k])
-            yield k, at, spelt[at].tolist()
+    def by_class(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        at, kind = np.nonzero(batch["n"].flatten().to_numpy().reshape(-1, classes))
+        return at, kind, np.array(_text(batch["word"].to_pylist()), dtype=object)[at].tolist()
 
     def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uses = np.zeros(warmed.value.shape)
         for batch in _joined(batches):
-            for k, _, mine in by_class(batch):
-                uses[k] += expected_counts(table.value, warmed.value[k], mine)
+            _, kind, mine = by_class(batch)
+            uses += expected_counts(table.value, warmed.value, mine, kind)
         k, at = np.nonzero(uses)
         yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(at), pa.array(uses[k, at])], ["class", "piece", "uses"])
 
@@ -471,13 +529,14 @@ def train(texts: DataFrame, vocabulary: str = VOCABULARY, classes: int = CLASSES
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _joined(batches):
             logs = np.full((len(batch), classes), np.nan)
-            for k, at, mine in by_class(batch):
-                logs[at, k] = spelling(table.value, fitted.value[k], mine)
+            at, kind, mine = by_class(batch)
+            logs[at, kind] = spelling(table.value, fitted.value, mine, kind)
             spelled = pa.ListArray.from_arrays(pa.array(np.arange(len(batch) + 1, dtype=np.int32) * classes), pa.array(logs.ravel()))
-            yield pa.RecordBatch.from_arrays([batch["word"], batch["n"], spelled], ["word", "n", "spelled"])
+            total = pa.array(batch["n"].flatten().to_numpy().reshape(-1, classes).sum(axis=1))
+            yield pa.RecordBatch.from_arrays([batch["word"], total, batch["n"], spelled], ["word", "total", "n", "spelled"])
 
-    scored = words.mapInArrow(spell, "word binary, n array<bigint>, spelled array<double>")
-    return Model(scored, pieces, known.value, total + docs, docs, n_words, discount, weights, int(sums[0]))
+    scored = words.mapInArrow(spell, "word binary, total bigint, n array<bigint>, spelled array<double>")
+    return Model(scored, pieces, fitted_classes, total + docs, docs, n_words, discount, weights, int(sums[0]))
 
 
 def score(docs: DataFrame, model: Model, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -490,49 +549,54 @@ def score(docs: DataFrame, model: Model, block_bytes: int = BLOCK_BYTES) -> Data
     have is a row or a few of each block.
     """
     context = docs.sparkSession.sparkContext
-    shared = context.broadcast(model._replace(words=None))
+    shared = context.broadcast((model._replace(words=None), model.classes.listed))
     dealt, _ = in_blocks(docs, block_bytes)
 
     def distinct(key: tuple, table: pa.Table) -> pa.Table:
-        m = shared.value
-        found: list[set[bytes]] = [set() for _ in m.docs]
-        for text in table["row"].combine_chunks().field("text").to_pylist():
-            tokens = _tokens(text)
-            found[m.classes.of(tokens)].update(tokens)
-        words = [w for each in found for w in each]
-        kinds = np.repeat(np.arange(len(found), dtype=np.int32), [len(f) for f in found])
-        return pa.table({"block": np.full(len(words), key[0].as_py(), dtype=np.int64), "class": kinds, "word": _binary(words)})
+        m, listed = shared.value
+        sizes, words = _words(table["row"].combine_chunks().field("text"))
+        coded = words.dictionary_encode()
+        at = coded.indices.to_numpy()
+        found = np.zeros((len(m.docs), len(coded.dictionary)), dtype=bool)
+        found[np.repeat(m.classes.of(_places(coded.dictionary, listed)[at], sizes), sizes), at] = True
+        kinds, at = np.nonzero(found)
+        block = np.full(len(at), key[0].as_py(), dtype=np.int64)
+        return pa.table({"block": block, "class": kinds.astype(np.int32), "word": coded.dictionary.take(pa.array(at))})
 
     def apply(table: pa.Table, told: pa.Table) -> pa.Table:
-        m = shared.value
+        m, listed = shared.value
         every, n_docs = int(m.tokens.sum()), int(m.docs.sum())
         base_all = np.log10(every + 0.1 * (m.distinct + (n_docs > 0) + 1))
         end_base = np.log10(n_docs + 0.1) - base_all
         prior = np.log10((m.docs + 0.5) / (n_docs + 0.5 * len(m.docs)))
-        models = []
-        for k in range(len(m.docs)):
-            mine = told.filter(pa.compute.equal(told["class"], k))
-            words = _closed_words(mine["word"])
-            total, counts, spelled = (mine[c].to_numpy().astype(np.float64) for c in ("total", "n", "spelled"))
-            new = np.flatnonzero(np.isnan(spelled))
-            spelled = spelled.copy()
-            spelled[new] = spelling(m.pieces, m.weights[k], _text([words[i] for i in new.tolist()]))
-            # in logs, as the spelling of a very long word is too small for a double
-            with np.errstate(divide="ignore"):
-                left = np.log(np.maximum(counts - m.discount[k], 0.0))
-            logs = np.logaddexp(left, np.log(m.discount[k] * m.n_words[k] + 0.5) + spelled)
-            logs = (logs - np.log(m.tokens[k] + 1)) / np.log(10)
-            end_log = np.log10((m.docs[k] + 0.5) / (m.tokens[k] + 1))
-            models.append(({w: i for i, w in enumerate(words)}, total > 0, np.log10(total + 0.1) - base_all, logs, end_log + prior[k]))
-        out = []
-        for text in table["row"].combine_chunks().field("text").to_pylist():
-            tokens = _tokens(text)
-            place, known, base, logs, fixed = models[m.classes.of(tokens)]
-            at = np.fromiter(map(place.__getitem__, tokens), dtype=np.int64, count=len(tokens))
-            out.append((len(at) + 1, int(known[at].sum()) + (n_docs > 0), base[at].sum() + end_base, logs[at].sum() + fixed))
-        columns = zip(*out, strict=True) if out else ([], [], [], [])
-        kinds = {"n_tokens": pa.int64(), "n_known": pa.int64(), "base_score": pa.float64(), "score": pa.float64()}
-        made = {name: pa.array(np.array(c), kind) for (name, kind), c in zip(kinds.items(), columns, strict=True)}
+        words = told["word"].combine_chunks().cast(pa.binary())
+        kind, total, counts, spelled = (told[c].to_numpy() for c in ("class", "total", "n", "spelled"))
+        spelled = spelled.copy()
+        new = np.flatnonzero(np.isnan(spelled))
+        spelled[new] = spelling(m.pieces, m.weights, _text(words.take(pa.array(new)).to_pylist()), kind[new])
+        # in logs, as the spelling of a very long word is too small for a double
+        with np.errstate(divide="ignore"):
+            left = np.log(np.maximum(counts - m.discount[kind], 0.0))
+        logs = np.logaddexp(left, np.log(m.discount * m.n_words + 0.5)[kind] + spelled)
+        logs = (logs - np.log(m.tokens + 1)[kind]) / np.log(10)
+        base = np.log10(total + 0.1) - base_all
+        ends = np.log10((m.docs + 0.5) / (m.tokens + 1)) + prior
+
+        coded = words.dictionary_encode()
+        answer = np.full((len(m.docs), len(coded.dictionary)), -1)
+        answer[kind, coded.indices.to_numpy()] = np.arange(len(kind))
+        sizes, tokens = _words(table["row"].combine_chunks().field("text"))
+        at = _places(tokens, coded.dictionary)
+        chosen = m.classes.of(_places(coded.dictionary, listed)[at], sizes)
+        at = answer[np.repeat(chosen, sizes), at]
+        if (at < 0).any():
+            raise ValueError("a word of the block was not asked for")
+        made = {
+            "n_tokens": sizes + 1,
+            "n_known": _sums((total > 0).astype(np.int64)[at], sizes) + (n_docs > 0),
+            "base_score": _sums(base[at], sizes) + end_base,
+            "score": _sums(logs[at], sizes) + ends[chosen],
+        }
         return pa.table({"row": table["row"], **made})
 
     asked = dealt.groupBy("block").applyInArrow(distinct, "block bigint, class int, word binary")
@@ -540,8 +604,8 @@ def score(docs: DataFrame, model: Model, block_bytes: int = BLOCK_BYTES) -> Data
     told = asked.join(model.words, "word", "left").select(
         "block",
         "class",
-        F.concat("word", F.lit(bytearray(b" "))).alias("word"),
-        F.coalesce(F.aggregate("n", F.lit(0).cast("bigint"), lambda a, x: a + x), F.lit(0)).alias("total"),
+        "word",
+        F.coalesce("total", F.lit(0)).alias("total"),
         F.coalesce(F.get("n", here), F.lit(0)).alias("n"),
         F.coalesce(F.get("spelled", here), F.lit(float("nan"))).alias("spelled"),
     )

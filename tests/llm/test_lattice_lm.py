@@ -148,3 +148,53 @@ def test_counts_passed_on_in_parts_add_up(spark):
     )
     assert 250 * 1000 > 2 * lattice_lm.COUNTED_WORDS
     assert list(lattice_lm.common_words(texts, 3)) == [b"all", b"half", b"w0"]
+
+
+ODD = ["The CAT  sat", None, "", " \t\n", "\x0b a\x0cB\rc ", "É e\u0085x\x1cy  z", "İI K the the The", "a" * 3000 + " a"]
+
+
+def test_words_of_a_column_are_those_of_each_text():
+    import pyarrow as pa
+
+    for texts in (ODD, ODD[1:4], []):
+        column = pa.array([*ODD, *texts], pa.string()).slice(len(ODD))
+        sizes, words = lm._words(column)
+        split = [lm._tokens(t) for t in texts]
+        assert sizes.tolist() == [len(t) for t in split] and words.to_pylist() == [w for t in split for w in t]
+        batch = pa.RecordBatch.from_arrays([column], ["text"])
+        assert all([t for part in lm._parts([batch], size) for t in part.to_pylist()] == texts for size in (1, 10, 1 << 20))
+        coded = words.dictionary_encode()
+        held = [sum(w in t for t in split) for w in coded.dictionary.to_pylist()]
+        assert all(lm._holders(sizes, coded.indices.to_numpy(), len(held), n).tolist() == held for n in (1, 2, 250))
+    assert lm._sums(np.array([1.0, 2.0, 4.0]), np.array([0, 2, 0, 1, 0])).tolist() == [0, 3, 0, 4, 0]
+
+
+def test_a_round_reads_every_common_word_of_a_text_once():
+    import pyarrow as pa
+
+    words = [b"the", b"cat", b"of"]
+    texts = ["the " * 5000 + "cat new", *ODD, "of the of"]
+    places, counts, sizes = lm.common_counts(pa.array(texts), pa.array(words))
+    assert len(places) == 2 + 2 + 1 + 2  # not every occurrence
+    plain = [[t.count(w) for w in words] for t in map(lm._tokens, texts)]
+    row = np.repeat(np.arange(len(texts)), sizes)
+    got = np.zeros((len(texts), 3), dtype=int)
+    got[row, places] = counts
+    assert got.tolist() == plain
+    logs = np.log(np.array([[0.5, 0.2, 0.2], [0.3, 0.4, 0.2], [0.2, 0.4, 0.6], [1, 1, 1]]))
+    classes = lm.Classes({w: i for i, w in enumerate(words)}, logs)
+    of_words, found = lm._words(pa.array(texts))
+    assert classes.of(lm._places(found, classes.listed), of_words).tolist() == (np.array(plain) @ logs[:-1]).argmax(axis=1).tolist()
+
+
+def test_words_of_all_classes_recurse_together(pieces):
+    rng = np.random.default_rng(1)
+    words = ["thonnd", "ndthon", "erre", "éelle", "onnd", "日", "a", "erre"]
+    kinds = np.array([0, 1, 2, 0, 1, 2, 0, 1])
+    weights = np.stack([lm.log_weights(pieces, rng.random(len(pieces.first) + 2)) for _ in range(3)])
+    uses = lm.expected_counts(pieces, weights, words, kinds)
+    together = lm.spelling(pieces, weights, words, kinds)
+    for k in range(3):
+        mine = [w for w, kind in zip(words, kinds, strict=True) if kind == k]
+        assert np.allclose(uses[k], lm.expected_counts(pieces, weights[k], mine))
+        assert np.array_equal(together[kinds == k], lm.spelling(pieces, weights[k], mine))
